@@ -1,6 +1,7 @@
-"""Scaling, bins and the potential score as column arithmetic on one-row aggregates.
+"""Scaling, bins and the potential score as column arithmetic.
 
-The bounds are scalar subqueries: one extra pass with map-side aggregation, no join.
+Fitting a scale is one aggregate that brings a single row back; applying it is a projection.
+Give these functions a stored table when the rows behind it are costly to compute.
 """
 
 from __future__ import annotations
@@ -16,10 +17,10 @@ EXPLOITATION_WEIGHT = 0.3
 
 
 def bounds(df: DataFrame, cols: Sequence[str]) -> dict[str, tuple[Column, Column]]:
-    """Minimum and maximum of each column, all from one aggregate."""
-    fields = [f(c).alias(f"{p}_{i}") for i, c in enumerate(cols) for p, f in (("mn", F.min), ("mx", F.max))]
-    one = df.agg(F.struct(*fields).alias("b")).scalar()
-    return {c: (one[f"mn_{i}"], one[f"mx_{i}"]) for i, c in enumerate(cols)}
+    """Minimum and maximum of each column as constants, all from one aggregate."""
+    row = df.agg(*[f(c) for c in cols for f in (F.min, F.max)]).first()
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    return {c: tuple(F.lit(v).cast(kinds[c]) for v in row[2 * i : 2 * i + 2]) for i, c in enumerate(cols)}
 
 
 def minmax(col: Column, low: Column, high: Column) -> Column:
@@ -35,14 +36,11 @@ def with_minmax(df: DataFrame, names: dict[str, str]) -> DataFrame:
 
 def with_zscore(df: DataFrame, names: dict[str, str]) -> DataFrame:
     """Centre and divide by the population deviation; a zero deviation divides by 1."""
-    fields = []
-    for i, c in enumerate(names):
-        fields += [F.avg(c).alias(f"mu_{i}"), F.stddev_pop(c).alias(f"sd_{i}")]
-    one = df.agg(F.struct(*fields).alias("s")).scalar()
+    row = df.agg(*[f(c) for c in names for f in (F.avg, F.stddev_pop)]).first()
     out = {}
     for i, (c, name) in enumerate(names.items()):
-        sd = one[f"sd_{i}"]
-        out[name] = (F.col(c) - one[f"mu_{i}"]) / F.when(sd == 0, F.lit(1.0)).otherwise(sd)
+        mean, deviation = row[2 * i], row[2 * i + 1]
+        out[name] = (F.col(c) - F.lit(mean)) / F.lit(deviation or 1.0)
     return df.withColumns(out)
 
 

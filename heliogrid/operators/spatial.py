@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import math
 
 from pyspark.sql import Column, DataFrame
@@ -55,11 +56,26 @@ def join_within(
     return probes.join(cells, keys).filter(hit).drop(*keys, "_segs")
 
 
-def _tile(x: Column, y: Column, xs: Column, ys: Column) -> Column:
-    """Tile number of a place: its strip by ``xs``, then its row by the strip's ``ys``."""
-    strip = F.size(F.filter(xs, lambda b: b <= x))
-    row = F.size(F.filter(F.get(ys, strip), lambda b: b <= y))
-    return strip * 65536 + row
+def _constant(value, kind: str) -> Column:
+    """A bounded driver-side value as one folded constant."""
+    return F.from_json(F.lit(json.dumps(value)), kind)
+
+
+def _tiling(places: DataFrame, side: int) -> Column:
+    """Tile number of a place (``_sx``, ``_sy``): quantile strips in x, quantile rows in each strip.
+
+    The sketches bring back at most ``side`` cuts for each of ``side`` strips.
+    """
+    if side == 1:
+        return F.lit(0)
+    shares = [i / side for i in range(1, side)]
+    xs = sorted(set(places.agg(F.percentile_approx("_sx", shares, 1000)).first()[0]))
+    strip = F.size(F.filter(_constant(xs, "array<double>"), lambda b: b <= F.col("_sx")))
+    rows = places.groupBy(strip.alias("strip")).agg(F.percentile_approx("_sy", shares, 1000).alias("ys")).collect()
+    by_strip = {r["strip"]: sorted(set(r["ys"])) for r in rows}
+    ys = _constant([by_strip.get(i, []) for i in range(len(xs) + 1)], "array<array<double>>")
+    row = F.size(F.filter(F.get(ys, strip), lambda b: b <= F.col("_sy")))
+    return strip * (side + 1) + row
 
 
 def nearest_join(
@@ -69,53 +85,44 @@ def nearest_join(
     site_id: str,
     point_xy: tuple[str, str],
     site_xy: tuple[str, str],
+    max_tiles: int = MAX_TILES,
     salts: int = SALTS,
 ) -> DataFrame:
     """Each point with its nearest site (Euclid) and ``distance``; ties go to the smallest id.
 
-    Sites are packed into about sqrt(n) tiles of nearly equal counts (quantile strips, then
-    quantile rows), so crowded places get small tiles. A point keeps the tiles that can hold its
-    nearest site, judged by the tiles' exact bounding boxes, and meets only the sites of those.
-    Sites at the same place count once, by their smallest id.
+    Sites are packed into about sqrt(n) tiles of nearly equal counts, so crowded places get small
+    tiles. A point keeps the tiles that can hold its nearest site, judged by the exact bounding
+    boxes of the tiles, and meets only the sites of those: an equi-join on the tile.
+    Sites at the same place count once, by their smallest id. ``point_id`` must be unique.
     """
     sx, sy = (F.col(c).cast("double") for c in site_xy)
     places = sites.select(sx.alias("_sx"), sy.alias("_sy"), F.col(site_id)).dropna()
     places = stage_table(places.groupBy("_sx", "_sy").agg(F.min(site_id).alias(site_id)), "sites")
-    n = places.count()
-    side = max(1, math.ceil(math.sqrt(min(max(math.sqrt(n), 16), MAX_TILES))))
-    cuts = [i / side for i in range(1, side)] or [0.5]
-
-    xs = places.agg(F.array_distinct(F.percentile_approx("_sx", cuts, 1000)).alias("b")).scalar()
-    strips = places.withColumn("_strip", F.size(F.filter(xs, lambda b: b <= F.col("_sx"))))
-    per_strip = strips.groupBy("_strip").agg(F.array_distinct(F.percentile_approx("_sy", cuts, 1000)).alias("b"))
-    by_strip = per_strip.agg(F.map_from_entries(F.collect_list(F.struct("_strip", "b"))).alias("m")).scalar()
-    no_cuts = F.array().cast("array<double>")
-    ys = F.transform(F.sequence(F.lit(0), F.lit(side)), lambda s: F.coalesce(F.try_element_at(by_strip, s), no_cuts))
-    tiled = stage_table(places.withColumn("_tile", _tile(F.col("_sx"), F.col("_sy"), xs, ys)), "tiles")
-
-    boxes = tiled.groupBy("_tile").agg(
-        F.min("_sx").alias("x0"), F.max("_sx").alias("x1"), F.min("_sy").alias("y0"), F.max("_sy").alias("y1")
-    )
-    tiles = boxes.agg(F.collect_list(F.struct("_tile", "x0", "x1", "y0", "y1")).alias("t")).scalar()
-
-    px, py = (F.col(c).cast("double") for c in point_xy)
-
-    def near(t: Column) -> Column:
-        dx = F.greatest(t["x0"] - px, px - t["x1"], F.lit(0.0))
-        dy = F.greatest(t["y0"] - py, py - t["y1"], F.lit(0.0))
+    tiles = min(max(math.isqrt(places.count()), 16), max_tiles)
+    tiled = stage_table(places.withColumn("_tile", _tiling(places, math.isqrt(tiles))), "tiles")
+
+    # At most max_tiles rows, one per tile.
+    boxes = tiled.groupBy("_tile").agg(F.min("_sx"), F.max("_sx"), F.min("_sy"), F.max("_sy")).collect()
+    names = ("t", "x0", "x1", "y0", "y1")
+    known = _constant([dict(zip(names, b)) for b in boxes], "array<struct<t:int,x0:double,x1:double,y0:double,y1:double>>")
+    x, y = F.col("_px"), F.col("_py")
+
+    def near(b: Column) -> Column:
+        dx = F.greatest(b["x0"] - x, x - b["x1"], F.lit(0.0))
+        dy = F.greatest(b["y0"] - y, y - b["y1"], F.lit(0.0))
         return dx * dx + dy * dy
 
-    def far(t: Column) -> Column:
-        dx = F.greatest(F.abs(px - t["x0"]), F.abs(px - t["x1"]))
-        dy = F.greatest(F.abs(py - t["y0"]), F.abs(py - t["y1"]))
+    def far(b: Column) -> Column:
+        dx = F.greatest(F.abs(x - b["x0"]), F.abs(x - b["x1"]))
+        dy = F.greatest(F.abs(y - b["y0"]), F.abs(y - b["y1"]))
         return dx * dx + dy * dy
 
-    located = points.filter(px.isNotNull() & py.isNotNull())
-    bounded = located.select(point_id, px.alias("_px"), py.alias("_py"), F.array_min(F.transform(tiles, far)).alias("_bound"))
+    located = points.select(point_id, *[F.col(c).cast("double").alias(n) for c, n in zip(point_xy, ("_px", "_py"))])
+    located = located.filter(x.isNotNull() & y.isNotNull())
+    bounded = located.withColumn("_bound", F.array_min(F.transform(known, far)))
     # A little slack keeps rounding from dropping the tile that sets the bound.
-    px, py = F.col("_px"), F.col("_py")
-    chosen = F.filter(tiles, lambda t: near(t) <= F.col("_bound") * (1 + 1e-12))
-    probes = bounded.select(point_id, "_px", "_py", F.explode(F.transform(chosen, lambda t: t["_tile"])).alias("_tile"))
+    chosen = F.filter(known, lambda b: near(b) <= F.col("_bound") * (1 + 1e-12))
+    probes = bounded.select(point_id, "_px", "_py", F.explode(F.transform(chosen, lambda b: b["t"])).alias("_tile"))
 
     tiled, small = broadcast_if_small(tiled)
     keys = ["_tile"]
@@ -123,7 +130,7 @@ def nearest_join(
         probes = probes.withColumn("_salt", F.pmod(F.xxhash64(point_id), F.lit(salts)))
         tiled = tiled.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
         keys.append("_salt")
-    dx, dy = px - F.col("_sx"), py - F.col("_sy")
+    dx, dy = x - F.col("_sx"), y - F.col("_sy")
     best = F.min(F.struct((dx * dx + dy * dy).alias("d2"), F.col(site_id).alias("id")))
     found = probes.join(tiled, keys).groupBy(point_id).agg(best.alias("_b"))
     return found.select(point_id, F.col("_b.id").alias(site_id), F.sqrt("_b.d2").alias("distance"))

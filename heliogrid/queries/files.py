@@ -144,18 +144,22 @@ def path_template(spark, sf_dir):
     return rounded(rows.groupBy(F.col("year").cast("int").alias("year")).agg(F.count(F.lit(1)).alias("n"), F.sum("o_totalprice").alias("total")))
 
 
-def _zip_bodies(batches):
+def archives(spark, sf_dir):
     """One archive per document: a folder entry, the text, and a CSV of its length."""
-    for pdf in batches:
-        blobs = []
-        for doc_id, body in zip(pdf["doc_id"], pdf["text"]):
-            buffer = io.BytesIO()
-            with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as archive:
-                archive.writestr("2024/", b"")
-                archive.writestr(f"2024/doc_{doc_id}.txt", body.encode("utf-8"))
-                archive.writestr(f"2024/doc_{doc_id}.CSV", f"n;{len(body)}".encode("latin-1"))
-            blobs.append(buffer.getvalue())
-        yield pdf[["doc_id"]].assign(content=blobs)
+
+    def pack(batches):
+        for pdf in batches:
+            blobs = []
+            for doc_id, body in zip(pdf["doc_id"], pdf["text"]):
+                buffer = io.BytesIO()
+                with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as archive:
+                    archive.writestr("2024/", b"")
+                    archive.writestr(f"2024/doc_{doc_id}.txt", body.encode("utf-8"))
+                    archive.writestr(f"2024/doc_{doc_id}.CSV", f"n;{len(body)}".encode("latin-1"))
+                blobs.append(buffer.getvalue())
+            yield pdf[["doc_id"]].assign(content=blobs)
+
+    return table(spark, sf_dir, "documents").select("doc_id", "text").mapInPandas(pack, "doc_id long, content binary")
 
 
 @query(
@@ -164,15 +168,13 @@ def _zip_bodies(batches):
        UNION ALL SELECT doc_id, '2024/doc_' || doc_id || '.CSV', CAST(length('n;' || length(text)) AS BIGINT), 'n;' || length(text) FROM documents""",
 )
 def zip_entries(spark, sf_dir):
-    archives = table(spark, sf_dir, "documents").select("doc_id", "text").mapInPandas(_zip_bodies, "doc_id long, content binary")
-    rows = catalog.zip_entries(archives)
+    rows = catalog.zip_entries(archives(spark, sf_dir))
     return rows.select("doc_id", "entry", "size", F.decode("body", "UTF-8").alias("body"))
 
 
 @query("zip_entries_csv", "SELECT doc_id, '2024/doc_' || doc_id || '.CSV' AS entry, 'n;' || length(text) AS body FROM documents")
 def zip_entries_csv(spark, sf_dir):
-    archives = table(spark, sf_dir, "documents").select("doc_id", "text").mapInPandas(_zip_bodies, "doc_id long, content binary")
-    rows = catalog.zip_entries(archives, suffix=".csv")
+    rows = catalog.zip_entries(archives(spark, sf_dir), suffix=".csv")
     return rows.select("doc_id", "entry", text.latin1(F.col("body")).alias("body"))
 
 

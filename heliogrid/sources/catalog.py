@@ -77,19 +77,19 @@ def outcome_counters(changes: DataFrame, *group: str) -> DataFrame:
     return changes.groupBy(*group).agg(*counts)
 
 
-class _ZipEntries:
-    """Table function: one row per file of a ZIP archive; folders are skipped."""
+def _zip_table_function():
+    # Defined here so that it travels to the executors by value.
+    class ZipEntries:
+        def eval(self, content: bytes, suffix: str):
+            with zipfile.ZipFile(io.BytesIO(content)) as archive:
+                for info in archive.infolist():
+                    if not info.is_dir() and info.filename.lower().endswith(suffix.lower()):
+                        yield info.filename, info.file_size, archive.read(info)
 
-    def eval(self, content: bytes, suffix: str):
-        with zipfile.ZipFile(io.BytesIO(content)) as archive:
-            for info in archive.infolist():
-                if info.is_dir() or not info.filename.lower().endswith(suffix.lower()):
-                    continue
-                yield info.filename, info.file_size, archive.read(info)
+    return F.udtf(ZipEntries, returnType="entry string, size long, body binary")
 
 
 def zip_entries(archives: DataFrame, content: str = "content", suffix: str = "") -> DataFrame:
-    """Name, size and bytes of every archive entry, one archive per input row."""
-    expand = F.udtf(_ZipEntries, returnType="entry string, size long, body binary")
-    rows = archives.lateralJoin(expand(F.col(content).outer(), F.lit(suffix)))
+    """Name, size and bytes of every file in an archive, one archive per input row; folders are skipped."""
+    rows = archives.lateralJoin(_zip_table_function()(F.col(content).outer(), F.lit(suffix)))
     return rows.drop(content)
