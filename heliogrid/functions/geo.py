@@ -32,150 +32,109 @@ def point(x: Column, y: Column) -> Column:
     return F.struct(x.cast("double").alias("x"), y.cast("double").alias("y"))
 
 
-def _series(xi: Column, eta: Column, coef: tuple[float, ...], first, second) -> Column:
-    return sum(k * first(2 * (j + 1) * xi) * second(2 * (j + 1) * eta) for j, k in enumerate(coef))
+# The expressions below are SQL text: a formula reaches Spark as one expression, and each
+# ``transform`` is a stage whose shared terms are computed once per point.
 
 
-def ring_to_utm(ring: Column) -> Column:
-    """Longitude/latitude points to easting/northing, in metres.
+def _series(coef: tuple[float, ...], first: str, second: str, xi: str = "p.xi", eta: str = "p.eta") -> str:
+    return " + ".join(f"{k!r}D * {first}({2 * j}D * {xi}) * {second}({2 * j}D * {eta})" for j, k in enumerate(coef, 1))
 
-    Each stage is its own ``transform`` so that shared terms are computed once per point.
-    """
 
-    def conformal(p: Column) -> Column:
-        s = F.sin(F.radians(p["y"]))
-        t = F.sinh(F.atanh(s) - _E * F.atanh(_E * s))
-        return F.struct(t.alias("t"), F.radians(p["x"] - CENTRAL_MERIDIAN).alias("d"))
+def ring_to_utm(ring: str) -> str:
+    """SQL for longitude/latitude points to easting/northing, in metres."""
+    conformal = f"""transform({ring}, p -> named_struct(
+        't', sinh(atanh(sin(radians(p.y))) - {_E!r}D * atanh({_E!r}D * sin(radians(p.y)))),
+        'd', radians(p.x - ({CENTRAL_MERIDIAN!r}D))))"""
+    sphere = f"transform({conformal}, p -> named_struct('xi', atan2(p.t, cos(p.d)), 'eta', atanh(sin(p.d) / sqrt(1D + p.t * p.t))))"
+    size = SCALE * _A
+    return f"""transform({sphere}, p -> named_struct(
+        'x', {FALSE_EASTING!r}D + {size!r}D * (p.eta + {_series(ALPHA, "cos", "sinh")}),
+        'y', {FALSE_NORTHING!r}D + {size!r}D * (p.xi + {_series(ALPHA, "sin", "cosh")})))"""
 
-    def sphere(p: Column) -> Column:
-        xi = F.atan2(p["t"], F.cos(p["d"]))
-        eta = F.atanh(F.sin(p["d"]) / F.sqrt(1 + p["t"] * p["t"]))
-        return F.struct(xi.alias("xi"), eta.alias("eta"))
 
-    def plane(p: Column) -> Column:
-        xi, eta = p["xi"], p["eta"]
-        east = eta + _series(xi, eta, ALPHA, F.cos, F.sinh)
-        north = xi + _series(xi, eta, ALPHA, F.sin, F.cosh)
-        return point(FALSE_EASTING + SCALE * _A * east, FALSE_NORTHING + SCALE * _A * north)
+def ring_to_lonlat(ring: str) -> str:
+    """SQL for easting/northing points back to longitude/latitude in degrees."""
+    size = SCALE * _A
+    scaled = f"transform({ring}, p -> named_struct('xi', (p.y - {FALSE_NORTHING!r}D) / {size!r}D, 'eta', (p.x - {FALSE_EASTING!r}D) / {size!r}D))"
+    sphere = f"""transform({scaled}, p -> named_struct(
+        'xi', p.xi - ({_series(BETA, "sin", "cosh")}), 'eta', p.eta - ({_series(BETA, "cos", "sinh")})))"""
+    conformal = f"transform({sphere}, p -> named_struct('chi', asin(sin(p.xi) / cosh(p.eta)), 'd', atan2(sinh(p.eta), cos(p.xi))))"
+    latitude = " + ".join(f"{k!r}D * sin({2 * j}D * p.chi)" for j, k in enumerate(DELTA, 1))
+    return f"transform({conformal}, p -> named_struct('x', {CENTRAL_MERIDIAN!r}D + degrees(p.d), 'y', degrees(p.chi + {latitude})))"
 
-    return F.transform(F.transform(F.transform(ring, conformal), sphere), plane)
 
+def _one_point(x: str, y: str) -> str:
+    return f"array(named_struct('x', double({x}), 'y', double({y})))"
 
-def ring_to_lonlat(ring: Column) -> Column:
-    """Easting/northing points back to longitude/latitude in degrees."""
 
-    def scaled(p: Column) -> Column:
-        xi = (p["y"] - FALSE_NORTHING) / (SCALE * _A)
-        eta = (p["x"] - FALSE_EASTING) / (SCALE * _A)
-        return F.struct(xi.alias("xi"), eta.alias("eta"))
+def utm(lon: str, lat: str) -> Column:
+    """Projected point of two columns."""
+    return F.expr(f"get({ring_to_utm(_one_point(lon, lat))}, 0)")
 
-    def sphere(p: Column) -> Column:
-        xi, eta = p["xi"], p["eta"]
-        xi1 = xi - _series(xi, eta, BETA, F.sin, F.cosh)
-        eta1 = eta - _series(xi, eta, BETA, F.cos, F.sinh)
-        return F.struct(xi1.alias("xi"), eta1.alias("eta"))
 
-    def conformal(p: Column) -> Column:
-        chi = F.asin(F.sin(p["xi"]) / F.cosh(p["eta"]))
-        return F.struct(chi.alias("chi"), F.atan2(F.sinh(p["eta"]), F.cos(p["xi"])).alias("d"))
+def lonlat(east: str, north: str) -> Column:
+    """Geographic point of two projected columns."""
+    return F.expr(f"get({ring_to_lonlat(_one_point(east, north))}, 0)")
 
-    def degrees(p: Column) -> Column:
-        phi = p["chi"] + sum(k * F.sin(2 * (j + 1) * p["chi"]) for j, k in enumerate(DELTA))
-        return point(CENTRAL_MERIDIAN + F.degrees(p["d"]), F.degrees(phi))
 
-    return F.transform(F.transform(F.transform(F.transform(ring, scaled), sphere), conformal), degrees)
+def rings_to_utm(rings: str) -> Column:
+    return F.expr(f"transform({rings}, r -> {ring_to_utm('r')})")
 
 
-def utm(lon: Column, lat: Column) -> Column:
-    return ring_to_utm(F.array(point(lon, lat)))[0]
-
-
-def lonlat(east: Column, north: Column) -> Column:
-    return ring_to_lonlat(F.array(point(east, north)))[0]
-
-
-def rings_to_utm(rings: Column) -> Column:
-    return F.transform(rings, ring_to_utm)
-
-
-def ring_segments(ring: Column) -> Column:
+def _segments(ring: str) -> str:
     """Consecutive point pairs of a closed ring."""
-    n = F.size(ring)
-    return F.zip_with(F.slice(ring, F.lit(1), n - 1), F.slice(ring, F.lit(2), n - 1), lambda a, b: F.struct(a.alias("a"), b.alias("b")))
+    n = f"greatest(size({ring}) - 1, 0)"
+    return f"zip_with(slice({ring}, 1, {n}), slice({ring}, 2, {n}), (a, b) -> named_struct('a', a, 'b', b))"
 
 
-def segments(rings: Column) -> Column:
-    return F.flatten(F.transform(rings, ring_segments))
+def segments(rings: str) -> Column:
+    """All edges of a polygon, for ``strictly_inside``."""
+    return F.expr(f"flatten(transform({rings}, r -> {_segments('r')}))")
 
 
-def _ring_moments(ring: Column) -> Column:
+def _ring_moments(ring: str) -> str:
     """Absolute area and area-weighted coordinates, taken relative to the first vertex."""
-    zero = F.struct(F.lit(0.0).alias("a"), F.lit(0.0).alias("x"), F.lit(0.0).alias("y"))
-    o = ring[0]
-
-    def add(m: Column, s: Column) -> Column:
-        ax, ay = s["a"]["x"] - o["x"], s["a"]["y"] - o["y"]
-        bx, by = s["b"]["x"] - o["x"], s["b"]["y"] - o["y"]
-        cross = ax * by - bx * ay
-        return F.struct(
-            (m["a"] + cross / 2).alias("a"),
-            (m["x"] + (ax + bx) * cross / 6).alias("x"),
-            (m["y"] + (ay + by) * cross / 6).alias("y"),
-        )
-
-    def finish(m: Column) -> Column:
-        sign = F.signum(m["a"])
-        a = m["a"] * sign
-        return F.struct(
-            a.alias("a"), (m["x"] * sign + o["x"] * a).alias("x"), (m["y"] * sign + o["y"] * a).alias("y")
-        )
-
-    return F.aggregate(ring_segments(ring), zero, add, finish)
-
-
-def _polygon_moments(rings: Column) -> Column:
-    """Moments of the outer ring less those of the holes."""
-    holes = F.transform(F.slice(rings, F.lit(2), F.greatest(F.size(rings) - 1, F.lit(0))), _ring_moments)
-
-    def subtract(m: Column, h: Column) -> Column:
-        return F.struct(*[(m[k] - h[k]).alias(k) for k in ("a", "x", "y")])
-
-    return F.aggregate(holes, _ring_moments(rings[0]), subtract)
-
+    local = f"""transform({_segments(ring)}, s -> named_struct(
+        'ax', s.a.x - get({ring}, 0).x, 'ay', s.a.y - get({ring}, 0).y, 'bx', s.b.x - get({ring}, 0).x, 'by', s.b.y - get({ring}, 0).y))"""
+    cross = "(s.ax * s.by - s.bx * s.ay)"
+    return f"""aggregate({local}, named_struct('a', 0D, 'x', 0D, 'y', 0D),
+        (m, s) -> named_struct('a', m.a + {cross} / 2D, 'x', m.x + (s.ax + s.bx) * {cross} / 6D, 'y', m.y + (s.ay + s.by) * {cross} / 6D),
+        m -> named_struct('a', abs(m.a), 'x', m.x * signum(m.a) + get({ring}, 0).x * abs(m.a), 'y', m.y * signum(m.a) + get({ring}, 0).y * abs(m.a)))"""
+
+
+def polygon_moments(rings: str) -> Column:
+    """Struct ``a, x, y``: area and area-weighted coordinates of the outer ring less the holes."""
+    holes = f"slice({rings}, 2, greatest(size({rings}) - 1, 0))"
+    outer = _ring_moments(f"get({rings}, 0)")
+    return F.expr(
+        f"""aggregate(transform({holes}, r -> {_ring_moments('r')}), {outer},
+        (m, h) -> named_struct('a', m.a - h.a, 'x', m.x - h.x, 'y', m.y - h.y))"""
+    )
 
-def polygon_area(rings: Column) -> Column:
-    return _polygon_moments(rings)["a"]
 
+def polygon_area(rings: str) -> Column:
+    return polygon_moments(rings)["a"]
 
-def polygon_centroid(rings: Column) -> Column:
-    """Area-weighted centroid; null for an area of zero."""
-    one = F.transform(F.array(_polygon_moments(rings)), lambda m: F.when(m["a"] > 0, point(m["x"] / m["a"], m["y"] / m["a"])))
-    return one[0]
 
+def centroid_of(moments: str) -> Column:
+    """Centroid point of a column of moments; null for an area of zero."""
+    return F.expr(f"if({moments}.a > 0, named_struct('x', {moments}.x / {moments}.a, 'y', {moments}.y / {moments}.a), null)")
 
-def bounding_box(rings: Column) -> Column:
-    outer = rings[0]
-    xs, ys = F.transform(outer, lambda p: p["x"]), F.transform(outer, lambda p: p["y"])
-    return F.struct(
-        F.array_min(xs).alias("x0"), F.array_min(ys).alias("y0"), F.array_max(xs).alias("x1"), F.array_max(ys).alias("y1")
-    )
 
+def polygon_centroid(rings: str) -> Column:
+    moments = polygon_moments(rings)
+    return F.transform(F.array(moments), lambda m: F.when(m["a"] > 0, point(m["x"] / m["a"], m["y"] / m["a"])))[0]
 
-def strictly_inside(segs: Column, x: Column, y: Column) -> Column:
-    """Even-odd test over all rings; points on an edge are outside."""
 
-    def flips(s: Column) -> Column:
-        a, b = s["a"], s["b"]
-        return ((a["y"] > y) != (b["y"] > y)) & (x < (b["x"] - a["x"]) * (y - a["y"]) / F.nullif(b["y"] - a["y"], F.lit(0.0)) + a["x"])
+def bounding_box(rings: str) -> Column:
+    xs, ys = (f"transform(get({rings}, 0), p -> p.{c})" for c in "xy")
+    return F.expr(f"named_struct('x0', array_min({xs}), 'y0', array_min({ys}), 'x1', array_max({xs}), 'y1', array_max({ys}))")
 
-    def touches(s: Column) -> Column:
-        a, b = s["a"], s["b"]
-        cross = (b["x"] - a["x"]) * (y - a["y"]) - (b["y"] - a["y"]) * (x - a["x"])
-        return (
-            (cross == 0)
-            & x.between(F.least(a["x"], b["x"]), F.greatest(a["x"], b["x"]))
-            & y.between(F.least(a["y"], b["y"]), F.greatest(a["y"], b["y"]))
-        )
 
-    odd = F.aggregate(segs, F.lit(False), lambda acc, s: acc != F.coalesce(flips(s), F.lit(False)))
-    return odd & ~F.exists(segs, touches)
+def strictly_inside(segs: str, x: str, y: str) -> Column:
+    """Even-odd test over all edges; points on an edge are outside."""
+    flips = f"""(s.a.y > {y}) <> (s.b.y > {y})
+        AND {x} < (s.b.x - s.a.x) * ({y} - s.a.y) / nullif(s.b.y - s.a.y, 0D) + s.a.x"""
+    touches = f"""(s.b.x - s.a.x) * ({y} - s.a.y) = (s.b.y - s.a.y) * ({x} - s.a.x)
+        AND {x} BETWEEN least(s.a.x, s.b.x) AND greatest(s.a.x, s.b.x) AND {y} BETWEEN least(s.a.y, s.b.y) AND greatest(s.a.y, s.b.y)"""
+    return F.expr(f"size(filter({segs}, s -> {flips})) % 2 = 1 AND NOT exists({segs}, s -> {touches})")

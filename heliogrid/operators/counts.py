@@ -38,7 +38,7 @@ def value_counts(df: DataFrame, col: str) -> DataFrame:
 
 def describe(df: DataFrame, col: str) -> DataFrame:
     """Count, mean, deviation, extremes and interpolated quartiles of a column."""
-    q25, q50, q75 = quantiles(df, col, [0.25, 0.5, 0.75])
+    q25, q50, q75 = quantiles(df, {col: [0.25, 0.5, 0.75]})[col]
     x = F.col(col)
     return df.agg(
         F.count(x).alias("count"),

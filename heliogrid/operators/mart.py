@@ -14,10 +14,10 @@ PLANT_MEASURES = ["num_total_usinas", "num_usinas_solares", "num_usinas_eolica",
 
 def with_geometry(layer: DataFrame, rings: str = "rings") -> DataFrame:
     """Area in km² and centroid in degrees, both measured on the projected polygon."""
-    plane = layer.withColumn("_utm", geo.rings_to_utm(F.col(rings)))
-    plane = plane.withColumns({"area_km2": geo.polygon_area(F.col("_utm")) / 1e6, "_c": geo.polygon_centroid(F.col("_utm"))})
-    plane = plane.withColumn("_ll", geo.lonlat(F.col("_c.x"), F.col("_c.y")))
-    return plane.withColumns({"centroid_lon": F.col("_ll.x"), "centroid_lat": F.col("_ll.y")}).drop("_utm", "_c", "_ll")
+    plane = layer.withColumn("_utm", geo.rings_to_utm(rings)).withColumn("_m", geo.polygon_moments("_utm"))
+    plane = plane.withColumn("_c", geo.centroid_of("_m")).withColumn("_ll", geo.lonlat("_c.x", "_c.y"))
+    measures = {"area_km2": F.col("_m.a") / 1e6, "centroid_lon": F.col("_ll.x"), "centroid_lat": F.col("_ll.y")}
+    return plane.withColumns(measures).drop("_utm", "_m", "_c", "_ll")
 
 
 def plant_measures(kind: Column, power_kw: Column) -> list[Column]:

@@ -21,7 +21,7 @@ def ranking(df: DataFrame, score: str, tie: str, n: int = 10) -> DataFrame:
 
 def synergy_zones(df: DataFrame, measures: list[str], share: float = 0.75) -> DataFrame:
     """Rows at or above the given quantile in every measure."""
-    limits = {m: quantiles(df, m, [share])[0] for m in measures}
-    for m, limit in limits.items():
-        df = df.filter(F.col(m) >= F.lit(limit).cast("double"))
+    limits = quantiles(df, {m: [share] for m in measures})
+    for m in measures:
+        df = df.filter(F.col(m) >= F.lit(limits[m][0]).cast("double"))
     return df

@@ -30,35 +30,33 @@ def join_within(
     equi-join then pass the exact test. Polygons are broadcast only if measured small; else the
     points of a cell are spread over ``salts`` pieces, so that a crowded cell is no hot key.
     """
-    box = geo.bounding_box(F.col(rings))
-    extent = F.greatest(F.col("_box.x1") - F.col("_box.x0"), F.col("_box.y1") - F.col("_box.y0"))
-    placed = polygons.withColumn("_box", box).filter(extent > 0)
-    placed = placed.withColumn("_level", F.ceil(F.log2(extent)).cast("int") - 1)
-    size = F.pow(F.lit(2.0), F.col("_level"))
-
-    def span(low: str, high: str) -> Column:
-        return F.explode(F.sequence(F.floor(F.col(low) / size), F.floor(F.col(high) / size)))
-
-    cells = placed.withColumn("_segs", geo.segments(F.col(rings))).drop(rings)
-    cells = cells.withColumn("_cx", span("_box.x0", "_box.x1")).withColumn("_cy", span("_box.y0", "_box.y1")).drop("_box")
+    extent = "greatest(_box.x1 - _box.x0, _box.y1 - _box.y0)"
+    placed = polygons.withColumn("_box", geo.bounding_box(rings)).filter(f"{extent} > 0")
+    placed = placed.withColumn("_level", F.expr(f"int(ceil(log2({extent}))) - 1")).withColumn("_segs", geo.segments(rings))
+    size = "pow(2D, _level)"
+    cells = placed.drop(rings)
+    for axis in "xy":
+        span = f"explode(sequence(floor(_box.{axis}0 / {size}), floor(_box.{axis}1 / {size})))"
+        cells = cells.withColumn(f"_c{axis}", F.expr(span))
+    cells = stage_table(cells.drop("_box"), "cells")
     cells, small = broadcast_if_small(cells)
 
     # The grids in use: a set of binary exponents, a few dozen at most.
-    levels = placed.agg(F.collect_set("_level").alias("l")).scalar()
-    probes = points.withColumn("_level", F.explode(levels))
-    probes = probes.withColumns({"_cx": F.floor(F.col(x) / size), "_cy": F.floor(F.col(y) / size)})
+    levels = [r[0] for r in cells.select("_level").distinct().collect()]
+    probes = points.withColumn("_level", F.explode(F.lit(levels).cast("array<int>")))
+    probes = probes.withColumns({"_cx": F.expr(f"floor({x} / {size})"), "_cy": F.expr(f"floor({y} / {size})")})
     keys = ["_level", "_cx", "_cy"]
     if not small:
         probes = probes.withColumn("_salt", F.pmod(F.xxhash64(x, y), F.lit(salts)))
         cells = cells.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
         keys.append("_salt")
-    hit = geo.strictly_inside(F.col("_segs"), F.col(x), F.col(y))
+    hit = geo.strictly_inside("_segs", x, y)
     return probes.join(cells, keys).filter(hit).drop(*keys, "_segs")
 
 
-def _constant(value, kind: str) -> Column:
-    """A bounded driver-side value as one folded constant."""
-    return F.from_json(F.lit(json.dumps(value)), kind)
+def _constant(value, kind: str) -> str:
+    """SQL of a bounded driver-side value, folded to one constant by the optimizer."""
+    return f"from_json('{json.dumps(value)}', '{kind}')"
 
 
 def _tiling(places: DataFrame, side: int) -> Column:
@@ -70,12 +68,11 @@ def _tiling(places: DataFrame, side: int) -> Column:
         return F.lit(0)
     shares = [i / side for i in range(1, side)]
     xs = sorted(set(places.agg(F.percentile_approx("_sx", shares, 1000)).first()[0]))
-    strip = F.size(F.filter(_constant(xs, "array<double>"), lambda b: b <= F.col("_sx")))
-    rows = places.groupBy(strip.alias("strip")).agg(F.percentile_approx("_sy", shares, 1000).alias("ys")).collect()
+    strip = f"size(filter({_constant(xs, 'array<double>')}, b -> b <= _sx))"
+    rows = places.groupBy(F.expr(strip).alias("strip")).agg(F.percentile_approx("_sy", shares, 1000).alias("ys")).collect()
     by_strip = {r["strip"]: sorted(set(r["ys"])) for r in rows}
     ys = _constant([by_strip.get(i, []) for i in range(len(xs) + 1)], "array<array<double>>")
-    row = F.size(F.filter(F.get(ys, strip), lambda b: b <= F.col("_sy")))
-    return strip * (side + 1) + row
+    return F.expr(f"{strip} * {side + 1} + size(filter(get({ys}, {strip}), b -> b <= _sy))")
 
 
 def nearest_join(
@@ -101,28 +98,19 @@ def nearest_join(
     tiles = min(max(math.isqrt(places.count()), 16), max_tiles)
     tiled = stage_table(places.withColumn("_tile", _tiling(places, math.isqrt(tiles))), "tiles")
 
-    # At most max_tiles rows, one per tile.
+    # At most max_tiles rows, one per tile; they enter the plan as one folded constant.
     boxes = tiled.groupBy("_tile").agg(F.min("_sx"), F.max("_sx"), F.min("_sy"), F.max("_sy")).collect()
     names = ("t", "x0", "x1", "y0", "y1")
     known = _constant([dict(zip(names, b)) for b in boxes], "array<struct<t:int,x0:double,x1:double,y0:double,y1:double>>")
+    near = "pow(greatest(b.x0 - _px, _px - b.x1, 0D), 2) + pow(greatest(b.y0 - _py, _py - b.y1, 0D), 2)"
+    far = "pow(greatest(abs(_px - b.x0), abs(_px - b.x1)), 2) + pow(greatest(abs(_py - b.y0), abs(_py - b.y1)), 2)"
     x, y = F.col("_px"), F.col("_py")
-
-    def near(b: Column) -> Column:
-        dx = F.greatest(b["x0"] - x, x - b["x1"], F.lit(0.0))
-        dy = F.greatest(b["y0"] - y, y - b["y1"], F.lit(0.0))
-        return dx * dx + dy * dy
-
-    def far(b: Column) -> Column:
-        dx = F.greatest(F.abs(x - b["x0"]), F.abs(x - b["x1"]))
-        dy = F.greatest(F.abs(y - b["y0"]), F.abs(y - b["y1"]))
-        return dx * dx + dy * dy
-
     located = points.select(point_id, *[F.col(c).cast("double").alias(n) for c, n in zip(point_xy, ("_px", "_py"))])
     located = located.filter(x.isNotNull() & y.isNotNull())
-    bounded = located.withColumn("_bound", F.array_min(F.transform(known, far)))
+    bounded = located.withColumn("_bound", F.expr(f"array_min(transform({known}, b -> {far}))"))
     # A little slack keeps rounding from dropping the tile that sets the bound.
-    chosen = F.filter(known, lambda b: near(b) <= F.col("_bound") * (1 + 1e-12))
-    probes = bounded.select(point_id, "_px", "_py", F.explode(F.transform(chosen, lambda b: b["t"])).alias("_tile"))
+    chosen = f"filter({known}, b -> {near} <= _bound * {1 + 1e-12!r}D)"
+    probes = bounded.select(point_id, "_px", "_py", F.expr(f"explode(transform({chosen}, b -> b.t))").alias("_tile"))
 
     tiled, small = broadcast_if_small(tiled)
     keys = ["_tile"]

@@ -9,14 +9,17 @@ Ids must be unique.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from heliogrid.operators.order import SORT_ROWS, rank_cuts
-from heliogrid.session import broadcast_if_small, stage_table
+from heliogrid.session import stage_table
 
-PREFIX_DIGITS = 4  # 65 536 hash prefixes, so a prefix holds about rows / 65 536
+ROWS_PER_PREFIX = 1000
+MAX_DIGITS = 5  # at most 16**5 hash prefixes per class
+BROADCAST_CUTS = 100_000  # (class, part) pairs, each a label and a hash
 
 
 def hash_order(id_col: str, seed: int = 42) -> Column:
@@ -25,50 +28,59 @@ def hash_order(id_col: str, seed: int = 42) -> Column:
 
 def _fold_ends(n: Column, folds: int) -> Column:
     """Running sizes of all folds but the last; the first n mod k folds get one row more."""
-    base, extra = F.floor(n / folds), n % folds
-    return F.array(*[(base * i + F.least(F.lit(i), extra)).cast("long") for i in range(1, folds)])
+    return F.transform(F.sequence(F.lit(1), F.lit(folds - 1)), lambda i: F.floor(n / folds) * i + F.least(i.cast("long"), n % folds))
 
 
-def _part_index(df: DataFrame, id_col: str, label: str, seed: int, ends, digits: int = PREFIX_DIGITS) -> DataFrame:
+def _class_table(df: DataFrame, label: str) -> tuple[DataFrame, int, int, int]:
+    """Stored (label, n) with the number of classes, of rows, and the smallest class."""
+    classes = stage_table(df.groupBy(F.col(label).alias("_l")).agg(F.count(F.lit(1)).alias("n")), "classes")
+    kinds, rows, smallest = classes.agg(F.count(F.lit(1)), F.sum("n"), F.min("n")).first()
+    return classes, kinds, rows or 0, smallest or 0
+
+
+def _part_index(
+    df: DataFrame, id_col: str, label: str, seed: int, sizes: DataFrame, kinds: int, rows: int, parts: int = 1
+) -> DataFrame:
     """Add ``_part``: how many of the row's class cuts lie before it in hash order.
 
-    ``ends`` turns the class table (label, n) into (label, ends), the running part sizes.
+    ``sizes`` is the class table with ``ends``, the running sizes of ``parts`` parts.
     """
-    keyed = df.withColumn("_h", hash_order(id_col, seed)).withColumn("_p", F.substring("_h", 1, digits))
-    counts = stage_table(keyed.groupBy(F.col(label).alias("_l"), "_p").agg(F.count(F.lit(1)).alias("_n")), "split")
+    digits = min(max(math.ceil(math.log(max(rows / ROWS_PER_PREFIX, 1), 16)), 1), MAX_DIGITS)
+    few = kinds * parts <= BROADCAST_CUTS
+
+    def side(d: DataFrame) -> DataFrame:
+        return F.broadcast(d) if few else d
+
+    keyed = df.withColumn("_h", hash_order(id_col, seed))
+    hashed = keyed.select(F.col(label).alias("_l"), F.substring("_h", 1, digits).alias("_p"), "_h")
+    counts = hashed.groupBy("_l", "_p").agg(F.count(F.lit(1)).alias("_n"))
+    wanted = sizes.select(F.col("_l").alias("_w"), F.explode("ends").alias("_upto"))
 
     # Running counts over at most 16**digits prefixes per class.
     running = Window.partitionBy("_l").orderBy("_p").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    sizes = ends(counts.groupBy("_l").agg(F.sum("_n").alias("n")))
-    wanted = sizes.select(F.col("_l").alias("_w"), F.explode("ends").alias("_upto")).filter("_upto > 0")
     spans = counts.withColumn("_end", F.sum("_n").over(running))
-    target = (
-        spans.join(wanted, F.col("_l").eqNullSafe(F.col("_w")))
-        .filter((F.col("_end") - F.col("_n") < F.col("_upto")) & (F.col("_upto") <= F.col("_end")))
-        .select(F.col("_w"), F.col("_p").alias("_q"), "_upto", (F.col("_upto") - F.col("_end") + F.col("_n")).alias("_k"))
-    )
-    target, _ = broadcast_if_small(target)
-
-    near = keyed.select(F.col(label).alias("_l"), "_p", "_h").join(
-        target, F.col("_l").eqNullSafe(F.col("_w")) & (F.col("_p") == F.col("_q"))
-    )
+    target = spans.join(side(wanted), F.col("_l").eqNullSafe(F.col("_w")))
+    target = target.filter((F.col("_end") - F.col("_n") < F.col("_upto")) & (F.col("_upto") <= F.col("_end")))
+    target = target.select("_w", F.col("_p").alias("_q"), "_upto", (F.col("_upto") - F.col("_end") + F.col("_n")).alias("_k"))
+
+    near = hashed.join(side(target), F.col("_l").eqNullSafe(F.col("_w")) & (F.col("_p") == F.col("_q")))
     place = F.row_number().over(Window.partitionBy("_w", "_upto").orderBy("_h"))
-    cuts = near.withColumn("_r", place).filter("_r = _k").groupBy("_w").agg(F.collect_list("_h").alias("_cuts"))
-    cuts, _ = broadcast_if_small(stage_table(cuts, "cuts"))
+    cuts = near.withColumn("_r", place).filter("_r = _k").select("_w", F.col("_h").alias("_cut"))
+    # A part of no rows ends before every hash.
+    cuts = cuts.unionAll(wanted.filter("_upto = 0").select("_w", F.lit("").alias("_cut")))
+    cuts = cuts.groupBy("_w").agg(F.collect_list("_cut").alias("_cuts"))
 
-    cut_list = F.coalesce("_cuts", F.array().cast("array<string>"))
-    out = keyed.join(cuts, F.col(label).eqNullSafe(F.col("_w")), "left")
-    part = F.size(F.filter(cut_list, lambda c: c < F.col("_h")))
-    return out.withColumn("_part", part).drop("_h", "_p", "_w", "_cuts")
+    out = keyed.join(side(cuts), F.col(label).eqNullSafe(F.col("_w")), "left")
+    part = F.expr("size(filter(_cuts, c -> c < _h))")
+    return out.withColumn("_part", part).drop("_h", "_w", "_cuts")
 
 
 def split_exact(df: DataFrame, id_col: str, test_share: float = 0.2, seed: int = 42, out: str = "is_test") -> DataFrame:
     """Mark exactly ceil(share * n) rows as test."""
-
-    def ends(classes: DataFrame) -> DataFrame:
-        return classes.withColumn("ends", F.array(F.ceil(F.col("n") * F.lit(test_share)).cast("long")))
-
-    marked = _part_index(df.withColumn("_all", F.lit(0)), id_col, "_all", seed, ends)
+    whole = df.withColumn("_all", F.lit(0))
+    classes, kinds, rows, _ = _class_table(whole, "_all")
+    sizes = classes.withColumn("ends", F.array(F.ceil(F.col("n") * F.lit(test_share)).cast("long")))
+    marked = _part_index(whole, id_col, "_all", seed, sizes, kinds, rows)
     return marked.withColumn(out, F.col("_part") == 0).drop("_part", "_all")
 
 
@@ -79,9 +91,8 @@ def class_quotas(classes: DataFrame, test_share: float) -> DataFrame:
     """
     every = Window.partitionBy(F.lit(0))
     total = F.sum("n").over(every)
-    test = F.ceil(total * F.lit(test_share))
-    exact = F.col("n") * F.col("_test") / F.col("_total")
-    df = classes.withColumns({"_total": total, "_test": test}).withColumn("_base", F.floor(exact))
+    df = classes.withColumn("_total", total).withColumn("_test", F.ceil(F.col("_total") * F.lit(test_share)))
+    df = df.withColumn("_base", F.floor(F.col("n") * F.col("_test") / F.col("_total")))
     df = df.withColumn("_rest", F.col("n") * F.col("_test") - F.col("_base") * F.col("_total"))
     order = F.row_number().over(every.orderBy(F.desc("_rest"), F.asc("_l")))
     extra = F.when(order <= F.col("_test") - F.sum("_base").over(every), 1).otherwise(0)
@@ -93,24 +104,18 @@ def split_stratified(
     df: DataFrame, id_col: str, label: str, test_share: float = 0.2, seed: int = 42, out: str = "is_test"
 ) -> DataFrame:
     """Mark test rows class by class; falls back to a plain split if a class has a single row."""
-    smallest = df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).agg(F.min("n")).first()[0]
-    if smallest is None or smallest < 2:
+    classes, kinds, rows, smallest = _class_table(df, label)
+    if smallest < 2:
         return split_exact(df, id_col, test_share, seed, out)
-    marked = _part_index(df, id_col, label, seed, lambda classes: class_quotas(classes, test_share))
-    # A class whose quota is zero has no cut, so its rows all count as part 0.
-    quotas = class_quotas(df.groupBy(F.col(label).alias("_l")).agg(F.count(F.lit(1)).alias("n")), test_share)
-    empty, _ = broadcast_if_small(quotas.filter(F.col("ends")[0] == 0).select(F.col("_l").alias("_zero"), F.lit(True).alias("_none")))
-    marked = marked.join(empty, F.col(label).eqNullSafe(F.col("_zero")), "left")
-    return marked.withColumn(out, (F.col("_part") == 0) & F.col("_none").isNull()).drop("_part", "_zero", "_none")
+    marked = _part_index(df, id_col, label, seed, class_quotas(classes, test_share), kinds, rows)
+    return marked.withColumn(out, F.col("_part") == 0).drop("_part")
 
 
 def kfold_stratified(df: DataFrame, id_col: str, label: str, folds: int = 5, seed: int = 42, out: str = "fold") -> DataFrame:
     """Shuffled folds 0..k-1 of nearly equal size within every class."""
-
-    def ends(classes: DataFrame) -> DataFrame:
-        return classes.withColumn("ends", _fold_ends(F.col("n"), folds))
-
-    return _part_index(df, id_col, label, seed, ends).withColumnRenamed("_part", out)
+    classes, kinds, rows, _ = _class_table(df, label)
+    sizes = classes.withColumn("ends", _fold_ends(F.col("n"), folds))
+    return _part_index(df, id_col, label, seed, sizes, kinds, rows, folds).withColumnRenamed("_part", out)
 
 
 def kfold_contiguous(df: DataFrame, order_col: str, folds: int = 5, out: str = "fold", sort_rows: int = SORT_ROWS) -> DataFrame:
@@ -121,7 +126,3 @@ def kfold_contiguous(df: DataFrame, order_col: str, folds: int = 5, out: str = "
     cuts = rank_cuts(df, order_col, [r for r in lasts if r >= 0], total, sort_rows)
     fold = sum(((F.col(order_col) > F.lit(c)).cast("int") for c in cuts), F.lit(0))
     return df.withColumn(out, fold)
-
-
-def test_rows(total: int, share: float = 0.2) -> int:
-    return math.ceil(total * share)

@@ -40,7 +40,7 @@ BOX_SQL = "(SELECT c_custkey AS cd_mun, c_custkey % 100 AS x, c_custkey // 100 %
 
 @query("polygon_area", f"SELECT cd_mun, round((w * h - 0.5)::DOUBLE, 6) AS area FROM {BOX_SQL}")
 def polygon_area(spark, sf_dir):
-    return rounded(boxes(spark, sf_dir).select("cd_mun", geo.polygon_area(F.col("rings")).alias("area")), 6)
+    return rounded(boxes(spark, sf_dir).select("cd_mun", geo.polygon_area("rings").alias("area")), 6)
 
 
 @query(
@@ -49,7 +49,7 @@ def polygon_area(spark, sf_dir):
                round(((y + h / 2) * w * h - (y + 1.5) * 0.5)::DOUBLE / (w * h - 0.5)::DOUBLE, 6) AS centroid_y FROM {BOX_SQL}""",
 )
 def polygon_centroid(spark, sf_dir):
-    c = boxes(spark, sf_dir).select("cd_mun", geo.polygon_centroid(F.col("rings")).alias("c"))
+    c = boxes(spark, sf_dir).select("cd_mun", geo.polygon_centroid("rings").alias("c"))
     return rounded(c.select("cd_mun", F.col("c.x").alias("centroid_x"), F.col("c.y").alias("centroid_y")), 6)
 
 
@@ -67,7 +67,7 @@ def polygon_scan(spark, sf_dir):
         layer.select(feature.alias("value")).write.text(path)
 
     layer = polygons.scan_polygons(spark, once(spark, sf_dir, "layer", write), {"CD_MUN": "cd_mun", "NM_MUN": "nm_mun"})
-    box = geo.bounding_box(F.col("rings"))
+    box = geo.bounding_box("rings")
     return layer.select("cd_mun", "nm_mun", F.size("rings").alias("n_rings"), box["x0"].alias("x0"), box["y1"].alias("y1"))
 
 
@@ -77,8 +77,8 @@ def polygon_scan(spark, sf_dir):
 )
 def utm_project(spark, sf_dir):
     """To metres and back to degrees."""
-    p = plant_places(spark, sf_dir).select("c_custkey", geo.utm(F.col("longitude"), F.col("latitude")).alias("m"))
-    p = p.withColumn("g", geo.lonlat(F.col("m.x"), F.col("m.y")))
+    p = plant_places(spark, sf_dir).select("c_custkey", geo.utm("longitude", "latitude").alias("m"))
+    p = p.withColumn("g", geo.lonlat("m.x", "m.y"))
     flat = p.select("c_custkey", F.col("m.x").alias("easting"), F.col("m.y").alias("northing"), F.col("g.x").alias("lon"), F.col("g.y").alias("lat"))
     return rounded(rounded(flat, 3, "easting", "northing"), 6, "lon", "lat")
 
@@ -142,13 +142,13 @@ def energy_mart(spark, sf_dir):
         "longitude", "latitude", F.expr(SEGMENT_KIND_SQL).alias("SigTipoGeracao"), F.abs("c_acctbal").alias("potencia_kw")
     )
     inside = spatial.join_within(points, layer(spark, sf_dir).select("cd_mun", "rings"))
-    full = mart.plant_mart(base, inside)
+    full = stage_table(mart.plant_mart(base, inside), "plants")
     readings = mart.station_mean(table(spark, sf_dir, "lineitem"), "l_suppkey", "l_extendedprice")
     stations = cells(spark, sf_dir).join(readings, F.col("s_suppkey") == F.col("l_suppkey")).select("s_suppkey", F.col("x0").alias("sx"), F.col("y0").alias("sy"), "radiacao_media_anual")
     stations = stage_table(stations, "stations")
     near = spatial.nearest_join(full.select("cd_mun", "centroid_lon", "centroid_lat"), stations, "cd_mun", "s_suppkey", ("centroid_lon", "centroid_lat"), ("sx", "sy"))
     climate = near.join(stations.select("s_suppkey", "radiacao_media_anual"), "s_suppkey").select("cd_mun", "radiacao_media_anual")
-    return stage_table(full.join(climate, "cd_mun", "left"), "energy-mart")
+    return stage_table(full.join(climate, "cd_mun", "left"), "energy")
 
 
 @query(

@@ -50,9 +50,9 @@ def equal_width_bins(spark, sf_dir):
 @query("quantile_p75", "SELECT round(quantile_cont(l_extendedprice, 0.75), 4) AS p75, round(quantile_cont(l_quantity, 0.75), 4) AS q75 FROM lineitem")
 def quantile_p75(spark, sf_dir):
     li = table(spark, sf_dir, "lineitem")
-    p, q = (order.quantiles(li, c, [0.75])[0] for c in ("l_extendedprice", "l_quantity"))
-    # The count keeps the report empty for an empty table.
-    return rounded(li.agg(F.lit(p).alias("p75"), F.lit(q).alias("q75")))
+    found = order.quantiles(li, {"l_extendedprice": [0.75], "l_quantity": [0.75]})
+    (p,), (q,) = found["l_extendedprice"], found["l_quantity"]
+    return rounded(spark.createDataFrame([(p, q)], "p75 double, q75 double"))
 
 
 @query(
