@@ -1,7 +1,8 @@
 """Planar geometry and the UTM projection as column expressions.
 
 A point is ``struct<x,y>``, a ring an array of points (closed), a polygon an array of rings
-whose first is the outer one. The projection is the published Krüger series for GRS80.
+whose first is the outer one, and a shape an array of polygons, as a municipality may have
+several parts. The projection is the published Krüger series for GRS80.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 POINT = "struct<x:double,y:double>"
-RINGS = f"array<array<{POINT}>>"
+SHAPE = f"array<array<array<{POINT}>>>"
 
 # GRS80 ellipsoid and UTM zone 22 south.
 SEMI_MAJOR, FLATTENING = 6378137.0, 1 / 298.257222101
@@ -77,8 +78,8 @@ def lonlat(east: str, north: str) -> Column:
     return F.expr(f"get({ring_to_lonlat(_one_point(east, north))}, 0)")
 
 
-def rings_to_utm(rings: str) -> Column:
-    return F.expr(f"transform({rings}, r -> {ring_to_utm('r')})")
+def shape_to_utm(shape: str) -> Column:
+    return F.expr(f"transform({shape}, g -> transform(g, r -> {ring_to_utm('r')}))")
 
 
 def _segments(ring: str) -> str:
@@ -87,9 +88,9 @@ def _segments(ring: str) -> str:
     return f"zip_with(slice({ring}, 1, {n}), slice({ring}, 2, {n}), (a, b) -> named_struct('a', a, 'b', b))"
 
 
-def segments(rings: str) -> Column:
-    """All edges of a polygon, for ``strictly_inside``."""
-    return F.expr(f"flatten(transform({rings}, r -> {_segments('r')}))")
+def segments(shape: str) -> Column:
+    """All edges of a shape, for ``strictly_inside``."""
+    return F.expr(f"flatten(transform(flatten({shape}), r -> {_segments('r')}))")
 
 
 def _ring_moments(ring: str) -> str:
@@ -102,18 +103,19 @@ def _ring_moments(ring: str) -> str:
         m -> named_struct('a', abs(m.a), 'x', m.x * signum(m.a) + get({ring}, 0).x * abs(m.a), 'y', m.y * signum(m.a) + get({ring}, 0).y * abs(m.a)))"""
 
 
-def polygon_moments(rings: str) -> Column:
-    """Struct ``a, x, y``: area and area-weighted coordinates of the outer ring less the holes."""
-    holes = f"slice({rings}, 2, greatest(size({rings}) - 1, 0))"
-    outer = _ring_moments(f"get({rings}, 0)")
-    return F.expr(
-        f"""aggregate(transform({holes}, r -> {_ring_moments('r')}), {outer},
+def moments(shape: str) -> Column:
+    """Struct ``a, x, y``: area and area-weighted coordinates, holes taken off, parts added up."""
+    holes = "slice(g, 2, greatest(size(g) - 1, 0))"
+    part = f"""aggregate(transform({holes}, r -> {_ring_moments('r')}), {_ring_moments('get(g, 0)')},
         (m, h) -> named_struct('a', m.a - h.a, 'x', m.x - h.x, 'y', m.y - h.y))"""
+    return F.expr(
+        f"""aggregate(transform({shape}, g -> {part}), named_struct('a', 0D, 'x', 0D, 'y', 0D),
+        (m, h) -> named_struct('a', m.a + h.a, 'x', m.x + h.x, 'y', m.y + h.y))"""
     )
 
 
-def polygon_area(rings: str) -> Column:
-    return polygon_moments(rings)["a"]
+def area(shape: str) -> Column:
+    return moments(shape)["a"]
 
 
 def centroid_of(moments: str) -> Column:
@@ -121,13 +123,8 @@ def centroid_of(moments: str) -> Column:
     return F.expr(f"if({moments}.a > 0, named_struct('x', {moments}.x / {moments}.a, 'y', {moments}.y / {moments}.a), null)")
 
 
-def polygon_centroid(rings: str) -> Column:
-    moments = polygon_moments(rings)
-    return F.transform(F.array(moments), lambda m: F.when(m["a"] > 0, point(m["x"] / m["a"], m["y"] / m["a"])))[0]
-
-
-def bounding_box(rings: str) -> Column:
-    xs, ys = (f"transform(get({rings}, 0), p -> p.{c})" for c in "xy")
+def bounding_box(shape: str) -> Column:
+    xs, ys = (f"transform(flatten(transform({shape}, g -> get(g, 0))), p -> p.{c})" for c in "xy")
     return F.expr(f"named_struct('x0', array_min({xs}), 'y0', array_min({ys}), 'x1', array_max({xs}), 'y1', array_max({ys}))")
 
 

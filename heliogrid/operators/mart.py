@@ -12,9 +12,9 @@ from heliogrid.operators.project import fill_zero
 PLANT_MEASURES = ["num_total_usinas", "num_usinas_solares", "num_usinas_eolica", "potencia_total_mw", "potencia_hidro_mw"]
 
 
-def with_geometry(layer: DataFrame, rings: str = "rings") -> DataFrame:
-    """Area in km² and centroid in degrees, both measured on the projected polygon."""
-    plane = layer.withColumn("_utm", geo.rings_to_utm(rings)).withColumn("_m", geo.polygon_moments("_utm"))
+def with_geometry(layer: DataFrame, shape: str = "geometry") -> DataFrame:
+    """Area in km² and centroid in degrees, both measured on the projected shape."""
+    plane = layer.withColumn("_utm", geo.shape_to_utm(shape)).withColumn("_m", geo.moments("_utm"))
     plane = plane.withColumn("_c", geo.centroid_of("_m")).withColumn("_ll", geo.lonlat("_c.x", "_c.y"))
     measures = {"area_km2": F.col("_m.a") / 1e6, "centroid_lon": F.col("_ll.x"), "centroid_lat": F.col("_ll.y")}
     return plane.withColumns(measures).drop("_utm", "_m", "_c", "_ll")

@@ -20,7 +20,7 @@ def join_within(
     polygons: DataFrame,
     x: str = "longitude",
     y: str = "latitude",
-    rings: str = "rings",
+    shape: str = "geometry",
     salts: int = SALTS,
 ) -> DataFrame:
     """Each point with every polygon that strictly contains it.
@@ -31,10 +31,10 @@ def join_within(
     points of a cell are spread over ``salts`` pieces, so that a crowded cell is no hot key.
     """
     extent = "greatest(_box.x1 - _box.x0, _box.y1 - _box.y0)"
-    placed = polygons.withColumn("_box", geo.bounding_box(rings)).filter(f"{extent} > 0")
-    placed = placed.withColumn("_level", F.expr(f"int(ceil(log2({extent}))) - 1")).withColumn("_segs", geo.segments(rings))
+    placed = polygons.withColumn("_box", geo.bounding_box(shape)).filter(f"{extent} > 0")
+    placed = placed.withColumn("_level", F.expr(f"int(ceil(log2({extent}))) - 1")).withColumn("_segs", geo.segments(shape))
     size = "pow(2D, _level)"
-    cells = placed.drop(rings)
+    cells = placed.drop(shape)
     for axis in "xy":
         span = f"explode(sequence(floor(_box.{axis}0 / {size}), floor(_box.{axis}1 / {size})))"
         cells = cells.withColumn(f"_c{axis}", F.expr(span))

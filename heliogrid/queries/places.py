@@ -32,7 +32,7 @@ def boxes(spark, sf_dir):
         return F.array(*[geo.point(a, b) for a, b in ((x0, y0), (x1, y0), (x1, y1), (x0, y1), (x0, y0))])
 
     hole = box(x + 1, y + 1, x + 1.5, y + 2)
-    return c.select(F.col("c_custkey").alias("cd_mun"), F.col("c_name").alias("nm_mun"), F.array(box(x, y, x + w, y + h), hole).alias("rings"))
+    return c.select(F.col("c_custkey").alias("cd_mun"), F.col("c_name").alias("nm_mun"), F.array(F.array(box(x, y, x + w, y + h), hole)).alias("geometry"))
 
 
 BOX_SQL = "(SELECT c_custkey AS cd_mun, c_custkey % 100 AS x, c_custkey // 100 % 100 AS y, c_custkey % 7 + 2 AS w, c_custkey % 5 + 3 AS h FROM customer)"
@@ -40,7 +40,7 @@ BOX_SQL = "(SELECT c_custkey AS cd_mun, c_custkey % 100 AS x, c_custkey // 100 %
 
 @query("polygon_area", f"SELECT cd_mun, round((w * h - 0.5)::DOUBLE, 6) AS area FROM {BOX_SQL}")
 def polygon_area(spark, sf_dir):
-    return rounded(boxes(spark, sf_dir).select("cd_mun", geo.polygon_area("rings").alias("area")), 6)
+    return rounded(boxes(spark, sf_dir).select("cd_mun", geo.area("geometry").alias("area")), 6)
 
 
 @query(
@@ -49,7 +49,7 @@ def polygon_area(spark, sf_dir):
                round(((y + h / 2) * w * h - (y + 1.5) * 0.5)::DOUBLE / (w * h - 0.5)::DOUBLE, 6) AS centroid_y FROM {BOX_SQL}""",
 )
 def polygon_centroid(spark, sf_dir):
-    c = boxes(spark, sf_dir).select("cd_mun", geo.polygon_centroid("rings").alias("c"))
+    c = boxes(spark, sf_dir).select("cd_mun", geo.moments("geometry").alias("m")).select("cd_mun", geo.centroid_of("m").alias("c"))
     return rounded(c.select("cd_mun", F.col("c.x").alias("centroid_x"), F.col("c.y").alias("centroid_y")), 6)
 
 
@@ -63,12 +63,12 @@ def polygon_scan(spark, sf_dir):
 
     def write(path):
         layer = boxes(spark, sf_dir)
-        feature = polygons.to_geojson({"CD_MUN": F.col("cd_mun").cast("string"), "NM_MUN": F.col("nm_mun")}, F.col("rings"))
+        feature = polygons.to_geojson({"CD_MUN": F.col("cd_mun").cast("string"), "NM_MUN": F.col("nm_mun")}, "geometry")
         layer.select(feature.alias("value")).write.text(path)
 
     layer = polygons.scan_polygons(spark, once(spark, sf_dir, "layer", write), {"CD_MUN": "cd_mun", "NM_MUN": "nm_mun"})
-    box = geo.bounding_box("rings")
-    return layer.select("cd_mun", "nm_mun", F.size("rings").alias("n_rings"), box["x0"].alias("x0"), box["y1"].alias("y1"))
+    box = geo.bounding_box("geometry")
+    return layer.select("cd_mun", "nm_mun", F.size(F.flatten("geometry")).alias("n_rings"), box["x0"].alias("x0"), box["y1"].alias("y1"))
 
 
 @query(
@@ -88,7 +88,7 @@ def layer(spark, sf_dir):
     s = cells(spark, sf_dir)
     x, y = F.col("x0"), F.col("y0")
     ring = F.array(geo.point(x, y), geo.point(x + 0.25, y), geo.point(x, y + 0.25), geo.point(x, y))
-    return s.select(F.col("s_suppkey").alias("cd_mun"), F.col("s_name").alias("nm_mun"), F.array(ring).alias("rings"))
+    return s.select(F.col("s_suppkey").alias("cd_mun"), F.col("s_name").alias("nm_mun"), F.array(F.array(ring)).alias("geometry"))
 
 
 VERTEX_SQL = f"""(SELECT cd_mun, k, x0 + 0.25::DOUBLE * (k = 1)::INT AS lon, y0 + 0.25::DOUBLE * (k = 2)::INT AS lat
@@ -137,11 +137,11 @@ SEGMENT_KIND_SQL = "CASE c_mktsegment WHEN 'BUILDING' THEN 'UFV' WHEN 'MACHINERY
 
 def energy_mart(spark, sf_dir):
     """Geometry, plants inside, and the radiation of the nearest station, per municipality."""
-    base = mart.with_geometry(layer(spark, sf_dir)).drop("rings")
+    base = mart.with_geometry(layer(spark, sf_dir)).drop("geometry")
     points = plant_places(spark, sf_dir).select(
         "longitude", "latitude", F.expr(SEGMENT_KIND_SQL).alias("SigTipoGeracao"), F.abs("c_acctbal").alias("potencia_kw")
     )
-    inside = spatial.join_within(points, layer(spark, sf_dir).select("cd_mun", "rings"))
+    inside = spatial.join_within(points, layer(spark, sf_dir).select("cd_mun", "geometry"))
     full = stage_table(mart.plant_mart(base, inside), "plants")
     readings = mart.station_mean(table(spark, sf_dir, "lineitem"), "l_suppkey", "l_extendedprice")
     stations = cells(spark, sf_dir).join(readings, F.col("s_suppkey") == F.col("l_suppkey")).select("s_suppkey", F.col("x0").alias("sx"), F.col("y0").alias("sy"), "radiacao_media_anual")

@@ -68,7 +68,7 @@ def measured_bytes(df: DataFrame) -> int:
     return df.agg(F.coalesce(size, F.lit(0)).alias("n")).first()["n"]
 
 
-def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> tuple[DataFrame, bool]:
+def broadcast_if_small(df: DataFrame, max_bytes: int | None = None) -> tuple[DataFrame, bool]:
     """Hint a broadcast only after measuring ``df``; otherwise leave the join to AQE."""
-    small = measured_bytes(df) <= max_bytes
+    small = measured_bytes(df) <= (BROADCAST_BYTES if max_bytes is None else max_bytes)
     return (F.broadcast(df) if small else df), small
