@@ -34,6 +34,12 @@ def try_number(col: Column, kind: str = "double", decimal_sep: str = ",") -> Col
     return F.when(text.rlike(NUMBER_PATTERN), value)
 
 
+def strict_number(col: Column, kind: str = "double", decimal_sep: str = ",") -> Column:
+    """Text to number; text that is neither a number nor a null token stops the query."""
+    text = null_tokens(F.trim(col))
+    return (comma_to_point(text) if decimal_sep == "," else text).cast(kind)
+
+
 def try_whole_number(col: Column) -> Column:
     """Text to a whole number with rounding, the default scale of a NUMERIC cast."""
     return try_number(col, "decimal(38,0)")

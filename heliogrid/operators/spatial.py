@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from heliogrid.functions import geo
-from heliogrid.session import broadcast_if_small, stage_table
+from heliogrid.session import may_broadcast, serialised_bytes, stage_table
 
 MAX_TILES = 4096  # bound of the tile table of a nearest join
 SALTS = 16  # pieces a hot cell is split into when neither side is small
@@ -39,10 +39,12 @@ def join_within(
         span = f"explode(sequence(floor(_box.{axis}0 / {size}), floor(_box.{axis}1 / {size})))"
         cells = cells.withColumn(f"_c{axis}", F.expr(span))
     cells = stage_table(cells.drop("_box"), "cells")
-    cells, small = broadcast_if_small(cells)
 
-    # The grids in use: a set of binary exponents, a few dozen at most.
-    levels = [r[0] for r in cells.select("_level").distinct().collect()]
+    # The grids in use are a set of binary exponents, a few dozen at most.
+    size_bytes, levels = cells.agg(serialised_bytes(), F.collect_set("_level")).first()
+    small = may_broadcast(size_bytes)
+    if small:
+        cells = F.broadcast(cells)
     probes = points.withColumn("_level", F.explode(F.lit(levels).cast("array<int>")))
     probes = probes.withColumns({"_cx": F.expr(f"floor({x} / {size})"), "_cy": F.expr(f"floor({y} / {size})")})
     keys = ["_level", "_cx", "_cy"]
@@ -95,8 +97,10 @@ def nearest_join(
     sx, sy = (F.col(c).cast("double") for c in site_xy)
     places = sites.select(sx.alias("_sx"), sy.alias("_sy"), F.col(site_id)).dropna()
     places = stage_table(places.groupBy("_sx", "_sy").agg(F.min(site_id).alias(site_id)), "sites")
-    tiles = min(max(math.isqrt(places.count()), 16), max_tiles)
-    tiled = stage_table(places.withColumn("_tile", _tiling(places, math.isqrt(tiles))), "tiles")
+    size_bytes, n = places.agg(serialised_bytes(), F.count(F.lit(1))).first()
+    small = may_broadcast(size_bytes)
+    tiles = min(max(math.isqrt(n), 16), max_tiles)
+    tiled = places.withColumn("_tile", _tiling(places, math.isqrt(tiles)))
 
     # At most max_tiles rows, one per tile; they enter the plan as one folded constant.
     boxes = tiled.groupBy("_tile").agg(F.min("_sx"), F.max("_sx"), F.min("_sy"), F.max("_sy")).collect()
@@ -112,9 +116,10 @@ def nearest_join(
     chosen = f"filter({known}, b -> {near} <= _bound * {1 + 1e-12!r}D)"
     probes = bounded.select(point_id, "_px", "_py", F.expr(f"explode(transform({chosen}, b -> b.t))").alias("_tile"))
 
-    tiled, small = broadcast_if_small(tiled)
     keys = ["_tile"]
-    if not small:
+    if small:
+        tiled = F.broadcast(tiled)
+    else:
         probes = probes.withColumn("_salt", F.pmod(F.xxhash64(point_id), F.lit(salts)))
         tiled = tiled.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
         keys.append("_salt")

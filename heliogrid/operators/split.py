@@ -77,10 +77,9 @@ def _part_index(
 
 def split_exact(df: DataFrame, id_col: str, test_share: float = 0.2, seed: int = 42, out: str = "is_test") -> DataFrame:
     """Mark exactly ceil(share * n) rows as test."""
-    whole = df.withColumn("_all", F.lit(0))
-    classes, kinds, rows, _ = _class_table(whole, "_all")
-    sizes = classes.withColumn("ends", F.array(F.ceil(F.col("n") * F.lit(test_share)).cast("long")))
-    marked = _part_index(whole, id_col, "_all", seed, sizes, kinds, rows)
+    rows = df.count()
+    sizes = df.sparkSession.createDataFrame([(0, [math.ceil(rows * test_share)])], "_l int, ends array<long>")
+    marked = _part_index(df.withColumn("_all", F.lit(0)), id_col, "_all", seed, sizes, 1, rows)
     return marked.withColumn(out, F.col("_part") == 0).drop("_part", "_all")
 
 

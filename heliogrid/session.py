@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Largest serialised size a side may have to be broadcast.
@@ -62,13 +62,19 @@ def stage_table(df: DataFrame, label: str = "stage") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def measured_bytes(df: DataFrame) -> int:
-    """Exact serialised size of ``df`` (one distributed aggregate, one number back)."""
-    size = F.sum(F.octet_length(F.to_json(F.struct("*"))).cast("long"))
-    return df.agg(F.coalesce(size, F.lit(0)).alias("n")).first()["n"]
+def serialised_bytes() -> Column:
+    """Aggregate: total serialised size of the rows, all columns included."""
+    return F.coalesce(F.sum(F.octet_length(F.to_json(F.struct("*"))).cast("long")), F.lit(0).cast("long"))
 
 
-def broadcast_if_small(df: DataFrame, max_bytes: int | None = None) -> tuple[DataFrame, bool]:
-    """Hint a broadcast only after measuring ``df``; otherwise leave the join to AQE."""
-    small = measured_bytes(df) <= (BROADCAST_BYTES if max_bytes is None else max_bytes)
+def may_broadcast(size: int) -> bool:
+    return size <= BROADCAST_BYTES
+
+
+def broadcast_if_small(df: DataFrame) -> tuple[DataFrame, bool]:
+    """Hint a broadcast only after measuring ``df``; otherwise leave the join to AQE.
+
+    ``df`` is read twice, so it should be a stored table.
+    """
+    small = may_broadcast(df.agg(serialised_bytes()).first()[0])
     return (F.broadcast(df) if small else df), small

@@ -45,16 +45,13 @@ def drop(spark: SparkSession, name: str) -> None:
     spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
-def append_by_year(df: DataFrame, path: str, date: str, year: str = "year", spread: bool = True) -> None:
-    """Append into one folder per year. The write is all or nothing: a failed task fails the load.
+def append_by_year(df: DataFrame, path: str, date: str, year: str = "year") -> None:
+    """Append into one folder per year; a row that fails to read or cast fails the load.
 
-    Rows are spread by year and a hash of the row, and AQE sizes the pieces, so a year with most
-    of the rows is written by many tasks and no task opens a file in every year.
+    Rows are rebalanced by year: AQE splits a year that holds most of the rows over many tasks,
+    and no task opens a file in every year.
     """
-    dated = df.withColumn(year, F.year(date))
-    if spread:
-        dated = dated.hint("rebalance", year)
-    dated.write.mode("append").partitionBy(year).parquet(path)
+    df.withColumn(year, F.year(date)).hint("rebalance", year).write.mode("append").partitionBy(year).parquet(path)
 
 
 def append_chunked(df: DataFrame, path: str, rows: int = CHUNK_ROWS) -> None:
@@ -76,6 +73,13 @@ def load_report(rows: DataFrame, file: str = "file", expected: DataFrame | None
     return counts.select(file, n.alias("n_rows"), F.when(n > 0, F.lit("success")).otherwise(F.lit("empty")).alias("status"))
 
 
+def require_loaded(report: DataFrame) -> None:
+    """Stop when a catalogued file gave no rows, for loads that must not skip files."""
+    n = report.filter("status <> 'success'").count()
+    if n:
+        raise ValueError(f"{n} files gave no rows")
+
+
 def to_variant(df: DataFrame, text: str, out: str = "RAW_DATA") -> DataFrame:
     """Semi-structured landing column; text that is not JSON becomes null."""
     return df.withColumn(out, F.try_parse_json(text))

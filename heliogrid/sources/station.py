@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from heliogrid.columns import MEASURES, RAW_SCHEMA, SHORT_MODEL, STATION_COLUMNS, canonical_name, header_to
 from heliogrid.functions import dates, text
-from heliogrid.session import broadcast_if_small
+from heliogrid.session import broadcast_if_small, stage_table
 
 # File format of the station readings.
 STATION_FORMAT = {
@@ -63,7 +63,7 @@ def scan_by_header(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     headers = headers.groupBy("file").agg(
         F.max(F.transform("cells", lambda c: F.coalesce(known[F.upper(F.trim(c))], F.lit("")))).alias("names")
     )
-    headers, _ = broadcast_if_small(headers)
+    headers, _ = broadcast_if_small(stage_table(headers, "headers"))
     rows = lines.filter(F.col("cells")[0].rlike(READING_PATTERN)).join(headers, "file")
     cols = [F.get("cells", F.array_position("names", F.lit(c.friendly)).cast("int") - 1).alias(c.friendly) for c in STATION_COLUMNS]
     return rows.select("file", *cols)
@@ -78,12 +78,17 @@ def friendly(raw: DataFrame) -> DataFrame:
     return raw.withColumnsRenamed(header_to("friendly"))
 
 
-def typed(raw: DataFrame, scale: str = "float") -> DataFrame:
-    """Friendly names with float measures and whole wind direction; bad text becomes null."""
+def typed(raw: DataFrame, scale: str = "float", on_error: str = "skip") -> DataFrame:
+    """Friendly names with float measures and whole wind direction.
+
+    Text that is not a number becomes null with ``on_error='skip'`` and stops the load with
+    ``'abort'``; the null tokens are null in both.
+    """
+    number = text.strict_number if on_error == "abort" else text.try_number
     cols = [F.col(f"`{c.header}`").alias(c.friendly) for c in STATION_COLUMNS if c.kind in ("date", "time")]
     for c in MEASURES:
         kind = "int" if c.kind == "int" else scale
-        cols.append(text.try_number(F.col(f"`{c.header}`"), kind).alias(c.friendly))
+        cols.append(number(F.col(f"`{c.header}`"), kind).alias(c.friendly))
     return raw.select(*cols, *[c for c in raw.columns if c not in RAW_SCHEMA.names])
 
 
@@ -174,7 +179,7 @@ def preamble_by_label(spark: SparkSession, paths: str | list[str], labels: dict[
 
 def tag_station(rows: DataFrame, preamble: DataFrame, key: str = "file", name: str = "estacao") -> DataFrame:
     """Add the station name of the same file to every reading."""
-    side, _ = broadcast_if_small(preamble.select(key, F.col("nome").alias(name)))
+    side, _ = broadcast_if_small(stage_table(preamble.select(key, F.col("nome").alias(name)), "preamble"))
     return rows.join(side, key, "left")
 
 

@@ -53,6 +53,13 @@ def test_raw_and_typed(spark, folder):
     assert int(whole.RADIACAO_GLOBAL_KJ_M2) == 13 and int(whole.PRECIPITACAO_MM) == 0
 
 
+def test_abort_on_bad_text(spark, folder):
+    good = station.typed(station.scan_raw(spark, str(folder / "2021")), on_error="abort")
+    assert [r.radiacao_global_kj_m2 for r in good.orderBy("data").collect()] == [pytest.approx(12.7), None]
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        station.typed(station.scan_raw(spark, str(folder / "2022")), on_error="abort").collect()
+
+
 def test_header_order_and_spelling(spark, folder, tmp_path):
     other = tmp_path / "other"
     other.mkdir()
@@ -205,3 +212,5 @@ def test_chunks_and_load_report(spark, tmp_path):
     rows = spark.createDataFrame([("a",), ("a",)], "file string")
     report = sink.load_report(rows, expected=spark.createDataFrame([("a",), ("b",)], "file string"))
     assert {tuple(r) for r in report.collect()} == {("a", 2, "success"), ("b", 0, "empty")}
+    with pytest.raises(ValueError):
+        sink.require_loaded(report)
