@@ -49,7 +49,9 @@ def join_within(
     probes = probes.withColumns({"_cx": F.expr(f"floor({x} / {size})"), "_cy": F.expr(f"floor({y} / {size})")})
     keys = ["_level", "_cx", "_cy"]
     if not small:
-        probes = probes.withColumn("_salt", F.pmod(F.xxhash64(x, y), F.lit(salts)))
+        # All columns take part, so that many points at one place still spread.
+        flat = [c for c, kind in points.dtypes if "map<" not in kind]
+        probes = probes.withColumn("_salt", F.pmod(F.xxhash64(*flat), F.lit(salts)))
         cells = cells.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
         keys.append("_salt")
     hit = geo.strictly_inside("_segs", x, y)
@@ -107,7 +109,9 @@ def nearest_join(
     names = ("t", "x0", "x1", "y0", "y1")
     known = _constant([dict(zip(names, b)) for b in boxes], "array<struct<t:int,x0:double,x1:double,y0:double,y1:double>>")
     near = "pow(greatest(b.x0 - _px, _px - b.x1, 0D), 2) + pow(greatest(b.y0 - _py, _py - b.y1, 0D), 2)"
-    far = "pow(greatest(abs(_px - b.x0), abs(_px - b.x1)), 2) + pow(greatest(abs(_py - b.y0), abs(_py - b.y1)), 2)"
+    # Every side of an exact box has a site on it, so one lies within the smaller of these two.
+    (nx, fx), (ny, fy) = [[f"pow({f}(abs(_p{c} - b.{c}0), abs(_p{c} - b.{c}1)), 2)" for f in ("least", "greatest")] for c in "xy"]
+    far = f"least({nx} + {fy}, {fx} + {ny})"
     x, y = F.col("_px"), F.col("_py")
     located = points.select(point_id, *[F.col(c).cast("double").alias(n) for c, n in zip(point_xy, ("_px", "_py"))])
     located = located.filter(x.isNotNull() & y.isNotNull())
@@ -116,14 +120,18 @@ def nearest_join(
     chosen = f"filter({known}, b -> {near} <= _bound * {1 + 1e-12!r}D)"
     probes = bounded.select(point_id, "_px", "_py", F.expr(f"explode(transform({chosen}, b -> b.t))").alias("_tile"))
 
+    # One row per tile with its sites in the order of their ids, about n / tiles of them.
+    site = F.struct(F.col(site_id).alias("id"), F.col("_sx").alias("x"), F.col("_sy").alias("y"))
+    lists = tiled.groupBy("_tile").agg(F.sort_array(F.collect_list(site)).alias("_sites"))
     keys = ["_tile"]
     if small:
-        tiled = F.broadcast(tiled)
+        lists = F.broadcast(lists)
     else:
         probes = probes.withColumn("_salt", F.pmod(F.xxhash64(point_id), F.lit(salts)))
-        tiled = tiled.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
+        lists = lists.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
         keys.append("_salt")
-    dx, dy = x - F.col("_sx"), y - F.col("_sy")
-    best = F.min(F.struct((dx * dx + dy * dy).alias("d2"), F.col(site_id).alias("id")))
-    found = probes.join(tiled, keys).groupBy(point_id).agg(best.alias("_b"))
+    square = "transform(_sites, s -> (_px - s.x) * (_px - s.x) + (_py - s.y) * (_py - s.y))"
+    met = probes.join(lists, keys).withColumn("_d2", F.expr(square)).withColumn("_m", F.array_min("_d2"))
+    best = F.struct(F.col("_m").alias("d2"), F.expr("get(_sites, int(array_position(_d2, _m)) - 1).id").alias("id"))
+    found = met.select(point_id, best.alias("_b")).groupBy(point_id).agg(F.min("_b").alias("_b"))
     return found.select(point_id, F.col("_b.id").alias(site_id), F.sqrt("_b.d2").alias("distance"))

@@ -1,7 +1,7 @@
 """Exact train/test splits and folds.
 
 "Random" means the order of ``md5(id-seed)``: fixed under a seed and the same on any cluster.
-The table is never sorted or shuffled as a whole. Rows are counted per class and hash prefix,
+The table is never sorted or shuffled as a whole. Rows are counted per hash prefix (and class),
 only the prefixes in which a cut falls are ordered, and every row is compared with the cuts.
 Ids must be unique.
 """
@@ -38,6 +38,10 @@ def _class_table(df: DataFrame, label: str) -> tuple[DataFrame, int, int, int]:
     return classes, kinds, rows or 0, smallest or 0
 
 
+def _digits(rows: int) -> int:
+    return min(max(math.ceil(math.log(max(rows / ROWS_PER_PREFIX, 1), 16)), 1), MAX_DIGITS)
+
+
 def _part_index(
     df: DataFrame, id_col: str, label: str, seed: int, sizes: DataFrame, kinds: int, rows: int, parts: int = 1
 ) -> DataFrame:
@@ -45,7 +49,7 @@ def _part_index(
 
     ``sizes`` is the class table with ``ends``, the running sizes of ``parts`` parts.
     """
-    digits = min(max(math.ceil(math.log(max(rows / ROWS_PER_PREFIX, 1), 16)), 1), MAX_DIGITS)
+    digits = _digits(rows)
     few = kinds * parts <= BROADCAST_CUTS
 
     def side(d: DataFrame) -> DataFrame:
@@ -78,9 +82,17 @@ def _part_index(
 def split_exact(df: DataFrame, id_col: str, test_share: float = 0.2, seed: int = 42, out: str = "is_test") -> DataFrame:
     """Mark exactly ceil(share * n) rows as test."""
     rows = df.count()
-    sizes = df.sparkSession.createDataFrame([(0, [math.ceil(rows * test_share)])], "_l int, ends array<long>")
-    marked = _part_index(df.withColumn("_all", F.lit(0)), id_col, "_all", seed, sizes, 1, rows)
-    return marked.withColumn(out, F.col("_part") == 0).drop("_part", "_all")
+    wanted = math.ceil(rows * test_share)
+    if wanted == 0:
+        return df.withColumn(out, F.lit(False))
+    prefix = F.substring("_h", 1, _digits(rows))
+    hashed = df.select(hash_order(id_col, seed).alias("_h"))
+    # At most 16**digits counts are summed up; the prefix that holds the last test row comes back.
+    running = Window.partitionBy(F.lit(0)).orderBy("_p").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    spans = hashed.groupBy(prefix.alias("_p")).agg(F.count(F.lit(1)).alias("_n")).withColumn("_end", F.sum("_n").over(running))
+    place = spans.filter((F.col("_end") - F.col("_n") < wanted) & (F.col("_end") >= wanted)).first()
+    last = hashed.filter(prefix == place["_p"]).orderBy("_h").offset(wanted - place["_end"] + place["_n"] - 1).first()["_h"]
+    return df.withColumn(out, hash_order(id_col, seed) <= last)
 
 
 def class_quotas(classes: DataFrame, test_share: float) -> DataFrame:
