@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 # Accepted date layouts, in order of preference.
 DATE_PATTERNS = ("yyyy/MM/dd", "yyyy-MM-dd")
 
-# Four digits with an optional UTC mark, or hours and minutes with a colon.
-TIME_PATTERN = r"^\s*([01]\d|2[0-3]):?([0-5]\d)(?::([0-5]\d))?\s*(?:UTC)?\s*$"
+# Hours and minutes, with or without colons and seconds.
+TIME_PATTERN = r"^([01]\d|2[0-3]):?[0-5]\d(:?[0-5]\d)?$"
 
 
 def try_date(col: Column, patterns: tuple[str, ...] = DATE_PATTERNS) -> Column:
@@ -24,15 +24,15 @@ def strict_date(col: Column, pattern: str = "yyyy/MM/dd") -> Column:
 
 def try_time(col: Column) -> Column:
     """``1300 UTC`` or ``13:00`` to ``13:00:00``; null when it is not a time of day."""
-    hour, minute, second = (F.regexp_extract(col, TIME_PATTERN, i) for i in (1, 2, 3))
-    second = F.when(second == "", F.lit("00")).otherwise(second)
-    return F.when(col.rlike(TIME_PATTERN), F.concat_ws(":", hour, minute, second))
+    clean = F.trim(F.replace(col, F.lit("UTC"), F.lit("")))
+    digits = F.rpad(F.replace(clean, F.lit(":"), F.lit("")), 6, "0")
+    parts = [F.substring(digits, i, 2) for i in (1, 3, 5)]
+    return F.when(clean.rlike(TIME_PATTERN), F.concat_ws(":", *parts))
 
 
 def observation_timestamp(date: Column, time: Column) -> Column:
     """Timestamp without zone from a date column and a time text of the files."""
-    text = F.concat_ws(" ", date.cast("string"), try_time(time))
-    return F.when(date.isNotNull() & try_time(time).isNotNull(), text).try_cast("timestamp_ntz")
+    return F.concat(date.cast("string"), F.lit(" "), try_time(time)).try_cast("timestamp_ntz")
 
 
 def month_label(col: Column, pattern: str = "yyyy-MM") -> Column:

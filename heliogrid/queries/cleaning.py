@@ -122,7 +122,7 @@ def parse_station_filename(spark, sf_dir):
     s = table(spark, sf_dir, "supplier")
     code = F.concat(F.lit("A"), F.lpad(F.col("s_nationkey").cast("string"), 3, "0"))
     name = F.replace(F.upper("s_name"), F.lit("#"), F.lit("_"))
-    path = F.concat(F.lit("inmet/2021/"), text.station_file_name(F.lit("CO"), F.lit("GO"), code, name, F.col("s_nationkey") + 2000))
+    path = F.concat(F.lit("files/2021/"), text.station_file_name(F.lit("CO"), F.lit("GO"), code, name, F.col("s_nationkey") + 2000))
     return s.select("s_suppkey", text.parse_station_file_name(path).alias("p")).select("s_suppkey", "p.*")
 
 

@@ -10,7 +10,7 @@ from heliogrid.queries.base import once, query, rounded, table
 from heliogrid.sources import catalog, registry
 from heliogrid.sources.station import year_paths
 
-PART_PATH_SQL = """'inmet/' || p_brand || '/' || CASE p_type WHEN 'ECONOMY' THEN p_partkey || '.CSV'
+PART_PATH_SQL = """'files/' || p_brand || '/' || CASE p_type WHEN 'ECONOMY' THEN p_partkey || '.CSV'
     WHEN 'SMALL' THEN p_name || '_(' || p_size || ').csv' ELSE p_name || ' (' || p_size || ').csv' END"""
 KEY_SQL = "regexp_replace(path, '[^/]*$', '') || replace(replace(replace(split_part(path, '/', -1), ' ', '_'), '(', ''), ')', '')"
 FILES_SQL = """(SELECT 'drive/q' || quality || '/doc ' || doc_id || '.txt' AS path FROM labels
@@ -24,7 +24,7 @@ def part_paths(spark, sf_dir):
         .when(F.col("p_type") == "SMALL", F.concat_ws("_", "p_name", size))
         .otherwise(F.concat_ws(" ", "p_name", size))
     )
-    return table(spark, sf_dir, "part").select("p_partkey", "p_brand", F.concat_ws("/", F.lit("inmet"), "p_brand", base).alias("path"))
+    return table(spark, sf_dir, "part").select("p_partkey", "p_brand", F.concat_ws("/", F.lit("files"), "p_brand", base).alias("path"))
 
 
 def label_files(spark, sf_dir):
@@ -159,7 +159,9 @@ def archives(spark, sf_dir):
                 blobs.append(buffer.getvalue())
             yield pdf[["doc_id"]].assign(content=blobs)
 
-    return table(spark, sf_dir, "documents").select("doc_id", "text").mapInPandas(pack, "doc_id long, content binary")
+    # Spread first: packing is slow, and archives in a folder would be read by many tasks as well.
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text").repartition("doc_id")
+    return docs.mapInPandas(pack, "doc_id long, content binary")
 
 
 @query(

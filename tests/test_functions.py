@@ -48,8 +48,8 @@ def test_strict_date_stops(spark):
 
 
 def test_keys_and_names(spark):
-    df = column(spark, ["inmet/2021/A (1) x.CSV", "a b/c.csv", "plain"])
-    assert apply(df, text.safe_key(F.col("v"))) == ["inmet/2021/A_1_x.CSV", "a b/c.csv", "plain"]
+    df = column(spark, ["files/2021/A (1) x.CSV", "a b/c.csv", "plain"])
+    assert apply(df, text.safe_key(F.col("v"))) == ["files/2021/A_1_x.CSV", "a b/c.csv", "plain"]
     assert apply(df, text.has_special_chars(F.col("v"))) == [True, False, False]
     assert apply(df, text.join_key("/p/", F.col("v"), flatten=True)) == ["p/A (1) x.CSV", "p/c.csv", "p/plain"]
     lines = ["├── 2021", "│   ├── a.CSV", "│   └── b c.csv", "", "```", "x.txt", "└── .hidden", "└── a ── b.csv"]
@@ -64,7 +64,7 @@ def test_station_file_name_round_trip(spark):
     df = spark.createDataFrame([("CO", "GO", "A002", "GOIANIA", 2024)], "r string, s string, c string, n string, y int")
     name = text.station_file_name(F.col("r"), F.col("s"), F.col("c"), F.col("n"), F.col("y"))
     assert apply(df, name) == ["INMET_CO_GO_A002_GOIANIA_01-01-2024_A_31-12-2024.CSV"]
-    got = apply(df, text.parse_station_file_name(F.concat(F.lit("inmet/2024/"), name)))[0]
+    got = apply(df, text.parse_station_file_name(F.concat(F.lit("files/2024/"), name)))[0]
     assert (got.region, got.state, got.code, got.name, got.start, got.end) == (
         "CO", "GO", "A002", "GOIANIA", datetime.date(2024, 1, 1), datetime.date(2024, 12, 31),
     )
