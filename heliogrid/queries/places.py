@@ -3,10 +3,11 @@
 
 from pyspark.sql import functions as F
 
-from heliogrid.functions import geo, scale
-from heliogrid.operators import mart, rank, spatial
+from heliogrid.functions import geo
+from heliogrid.operators import mart, spatial
+from heliogrid.plans.energy import energy_mart
+from heliogrid.plans.energy import potential_ranking as rank_potential
 from heliogrid.queries.base import CELL_XY_SQL, PLANT_XY_SQL, cells, once, plant_places, query, rounded, table
-from heliogrid.session import stage_table
 from heliogrid.sources import polygons
 
 
@@ -135,20 +136,14 @@ def nearest_station(spark, sf_dir):
 SEGMENT_KIND_SQL = "CASE c_mktsegment WHEN 'BUILDING' THEN 'UFV' WHEN 'MACHINERY' THEN 'EOL' WHEN 'HOUSEHOLD' THEN 'UHE' WHEN 'FURNITURE' THEN 'PCH' ELSE 'CGH' END"
 
 
-def energy_mart(spark, sf_dir):
-    """Geometry, plants inside, and the radiation of the nearest station, per municipality."""
-    base = mart.with_geometry(layer(spark, sf_dir)).drop("geometry")
+def energy(spark, sf_dir):
+    """Cells as municipalities, customers as plants, suppliers as stations, line items as readings."""
     points = plant_places(spark, sf_dir).select(
         "longitude", "latitude", F.expr(SEGMENT_KIND_SQL).alias("SigTipoGeracao"), F.abs("c_acctbal").alias("potencia_kw")
     )
-    inside = spatial.join_within(points, layer(spark, sf_dir).select("cd_mun", "geometry"))
-    full = stage_table(mart.plant_mart(base, inside), "plants")
-    readings = mart.station_mean(table(spark, sf_dir, "lineitem"), "l_suppkey", "l_extendedprice")
-    stations = cells(spark, sf_dir).join(readings, F.col("s_suppkey") == F.col("l_suppkey")).select("s_suppkey", F.col("x0").alias("sx"), F.col("y0").alias("sy"), "radiacao_media_anual")
-    stations = stage_table(stations, "stations")
-    near = spatial.nearest_join(full.select("cd_mun", "centroid_lon", "centroid_lat"), stations, "cd_mun", "s_suppkey", ("centroid_lon", "centroid_lat"), ("sx", "sy"))
-    climate = near.join(stations.select("s_suppkey", "radiacao_media_anual"), "s_suppkey").select("cd_mun", "radiacao_media_anual")
-    return stage_table(full.join(climate, "cd_mun", "left"), "energy")
+    means = mart.station_mean(table(spark, sf_dir, "lineitem"), "l_suppkey", "l_extendedprice")
+    stations = cells(spark, sf_dir).join(means, F.col("s_suppkey") == F.col("l_suppkey")).drop("l_suppkey")
+    return energy_mart(layer(spark, sf_dir), points, stations, "s_suppkey", ("x0", "y0"))
 
 
 @query(
@@ -165,8 +160,6 @@ def energy_mart(spark, sf_dir):
 )
 def potential_ranking(spark, sf_dir):
     """The whole analysis: mart, score and the fifteen best municipalities."""
-    df = scale.with_potential_score(energy_mart(spark, sf_dir))
-    best = rank.ranking(df.select("nm_mun", "num_total_usinas", "potencia_total_mw", "potencial_score"), "potencial_score", "nm_mun", 15)
-    return rounded(best, 6)
-
+    best = rank_potential(energy(spark, sf_dir), 15)
+    return rounded(best.select("nm_mun", "num_total_usinas", "potencia_total_mw", "potencial_score", "rank"), 6)
 

@@ -4,8 +4,9 @@ from pyspark.sql import functions as F
 
 from heliogrid.columns import DDL_SCHEMA, RAW_SCHEMA, STATION_COLUMNS
 from heliogrid.functions import dates, text
-from heliogrid.operators import quality
+from heliogrid.operators import mart, quality
 from heliogrid.operators.project import conform
+from heliogrid.plans.energy import station_climate as climate_of
 from heliogrid.queries.base import (
     READINGS_PER_FILE,
     VALUE_SQL,
@@ -213,6 +214,26 @@ def tag_station(spark, sf_dir):
     return rounded(tagged.groupBy("estacao").agg(F.count(F.lit(1)).alias("n"), F.avg("radiacao_global_kj_m2").alias("radiacao_media_anual")))
 
 
+@query(
+    "station_climate",
+    f"""SELECT 'ESTAÇÃO ' || e AS nome, CAST('-16.' || e AS DOUBLE) AS latitude, CAST('-49.' || e AS DOUBLE) AS longitude, round(avg(v), 4) AS radiacao_media_anual
+        FROM (SELECT event_id // {READINGS_PER_FILE} AS e, {VALUE_SQL} AS v FROM events) GROUP BY 1, 2, 3""",
+)
+def station_climate(spark, sf_dir):
+    """From files to stations with position and mean radiation."""
+    return rounded(climate_of(spark, station_files(spark, sf_dir)))
+
+
+@query(
+    "monthly_from_files",
+    f"""SELECT CAST(month(ts) AS INTEGER) AS mes, round(avg({VALUE_SQL}), 4) AS radiacao_media, round(sum(user_id + 0.5::DOUBLE), 4) AS chuva_total FROM events GROUP BY 1""",
+)
+def monthly_from_files(spark, sf_dir):
+    """From files to the seasonal table."""
+    rows = incremental.clean_readings(station.scan_raw(spark, station_files(spark, sf_dir)))
+    return rounded(mart.monthly_season(rows, "data", "radiacao_global_kj_m2", "precipitacao_mm"))
+
+
 @query(
     "detect_date_column",
     """SELECT event_id, strftime(ts, '%Y/%m/%d') AS "Data", event_type FROM events""",
