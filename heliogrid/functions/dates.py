@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Accepted date layouts, in order of preference.
@@ -46,3 +46,8 @@ def two_digit_month(col: Column) -> Column:
 def year_series(df: DataFrame, start: Column, end: Column, name: str = "year") -> DataFrame:
     """One row per year between the one-row aggregates ``start`` and ``end``, both included."""
     return df.agg(F.sequence(start, end).alias("years")).select(F.explode("years").alias(name))
+
+
+def years_since(spark: SparkSession, first: int, name: str = "year") -> DataFrame:
+    """One row per year from ``first`` to the current one."""
+    return spark.range(1).select(F.explode(F.sequence(F.lit(first), F.year(F.current_date()))).alias(name))

@@ -14,9 +14,8 @@ from heliogrid.sources import station
 
 def station_readings(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """Typed readings of station files with their date and station name."""
-    rows = station.typed(station.scan_raw(spark, paths, with_file=True), "double")
-    rows = rows.withColumn("data", dates.try_date(F.col("data")))
-    return station.tag_station(rows, station.preamble_by_position(spark, paths))
+    rows = station.typed(station.scan_with_station(spark, paths), "double")
+    return rows.withColumn("data", dates.try_date(F.col("data")))
 
 
 def station_climate(spark: SparkSession, paths: str | list[str]) -> DataFrame:

@@ -214,6 +214,17 @@ def tag_station(spark, sf_dir):
     return rounded(tagged.groupBy("estacao").agg(F.count(F.lit(1)).alias("n"), F.avg("radiacao_global_kj_m2").alias("radiacao_media_anual")))
 
 
+@query(
+    "scan_with_station",
+    f"""SELECT 'ESTAÇÃO ' || event_id // {READINGS_PER_FILE} AS estacao, '-16.' || event_id // {READINGS_PER_FILE} AS latitude, strftime(ts, '%Y/%m/%d') AS data,
+               {VALUE_SQL} AS radiacao_global_kj_m2, CAST(event_id % 360 AS INTEGER) AS vento_direcao_gr FROM events""",
+)
+def scan_with_station(spark, sf_dir):
+    """Readings and their station from one pass over the files."""
+    rows = station.typed(station.scan_with_station(spark, station_files(spark, sf_dir)), "double")
+    return rows.select("estacao", "latitude", "data", "radiacao_global_kj_m2", "vento_direcao_gr")
+
+
 @query(
     "station_climate",
     f"""SELECT 'ESTAÇÃO ' || e AS nome, CAST('-16.' || e AS DOUBLE) AS latitude, CAST('-49.' || e AS DOUBLE) AS longitude, round(avg(v), 4) AS radiacao_media_anual

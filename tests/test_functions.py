@@ -42,6 +42,11 @@ def test_dates_and_times(spark):
     assert apply(df, stamp) == [datetime.datetime(2021, 1, 31, 13), None, None]
 
 
+def test_years(spark):
+    years = [r.year for r in dates.years_since(spark, 2001).orderBy("year").collect()]
+    assert years == list(range(2001, years[-1] + 1)) and years[-1] >= 2025
+
+
 def test_strict_date_stops(spark):
     with pytest.raises(Exception, match="CANNOT_PARSE|could not be parsed|DateTime"):
         column(spark, ["31/01/2021"]).select(dates.strict_date(F.col("v"))).collect()

@@ -85,6 +85,13 @@ def test_preamble(spark, folder):
     assert {(r.estacao, r.n) for r in tagged.groupBy("estacao").agg(F.count("*").alias("n")).collect()} == {("GOIÂNIA", 2), ("ANÁPOLIS", 1)}
 
 
+def test_single_pass_equals_two_scans(spark, folder):
+    plain = station.scan_raw(spark, str(folder), with_file=True)
+    single = station.scan_with_station(spark, str(folder))
+    assert {(r.estacao, r.longitude) for r in single.collect()} == {("GOIÂNIA", "-49.22"), ("ANÁPOLIS", "-49.22")}
+    assert sorted(map(str, single.select(*[f"`{h}`" for h in HEADERS]).collect())) == sorted(map(str, plain.select(*[f"`{h}`" for h in HEADERS]).collect()))
+
+
 def test_column_choices(spark):
     df = spark.createDataFrame([("x", None, "2021/01/01", "1"), ("y", None, None, "2")], "a string, `Unnamed: 9` string, c string, `RADIACAO Z` string")
     assert station.detect_date_column(df) == "c"

@@ -33,6 +33,18 @@ def test_projection_constants(spark):
     assert rows[0].g.x == pytest.approx(-49.25, abs=1e-8) and rows[0].g.y == pytest.approx(-16.68, abs=1e-8)
 
 
+def test_projection_round_trip_and_additive_area(spark):
+    rng = np.random.default_rng(11)
+    spots = [(float(x), float(y)) for x, y in zip(rng.uniform(-53, -46, 500), rng.uniform(-20, -12, 500))]
+    df = spark.createDataFrame(spots, "x double, y double").withColumn("p", geo.utm("x", "y")).withColumn("g", geo.lonlat("p.x", "p.y"))
+    worst = df.selectExpr("max(abs(g.x - x)) + max(abs(g.y - y)) AS e").first().e
+    assert worst < 2e-8
+    halves = [(i, [[box(x, y, x + 0.5, y + 1.0)]]) for i, (x, y) in enumerate(spots)] + [(i, [[box(x + 0.5, y, x + 1.0, y + 1.0)]]) for i, (x, y) in enumerate(spots)]
+    whole = [(i, [[box(x, y, x + 1.0, y + 1.0)]]) for i, (x, y) in enumerate(spots)]
+    a, b = (spark.createDataFrame(s, LAYER).select("cd_mun", geo.area("geometry").alias("a")).groupBy("cd_mun").sum("a").orderBy("cd_mun").collect() for s in (halves, whole))
+    assert [r[1] for r in a] == pytest.approx([r[1] for r in b])
+
+
 def test_geometry_of_a_small_box(spark):
     ring = [(-49.0, -16.0), (-48.9, -16.0), (-48.9, -15.9), (-49.0, -15.9), (-49.0, -16.0)]
     row = mart.with_geometry(spark.createDataFrame([(1, [[ring]])], LAYER)).first()
