@@ -338,8 +338,7 @@ def load_report(spark, sf_dir):
     files = station_files(spark, sf_dir)
     expected = file_catalog(spark, files, "*.csv").select(F.col("path").alias("file"))
     report = sink.load_report(station.scan_raw(spark, files, with_file=True).select("file"), expected=expected)
-    year = F.regexp_extract("file", r"/year=(\d{4})/", 1).cast("int").alias("year")
-    return report.select(F.regexp_extract("file", r"/(station=\d+)/", 1).alias("station"), year, "n_rows", "status")
+    return sink.with_year(report).select(F.regexp_extract("file", r"/(station=\d+)/", 1).alias("station"), "year", "n_rows", "status")
 
 
 @query("latin1_decode", "SELECT doc_id, lang, regexp_replace(text, '[^\\x00-\\xFF]', '?', 'g') AS text FROM documents")

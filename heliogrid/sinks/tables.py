@@ -91,5 +91,5 @@ def extract_variant(df: DataFrame, variant: str, paths: dict[str, tuple[str, str
 
 
 def with_year(df: DataFrame, path: str = "file", out: str = "year") -> DataFrame:
-    """Year taken from the ``/yyyy/`` part of a file path."""
-    return df.withColumn(out, F.regexp_extract(path, r"/(\d{4})/", 1).try_cast(T.IntegerType()))
+    """Year taken from the ``/yyyy/`` or ``/year=yyyy/`` part of a file path."""
+    return df.withColumn(out, F.regexp_extract(path, r"/(?:year=)?(\d{4})/", 1).try_cast(T.IntegerType()))
