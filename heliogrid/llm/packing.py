@@ -26,34 +26,65 @@ from heliogrid.llm.common import strings
 LENGTH = 2048
 END = 1  # id that ends every document
 OPEN_WINDOWS = 1024
-KNOWN_WORDS = 250_000  # texts whose ids a task remembers
+KNOWN_WORDS = 1_000_000  # about 200 MB
 ID_BYTES = 4
 
 
-@lru_cache(maxsize=2)
-def _tokenizer(path: str | None):
-    import public_tokenizers
-    from tokenizers import Tokenizer
+MARK = "\x01"  # a token of its own between parts that are encoded together
 
-    return Tokenizer.from_file(path or public_tokenizers.path("word_bpe_49k.json")), {}
 
+class WordIds:
+    """Ids of the parts of texts between blanks and line feeds.
 
-def token_bytes(texts: list[str], path: str | None = None) -> list[bytes]:
-    """Ids of each text and END, as little-endian 32-bit numbers.
-
-    The tokenizer drops white space and no token spans a blank, so the parts of a text between blanks and line feeds
-    are looked up one by one and only parts not met before are encoded.
+    The tokenizer drops white space and no token spans a blank, so parts are encoded once and then looked up. Parts are
+    remembered in two generations of at most KNOWN_WORDS each, plus those of the current texts.
     """
-    tokenizer, known = _tokenizer(path)
+
+    def __init__(self, path: str | None):
+        import public_tokenizers
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path or public_tokenizers.path("word_bpe_49k.json"))
+        self.mark = np.array(self._encode([MARK])[0], dtype="<u4").tobytes()
+        self.new: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def _encode(self, texts: list[str]) -> list[list[int]]:
+        return [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self, words: list[str]) -> None:
+        """Encode words together with a mark between each two; words that hold the mark go alone."""
+        alone = [w for w in words if MARK in w]
+        for w, ids in zip(alone, self._encode(alone), strict=True):
+            self.new[w] = np.array(ids, dtype="<u4").tobytes()
+        words = [w for w in words if MARK not in w]
+        mark = np.frombuffer(self.mark, dtype="<u4")
+        for start in range(0, len(words), 256):
+            some = words[start : start + 256]
+            ids = np.array(self._encode([f" {MARK} ".join(some)])[0], dtype="<u4")
+            raw, ends = ids.tobytes(), [*np.flatnonzero(ids == mark[0]).tolist(), len(ids)]
+            at = 0
+            for w, end in zip(some, ends, strict=True):
+                self.new[w] = raw[at * ID_BYTES : end * ID_BYTES]
+                at = end + len(mark)
+
+    def look_up(self, parts: list[list[str]]) -> dict[str, bytes]:
+        """A table that holds every part."""
+        if len(self.new) > KNOWN_WORDS:
+            self.old, self.new = self.new, {}
+        missing = set().union(*parts) - self.new.keys()
+        self.new.update((w, self.old[w]) for w in missing & self.old.keys())
+        self._learn([w for w in missing if w not in self.old])
+        return self.new
+
+
+_word_ids = lru_cache(maxsize=2)(WordIds)
+
+
+def token_bytes(texts: list[str], path: str | None = None) -> list[bytes]:
+    """Ids of each text and END, as little-endian 32-bit numbers."""
     parts = [t.replace("\n", " ").split(" ") for t in texts]
-    new = list({w for p in parts for w in p if w not in known})
-    if len(known) + len(new) > KNOWN_WORDS:
-        known.clear()
-        new = list({w for p in parts for w in p})
-    for start in range(0, len(new), 10_000):
-        some = new[start : start + 10_000]
-        for word, got in zip(some, tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
-            known[word] = np.array(got.ids, dtype="<u4").tobytes()
+    known = _word_ids(path).look_up(parts)
     end = np.array([END], dtype="<u4").tobytes()
     return [b"".join([known[w] for w in p]) + end for p in parts]
 

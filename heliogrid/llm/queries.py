@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from heliogrid.llm import exact, mixing, packing, quality, urls
+from heliogrid.llm import exact, mixing, packing, privacy, quality, urls
 from heliogrid.queries.base import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -62,6 +62,19 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+@query("op5_pii")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = privacy.with_spans(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = F.filter("spans", lambda s: s["kind"].isin(*privacy.KINDS))
+    joined = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+
+    counts = [count(k).alias(f"n_{k}") for k in privacy.KINDS]
+    return found.select("doc_id", *counts, F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
+
+
 @query("op8_packing")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents").select("doc_id", "text"))
