@@ -5,11 +5,14 @@ on classes. With a threshold t, linked sets of sizes a <= b share at least t * b
 
 1. each set sends its rarest n - ceil(t * n) + 1 shingles (its prefix) to the tasks that own them; linked sets meet at
    one of them. Rarity is read from a table of counts of fixed size, so very frequent shingles come last and stay home.
-2. The few classes at a shingle are paired. Where many meet, they are joined into clusters instead, by one link each.
-3. Pairs and clusters are verified by search: a task holds inverted lists of its sets and looks up each query by
-   DivideSkip: the longest lists are set aside, the short ones are merged, and sets that occur often enough in these
-   are probed for in the long lists by binary search. Sets that reach the required overlap are linked.
-4. In a cluster, sets already linked to one another are not searched again; only links between different parts matter.
+2. The few classes at a shingle are paired, and a pair stays only if its sketches allow it: a sketch has one parity bit
+   for about one shingle, and sets differ in at least as many shingles as their sketches in bits. Where many classes
+   meet, each is joined with the first instead. Joined classes are clusters, whose sets are sent to one task.
+3. There the sets become inverted lists and are looked up by DivideSkip: the longest lists are set aside, the short ones
+   are merged, and sets that occur often enough in these are probed for in the long lists by binary search. Sets that
+   reach the required overlap are linked. (Merging is one vectorised count of all entries instead of a heap.)
+4. Sets already linked to one another are not searched again; only links between different parts matter. A cluster too
+   large for a task is cut into blocks, and every two blocks meet in a task.
 
 Nothing is sampled or capped: pairs, clusters and blocks only decide where a link is found.
 """
@@ -26,6 +29,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType
 
 from heliogrid.llm.common import utf8
 from heliogrid.llm.links import components
@@ -34,7 +38,7 @@ from heliogrid.session import broadcast_if_small, stage_table
 CELLS = 1 << 18  # counts of shingles, by their lowest bits
 SLICES = 16
 FEW = 24  # classes at a shingle that are paired with one another
-BLOCK_TOKENS = 1 << 20  # shingles of the sets that a task indexes at once
+BLOCK_TOKENS = 1 << 20  # shingles of the sets that a task indexes at once, about
 
 # Odd factors that tell the places of a shingle's words apart.
 FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], dtype=np.uint64)
@@ -72,33 +76,51 @@ def shingles(text: bytes, words: int) -> np.ndarray:
     return np.unique(out)
 
 
+def _sketch(tokens: np.ndarray) -> bytes:
+    """Parities of the tokens in 2^k >= n cells (64 at least), by their highest bits."""
+    k = max(6, (len(tokens) - 1).bit_length())
+    return np.packbits(np.bincount((tokens >> np.uint64(64 - k)).astype(np.int64), minlength=1 << k) & 1).tobytes()
+
+
+def _differ(a: bytes, b: bytes) -> int:
+    """Bits in which two sketches differ, the longer one folded; the sets differ in no fewer shingles."""
+    if len(a) > len(b):
+        a, b = b, a
+    x = np.frombuffer(b, dtype=np.uint8)
+    if len(a) < len(b):
+        x = np.packbits(np.unpackbits(x).reshape(8 * len(a), -1).sum(axis=1) & 1)
+    return int(np.bitwise_count(x ^ np.frombuffer(a, dtype=np.uint8)).sum())
+
+
 def _class_of(tokens: np.ndarray) -> int:
     return int.from_bytes(blake2b(tokens.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
 def _summaries(words: int):
     """Rows of documents (n and class) and, at the end of a task, slices of its shingle counts."""
-    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("c", pa.int64()), ("slice", pa.int32()), ("counts", pa.binary())])
+    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("c", pa.int64()), ("sketch", pa.binary()), ("slice", pa.int32()), ("counts", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(CELLS, dtype=np.uint32)
         seen: set[int] = set()
         for batch in batches:
-            ns, cs, held = [], [], []
+            ns, cs, sketches, held = [], [], [], []
             for text in utf8(batch.column(1)):
                 tokens = shingles(text, words)
                 ns.append(len(tokens))
                 cs.append(_class_of(tokens))
+                sketches.append(None)
                 if cs[-1] not in seen:
                     seen.add(cs[-1])
                     held.append(tokens)
+                    sketches[-1] = _sketch(tokens)
             if held:
                 counts += np.bincount((np.concatenate(held) & np.uint64(CELLS - 1)).astype(np.int64), minlength=CELLS).astype(np.uint32)
             nulls = pa.nulls(len(ns))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ns, pa.int64()), pa.array(cs, pa.int64()), nulls.cast(pa.int32()), nulls.cast(pa.binary())], schema=schema)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ns, pa.int64()), pa.array(cs, pa.int64()), pa.array(sketches, pa.binary()), nulls.cast(pa.int32()), nulls.cast(pa.binary())], schema=schema)
         if seen:
             nulls = pa.nulls(SLICES, pa.int64())
-            yield pa.RecordBatch.from_arrays([nulls, nulls, nulls, pa.array(range(SLICES), pa.int32()), pa.array([x.tobytes() for x in np.split(counts, SLICES)], pa.binary())], schema=schema)
+            yield pa.RecordBatch.from_arrays([nulls, nulls, nulls, pa.nulls(SLICES, pa.binary()), pa.array(range(SLICES), pa.int32()), pa.array([x.tobytes() for x in np.split(counts, SLICES)], pa.binary())], schema=schema)
 
     return run
 
@@ -242,45 +264,8 @@ class Index:
         return found[100 * hits >= sim.percent * union]
 
 
-def _search_pairs(sim: Similarity):
-    """From rows sorted by a (the query first): links (u, v) of queries to the sets they meet."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        queries: list[tuple[int, np.ndarray]] = []
-        members: dict[int, np.ndarray] = {}
-        held = 0
-
-        def links() -> pa.RecordBatch:
-            names = np.array(list(members), dtype=np.int64)
-            index = Index(list(members.values()))
-            out = [(c, int(names[i])) for c, tokens in queries for i in index.search(tokens, sim) if names[i] != c]
-            queries.clear()
-            members.clear()
-            return pa.RecordBatch.from_arrays([pa.array([u for u, _ in out], pa.int64()), pa.array([v for _, v in out], pa.int64())], ["u", "v"])
-
-        for batch in batches:
-            for a, b, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                tokens = np.frombuffer(raw, dtype=np.uint64)
-                if a == b:
-                    if held > BLOCK_TOKENS:
-                        yield links()
-                        held = 0
-                    queries.append((a, tokens))
-                else:
-                    if held > 2 * BLOCK_TOKENS:  # a query with very many or very long members
-                        last = queries[-1]
-                        yield links()
-                        queries.append(last)
-                        held = 0
-                    members[b] = tokens
-                held += len(tokens)
-        yield links()
-
-    return run
-
-
 def _search_block(sim: Similarity):
-    """Links that join all similar sets of one block (or of two), without those inside a part known to be joined."""
+    """Links that join all similar sets of a task, without those inside a part known to be joined."""
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.drop_duplicates("c").sort_values("c")
@@ -323,8 +308,8 @@ def _search_block(sim: Similarity):
     return run
 
 
-def _sets(docs: DataFrame, text: str, sim: Similarity, needed: DataFrame) -> DataFrame:
-    """(c, tokens) of the classes in ``needed``; the sets of all others are dropped in the task that makes them."""
+def _sets(docs: DataFrame, sim: Similarity, placed: DataFrame) -> DataFrame:
+    """The classes of ``placed`` with their shingles; all other sets are dropped in the task that makes them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -339,41 +324,54 @@ def _sets(docs: DataFrame, text: str, sim: Similarity, needed: DataFrame) -> Dat
                     sets.append(tokens.tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(cs, pa.int64()), pa.array(sets, pa.binary())], ["c", "tokens"])
 
-    made = docs.select(F.col(f"`{text}`")).mapInArrow(run, "c bigint, tokens binary")
-    small, _ = broadcast_if_small(needed)
-    return stage_table(made.join(small, "c", "left_semi").dropDuplicates(["c"]), "sets")
+    small, _ = broadcast_if_small(placed)
+    return docs.mapInArrow(run, "c bigint, tokens binary").join(small, "c")
+
+
+def _similar_sketches(sim: Similarity):
+    @F.arrow_udf(BooleanType())
+    def run(n: pa.Array, m: pa.Array, a: pa.Array, b: pa.Array) -> pa.Array:
+        rows = zip(n.to_pylist(), m.to_pylist(), a.to_pylist(), b.to_pylist(), strict=True)
+        return pa.array([(100 + sim.percent) * _differ(x, y) <= (100 - sim.percent) * (i + j) for i, j, x, y in rows], pa.bool_())
 
+    return run.asNondeterministic()
 
-def _cluster_links(hot: DataFrame, sets: DataFrame, sim: Similarity) -> DataFrame:
-    """Links within clusters. A cluster of many shingles is cut into blocks, and every two blocks meet in one task."""
-    cluster = stage_table(components(hot.select(F.col("a").alias("u"), F.col("b").alias("v"))).withColumnsRenamed({"node": "c", "label": "cluster"}), "clusters")
-    sized = cluster.join(sets.select("c", (F.octet_length("tokens") / 8).cast("long").alias("n")), "c")
-    blocks = sized.groupBy("cluster").agg(F.ceil(F.sum("n") / BLOCK_TOKENS).cast("int").alias("blocks"))
-    placed = stage_table(cluster.join(blocks, "cluster").withColumn("block", F.pmod(F.xxhash64("c"), F.col("blocks")).cast("int")), "placed")
-    # Block i meets block j in the task of (cluster, smaller, larger).
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    tasks = placed.select("c", "cluster", "blocks", "block", other).filter("other != block OR blocks = 1")
-    tasks = tasks.select("c", "cluster", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
-    return tasks.join(sets, "c").groupBy("cluster", "i", "j").applyInPandas(_search_block(sim), "u bigint, v bigint")
+
+def _tasks(clusters: DataFrame) -> DataFrame:
+    """(c, cluster, i, j): where each class goes. ``clusters`` has c, n and cluster.
+
+    Small clusters share a task. A large one is cut into blocks, and block i meets block j in a task of its own.
+    """
+    sizes = clusters.groupBy("cluster").agg(F.sum("n").alias("tokens"))
+    sizes = stage_table(sizes.withColumn("blocks", F.ceil(2 * F.col("tokens") / BLOCK_TOKENS).cast("int")), "sizes")
+    small = sizes.filter("blocks = 1").agg(F.sum("tokens")).first()[0] or 0
+    placed = clusters.join(sizes, "cluster").withColumn("block", F.pmod(F.xxhash64("c"), F.col("blocks")).cast("int"))
+    bin_ = F.pmod(F.xxhash64("cluster"), F.lit(1 + small // BLOCK_TOKENS))
+    alone = placed.filter("blocks = 1").select("c", bin_.alias("cluster"), F.lit(-1).alias("i"), F.lit(-1).alias("j"))
+    each = placed.filter("blocks > 1").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).filter("other != block")
+    return stage_table(alone.unionByName(each.select("c", "cluster", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))), "tasks")
 
 
 def _classes(docs: DataFrame, sim: Similarity, text: str, doc_id: str) -> tuple[DataFrame, DataFrame]:
     """(doc_id, n, c) of every row, and (c, component) of the linked classes; the component is a class too."""
     narrow = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    summaries = stage_table(narrow.mapInArrow(_summaries(sim.words), "doc_id bigint, n bigint, c bigint, slice int, counts binary"), "summaries")
+    summaries = stage_table(narrow.mapInArrow(_summaries(sim.words), "doc_id bigint, n bigint, c bigint, sketch binary, slice int, counts binary"), "summaries")
     rows = summaries.filter("slice IS NULL").select("doc_id", "n", "c")
     prefixes = narrow.select("text").mapInArrow(_prefixes(sim, _rarity(summaries)), "token bigint, c bigint, n int")
     met = prefixes.repartition("token").sortWithinPartitions("token", "n", "c").mapInArrow(_meetings(sim.percent), "a bigint, b bigint, hot boolean")
     met = stage_table(met.distinct(), "meetings")
-    needed = stage_table(met.select(F.explode(F.array("a", "b")).alias("c")).distinct(), "needed")
-    sets = _sets(narrow, "text", sim, needed)
-
-    pairs = met.filter("NOT hot").select("a", "b")
-    sent = pairs.join(sets.withColumnRenamed("c", "b"), "b").select("a", "b", "tokens")
-    sent = sent.unionByName(pairs.select("a").distinct().join(sets.withColumnRenamed("c", "a"), "a").select("a", F.col("a").alias("b"), "tokens"))
-    found = sent.repartition("a").sortWithinPartitions("a", F.col("a") != F.col("b")).mapInArrow(_search_pairs(sim), "u bigint, v bigint")
-    links = stage_table(found.unionByName(_cluster_links(met.filter("hot"), sets, sim)).distinct(), "found")
-    return rows, stage_table(components(links).withColumnsRenamed({"node": "c", "label": "component"}), "components")
+
+    needed, _ = broadcast_if_small(stage_table(met.select(F.explode(F.array("a", "b")).alias("c")).distinct(), "needed"))
+    sketches = stage_table(summaries.filter("sketch IS NOT NULL").select("c", "n", "sketch").join(needed, "c", "left_semi").dropDuplicates(["c"]), "sketches")
+    one = sketches.select(F.col("c").alias("a"), F.col("n").alias("n_a"), F.col("sketch").alias("sketch_a"))
+    two = sketches.select(F.col("c").alias("b"), F.col("n").alias("n_b"), F.col("sketch").alias("sketch_b"))
+    pairs = met.filter("NOT hot").select("a", "b").join(one, "a").join(two, "b").filter(_similar_sketches(sim)("n_a", "n_b", "sketch_a", "sketch_b"))
+    joined = pairs.select("a", "b").unionByName(met.filter("hot").select("a", "b")).toDF("u", "v")
+    clusters = components(joined).toDF("c", "cluster").join(sketches.select("c", "n"), "c")
+
+    sets = _sets(narrow.select("text"), sim, _tasks(stage_table(clusters, "clusters")))
+    links = sets.groupBy("cluster", "i", "j").applyInPandas(_search_block(sim), "u bigint, v bigint")
+    return rows, stage_table(components(links).toDF("c", "component"), "components")
 
 
 def near_duplicates(docs: DataFrame, sim: Similarity = Similarity(), text: str = "text", doc_id: str = "doc_id") -> DataFrame:
