@@ -37,7 +37,7 @@ from heliogrid.session import broadcast_if_small, stage_table
 
 CELLS = 1 << 18  # counts of shingles, by their lowest bits
 SLICES = 16
-FEW = 24  # classes at a shingle that are paired with one another
+FEW = 1000  # classes at a shingle that are paired with one another
 BLOCK_TOKENS = 1 << 20  # shingles of the sets that a task indexes at once, about
 
 # Odd factors that tell the places of a shingle's words apart.
@@ -173,45 +173,61 @@ def _meetings(percent: int):
     """From rows sorted by token, n, c: (a, b, hot) of classes that meet, a of the smaller set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        token = None
-        held: list[tuple[int, int]] = []  # (n, c) of the current token, up to FEW; then only the first
-        many = False
-        out: list[tuple[int, int, bool]] = []
+        token, first, last = None, None, None
+        sizes: list[int] = []  # classes at the current token, up to FEW
+        classes: list[int] = []
+        out: list[np.ndarray] = []
+        size = 0
+
+        def put(a: np.ndarray, b: np.ndarray, hot: bool) -> None:
+            nonlocal size
+            out.append(np.stack([a, b, np.full(len(a), hot, dtype=np.int64)]))
+            size += len(a)
 
         def pairs() -> None:
-            for i, (n, c) in enumerate(held):
-                for m, d in held[i + 1 :]:
-                    if 100 * n >= percent * m:
-                        out.append((c, d, False))
+            if len(classes) > 1:
+                n, c = np.array(sizes), np.array(classes, dtype=np.int64)
+                # Sizes ascend, so the partners of a class are those after it up to a largest size.
+                ends = np.searchsorted(n, 100 * n // percent, side="right")
+                count = np.maximum(ends - np.arange(1, len(n) + 1), 0)
+                left = np.repeat(np.arange(len(n)), count)
+                right = left + 1 + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+                put(c[left], c[right], False)
+            sizes.clear()
+            classes.clear()
 
         def rows() -> pa.RecordBatch:
-            a, b, hot = zip(*out, strict=True) if out else ((), (), ())
+            nonlocal size
+            a, b, hot = np.concatenate([np.empty((3, 0), dtype=np.int64), *out], axis=1)
             out.clear()
-            return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(hot, pa.bool_())], ["a", "b", "hot"])
+            size = 0
+            return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(hot.astype(bool))], ["a", "b", "hot"])
 
-        last = None
         for batch in batches:
             t, c, n = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
             if not len(t):
                 continue
-            # Most tokens have one row; only runs, and the run that may go on from the last batch, are looked at.
+            # Most tokens have one row; only runs, and the run that may go on in the next batch, are looked at.
             same = np.r_[t[0] == token, t[1:] == t[:-1]]
-            look = np.flatnonzero(same | np.r_[same[1:], True])
-            for i in look:
+            for i in np.flatnonzero(same | np.r_[same[1:], True]):
+                item = (n[i], c[i])
                 if t[i] != token:
                     pairs()
-                    token, held, many = t[i], [], False
-                item = (int(n[i]), int(c[i]))
-                if many:
-                    if item != last:
-                        out.append((held[0][1], item[1], True))
-                elif not held or item != held[-1]:
-                    held.append(item)
-                    if len(held) > FEW:
-                        out.extend((held[0][1], d, True) for _, d in held[1:])
-                        held, many = held[:1], True
+                    token, first, last = t[i], item, None
+                if item == last:
+                    continue
                 last = item
-            if len(out) > 100_000:
+                if first is None:  # many classes have met here already
+                    put(np.array([hub]), np.array([c[i]]), True)
+                    continue
+                sizes.append(int(n[i]))
+                classes.append(int(c[i]))
+                if len(classes) > FEW:
+                    hub, first = classes[0], None
+                    put(np.full(FEW, hub), np.array(classes[1:]), True)
+                    sizes.clear()
+                    classes.clear()
+            if size > 200_000:
                 yield rows()
         pairs()
         yield rows()
