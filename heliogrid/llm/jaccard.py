@@ -5,9 +5,10 @@ on classes. With a threshold t, linked sets of sizes a <= b share at least t * b
 
 1. each set sends its rarest n - ceil(t * n) + 1 shingles (its prefix) to the tasks that own them; linked sets meet at
    one of them. Rarity is read from a table of counts of fixed size, so very frequent shingles come last and stay home.
-2. The few classes at a shingle are paired, and a pair stays only if its sketches allow it: a sketch has one parity bit
-   for about one shingle, and sets differ in at least as many shingles as their sketches in bits. Where many classes
-   meet, each is joined with the first instead. Joined classes are clusters, whose sets are sent to one task.
+2. Classes that meet are compared by sketches: a sketch has one parity bit for about one shingle, and sets differ in at
+   least as many shingles as their sketches in bits. A few classes at a shingle are paired; where more meet, the task of
+   the shingle compares them and hands on one star for each part it finds, so what is handed on grows with the classes,
+   not the pairs. Classes joined in this way are clusters, whose sets are sent to one task.
 3. There the sets become inverted lists and are looked up by DivideSkip: the longest lists are set aside, the short ones
    are merged, and sets that occur often enough in these are probed for in the long lists by binary search. Sets that
    reach the required overlap are linked. (Merging is one vectorised count of all entries instead of a heap.)
@@ -37,7 +38,8 @@ from heliogrid.session import broadcast_if_small, stage_table
 
 CELLS = 1 << 18  # counts of shingles, by their lowest bits
 SLICES = 16
-FEW = 1000  # classes at a shingle that are paired with one another
+FEW = 8  # classes at a shingle that are paired with one another
+MANY = 20_000  # classes at a shingle whose sketches are compared in one task
 BLOCK_TOKENS = 1 << 20  # shingles of the sets that a task indexes at once, about
 
 # Odd factors that tell the places of a shingle's words apart.
@@ -169,39 +171,40 @@ def _prefixes(sim: Similarity, rarity: np.ndarray):
     return run
 
 
+PAIR, MEMBER, STAR = range(3)
+
+
 def _meetings(percent: int):
-    """From rows sorted by token, n, c: (a, b, hot) of classes that meet, a of the smaller set."""
+    """From rows sorted by token, n, c: who meets, as (kind, a, b).
+
+    PAIR: classes a and b, where up to FEW meet. MEMBER: class b is one of those that meet at token a. STAR: class b is
+    joined with class a untested, where more than MANY meet.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        token, first, last = None, None, None
-        sizes: list[int] = []  # classes at the current token, up to FEW
+        token, last = None, None
+        sizes: list[int] = []
         classes: list[int] = []
-        out: list[np.ndarray] = []
-        size = 0
-
-        def put(a: np.ndarray, b: np.ndarray, hot: bool) -> None:
-            nonlocal size
-            out.append(np.stack([a, b, np.full(len(a), hot, dtype=np.int64)]))
-            size += len(a)
-
-        def pairs() -> None:
-            if len(classes) > 1:
-                n, c = np.array(sizes), np.array(classes, dtype=np.int64)
-                # Sizes ascend, so the partners of a class are those after it up to a largest size.
-                ends = np.searchsorted(n, 100 * n // percent, side="right")
-                count = np.maximum(ends - np.arange(1, len(n) + 1), 0)
-                left = np.repeat(np.arange(len(n)), count)
-                right = left + 1 + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-                put(c[left], c[right], False)
+        out: tuple[list[int], list[int], list[int]] = ([], [], [])
+
+        def put(kind: int, a: int, b: int) -> None:
+            for column, value in zip(out, (kind, a, b), strict=True):
+                column.append(value)
+
+        def end() -> None:
+            if 1 < len(classes) <= FEW:
+                for i, n in enumerate(sizes):
+                    for j in range(i + 1, len(sizes)):
+                        if 100 * n >= percent * sizes[j]:
+                            put(PAIR, classes[i], classes[j])
             sizes.clear()
             classes.clear()
 
         def rows() -> pa.RecordBatch:
-            nonlocal size
-            a, b, hot = np.concatenate([np.empty((3, 0), dtype=np.int64), *out], axis=1)
-            out.clear()
-            size = 0
-            return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(hot.astype(bool))], ["a", "b", "hot"])
+            batch = pa.RecordBatch.from_arrays([pa.array(out[0], pa.int32()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.int64())], ["kind", "a", "b"])
+            for column in out:
+                column.clear()
+            return batch
 
         for batch in batches:
             t, c, n = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
@@ -209,32 +212,69 @@ def _meetings(percent: int):
                 continue
             # Most tokens have one row; only runs, and the run that may go on in the next batch, are looked at.
             same = np.r_[t[0] == token, t[1:] == t[:-1]]
-            for i in np.flatnonzero(same | np.r_[same[1:], True]):
+            for i in np.flatnonzero(same | np.r_[same[1:], True]).tolist():
                 item = (n[i], c[i])
                 if t[i] != token:
-                    pairs()
-                    token, first, last = t[i], item, None
+                    end()
+                    token, last = t[i], None
                 if item == last:
                     continue
                 last = item
-                if first is None:  # many classes have met here already
-                    put(np.array([hub]), np.array([c[i]]), True)
-                    continue
-                sizes.append(int(n[i]))
-                classes.append(int(c[i]))
-                if len(classes) > FEW:
-                    hub, first = classes[0], None
-                    put(np.full(FEW, hub), np.array(classes[1:]), True)
-                    sizes.clear()
-                    classes.clear()
-            if size > 200_000:
-                yield rows()
-        pairs()
+                met = len(classes)
+                if met <= MANY:
+                    sizes.append(int(n[i]))
+                    classes.append(int(c[i]))
+                if met == FEW:
+                    for x in classes:
+                        put(MEMBER, int(token), x)
+                elif FEW < met < MANY:
+                    put(MEMBER, int(token), int(c[i]))
+                elif met == MANY:
+                    for x in classes[1:]:
+                        put(STAR, classes[0], x)
+                elif met > MANY:
+                    put(STAR, classes[0], int(c[i]))
+                if len(out[0]) > 200_000:
+                    yield rows()
+        end()
         yield rows()
 
     return run
 
 
+def _join_members(sim: Similarity):
+    """From the classes at one token with their sketches: a star (u, v) for each part that similar sketches join."""
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values(["n", "c"])
+        n, c = rows["n"].to_numpy(), rows["c"].to_numpy()
+        sketches = rows["sketch"].tolist()
+        length = np.array([len(x) for x in sketches])
+        # Partners have at most 100 / percent times the shingles, so sketches of the same length or twice that.
+        whole = {k: np.frombuffer(b"".join(x for x in sketches if len(x) == k), dtype=np.uint8).reshape(-1, k) for k in np.unique(length).tolist()}
+        first = {k: int(np.flatnonzero(length == k)[0]) for k in whole}
+        half = {k: np.packbits(np.unpackbits(x, axis=1).reshape(len(x), -1, 2).sum(axis=2) & 1, axis=1) for k, x in whole.items()}
+        ends = np.searchsorted(n, 100 * n // sim.percent, side="right")
+        part = np.arange(len(n))
+        for i in range(len(n)):
+            k = int(length[i])
+            for other, table in ((k, whole.get(k)), (2 * k, half.get(2 * k))):
+                if table is None:
+                    continue
+                a, b = max(i + 1, first[other]), min(int(ends[i]), first[other] + len(table))
+                if a < b:
+                    differ = np.bitwise_count(table[a - first[other] : b - first[other]] ^ whole[k][i - first[k]]).sum(axis=1, dtype=np.int64)
+                    found = a + np.flatnonzero((100 + sim.percent) * differ <= (100 - sim.percent) * (n[i] + n[a:b]))
+                    parts = np.unique(part[found])
+                    if len(parts) and (len(parts) > 1 or parts[0] != part[i]):
+                        parts = np.union1d(parts, [part[i]])
+                        part[np.isin(part, parts)] = parts[0]
+        head = pd.Series(c).groupby(part).transform("min").to_numpy()
+        return pd.DataFrame({"u": head[head != c], "v": c[head != c]})
+
+    return run
+
+
 class Index:
     """Inverted lists over some sets."""
 
@@ -374,15 +414,18 @@ def _classes(docs: DataFrame, sim: Similarity, text: str, doc_id: str) -> tuple[
     summaries = stage_table(narrow.mapInArrow(_summaries(sim.words), "doc_id bigint, n bigint, c bigint, sketch binary, slice int, counts binary"), "summaries")
     rows = summaries.filter("slice IS NULL").select("doc_id", "n", "c")
     prefixes = narrow.select("text").mapInArrow(_prefixes(sim, _rarity(summaries)), "token bigint, c bigint, n int")
-    met = prefixes.repartition("token").sortWithinPartitions("token", "n", "c").mapInArrow(_meetings(sim.percent), "a bigint, b bigint, hot boolean")
+    met = prefixes.repartition("token").sortWithinPartitions("token", "n", "c").mapInArrow(_meetings(sim.percent), "kind int, a bigint, b bigint")
     met = stage_table(met.distinct(), "meetings")
 
-    needed, _ = broadcast_if_small(stage_table(met.select(F.explode(F.array("a", "b")).alias("c")).distinct(), "needed"))
+    classes = met.select("b").unionByName(met.filter(F.col("kind") != MEMBER).select(F.col("a").alias("b"))).distinct().toDF("c")
+    needed, _ = broadcast_if_small(stage_table(classes, "needed"))
     sketches = stage_table(summaries.filter("sketch IS NOT NULL").select("c", "n", "sketch").join(needed, "c", "left_semi").dropDuplicates(["c"]), "sketches")
     one = sketches.select(F.col("c").alias("a"), F.col("n").alias("n_a"), F.col("sketch").alias("sketch_a"))
     two = sketches.select(F.col("c").alias("b"), F.col("n").alias("n_b"), F.col("sketch").alias("sketch_b"))
-    pairs = met.filter("NOT hot").select("a", "b").join(one, "a").join(two, "b").filter(_similar_sketches(sim)("n_a", "n_b", "sketch_a", "sketch_b"))
-    joined = pairs.select("a", "b").unionByName(met.filter("hot").select("a", "b")).toDF("u", "v")
+    pairs = met.filter(F.col("kind") == PAIR).select("a", "b").join(one, "a").join(two, "b").filter(_similar_sketches(sim)("n_a", "n_b", "sketch_a", "sketch_b"))
+    members = met.filter(F.col("kind") == MEMBER).select(F.col("a").alias("token"), F.col("b").alias("c")).join(sketches, "c")
+    stars = members.groupBy("token").applyInPandas(_join_members(sim), "u bigint, v bigint")
+    joined = pairs.select("a", "b").unionByName(met.filter(F.col("kind") == STAR).select("a", "b")).toDF("u", "v").unionByName(stars)
     clusters = components(joined).toDF("c", "cluster").join(sketches.select("c", "n"), "c")
 
     sets = _sets(narrow.select("text"), sim, _tasks(stage_table(clusters, "clusters")))
