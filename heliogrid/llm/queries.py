@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from heliogrid.llm import exact, jaccard, mixing, packing, privacy, quality, urls
+from heliogrid.llm import exact, jaccard, mixing, packing, privacy, quality, suffix, urls
 from heliogrid.queries.base import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -32,6 +32,11 @@ URL_RULES = (
     urls.host_rule("net/fr/", "block"),
 )
 
+@query("op1_suffix_dedup")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.repeat_report(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 OP2_SQL = r"""
 WITH u AS (SELECT page_id, regexp_extract(coalesce(url, ''), '(?s)^.*?://(.*)$', 1) AS rest FROM pages),
 h AS (SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
