@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,14 +13,22 @@ SPACES = " \t\n\x0b\x0c\r"
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def utf8(column: pa.Array) -> list[bytes]:
-    """Texts as bytes; null is empty."""
-    return [b"" if x is None else x for x in column.cast(pa.binary()).to_pylist()]
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """The same rows in smaller batches, so that what a task makes of them stays small too."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
+def utf8(column: pa.Array) -> Iterator[bytes]:
+    """Texts as bytes, some at a time; null is empty."""
+    for start in range(0, len(column), 256):
+        yield from (b"" if x is None else x for x in column.slice(start, 256).cast(pa.binary()).to_pylist())
 
 
-def strings(column: pa.Array) -> list[str]:
+def strings(column: pa.Array) -> Iterator[str]:
     """Texts as strings; null is empty, bytes that are not UTF-8 become U+FFFD."""
-    return [x.decode("utf-8", "replace") for x in utf8(column)]
+    return (x.decode("utf-8", "replace") for x in utf8(column))
 
 
 def with_row_id(df: DataFrame, name: str = "rid") -> DataFrame:

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType
 
-from heliogrid.llm.common import utf8
+from heliogrid.llm.common import slices, utf8
 from heliogrid.llm.links import components
 from heliogrid.session import broadcast_if_small, stage_table
 
@@ -105,7 +105,7 @@ def _summaries(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(CELLS, dtype=np.uint32)
         seen: set[int] = set()
-        for batch in batches:
+        for batch in slices(batches):
             ns, cs, sketches, held = [], [], [], []
             for text in utf8(batch.column(1)):
                 tokens = shingles(text, words)
@@ -149,7 +149,7 @@ def _rarity(summaries: DataFrame) -> np.ndarray:
 def _prefixes(sim: Similarity, rarity: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
-        for batch in batches:
+        for batch in slices(batches):
             token, cs, ns = [np.empty(0, dtype=np.uint64)], [], []
             for text in utf8(batch.column(0)):
                 tokens = shingles(text, sim.words)
@@ -369,7 +369,7 @@ def _sets(docs: DataFrame, sim: Similarity, placed: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
-        for batch in batches:
+        for batch in slices(batches):
             cs, sets = [], []
             for t in utf8(batch.column(0)):
                 tokens = shingles(t, sim.words)

@@ -243,7 +243,7 @@ def pack(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", length: in
             names = batch.column(0).to_pylist()
             body = batch.column(1)
             for a in range(0, len(names), 256):
-                for name, tokens in zip(names[a : a + 256], token_bytes(strings(body.slice(a, 256)), tokenizer), strict=True):
+                for name, tokens in zip(names[a : a + 256], token_bytes(list(strings(body.slice(a, 256))), tokenizer), strict=True):
                     packer.add(Tokens(name, len(tokens) // ID_BYTES, 0, tokens))
                 if len(done) > 256:
                     yield rows()

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from heliogrid.llm.common import utf8
+from heliogrid.llm.common import slices, utf8
 from heliogrid.session import broadcast_if_small, stage_table
 
 LENGTH = 200
@@ -59,7 +59,7 @@ def anchors(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray
 def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(h, run, c, at, reach): gram, hash of the run's bytes, text, place, and how far back its starts reach."""
     seen: dict[int, int] = {}
-    for batch in batches:
+    for batch in slices(batches):
         hs, runs, cs, ats, reaches = [], [], [], [], []
         for c, data in zip(batch.column(0).to_pylist(), utf8(batch.column(1)), strict=True):
             # Two copies tell that a text is repeated.
@@ -228,7 +228,7 @@ def repeated_starts(groups: np.ndarray, left: np.ndarray, right: np.ndarray, lea
 
 def _surroundings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """From (c, text, wanted): a row for each anchor with the bytes before it (backwards) and after its gram."""
-    for batch in batches:
+    for batch in slices(batches, 200):
         out = []
         for c, data, wanted in zip(batch.column(0).to_pylist(), utf8(batch.column(1)), batch.column(2).to_pylist(), strict=True):
             for w in wanted:
@@ -272,7 +272,7 @@ def _spans_of_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """From (c, text, spans): bytes removed, merged spans, and the text that is left."""
-    for batch in batches:
+    for batch in slices(batches, 200):
         removed, spans, kept = [], [], []
         for data, some in zip(utf8(batch.column(1)), batch.column(2).to_pylist(), strict=True):
             merged: list[list[int]] = []
