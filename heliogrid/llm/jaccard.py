@@ -393,7 +393,7 @@ def _similar_sketches(sim: Similarity):
     return run.asNondeterministic()
 
 
-def _tasks(clusters: DataFrame) -> DataFrame:
+def place_clusters(clusters: DataFrame) -> DataFrame:
     """(c, cluster, i, j): where each class goes. ``clusters`` has c, n and cluster.
 
     Small clusters share a task. A large one is cut into blocks, and block i meets block j in a task of its own.
@@ -428,7 +428,7 @@ def _classes(docs: DataFrame, sim: Similarity, text: str, doc_id: str) -> tuple[
     joined = pairs.select("a", "b").unionByName(met.filter(F.col("kind") == STAR).select("a", "b")).toDF("u", "v").unionByName(stars)
     clusters = components(joined).toDF("c", "cluster").join(sketches.select("c", "n"), "c")
 
-    sets = _sets(narrow.select("text"), sim, _tasks(stage_table(clusters, "clusters")))
+    sets = _sets(narrow.select("text"), sim, place_clusters(stage_table(clusters, "clusters")))
     links = sets.groupBy("cluster", "i", "j").applyInPandas(_search_block(sim), "u bigint, v bigint")
     return rows, stage_table(components(links).toDF("c", "component"), "components")
 

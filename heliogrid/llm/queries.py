@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from heliogrid.llm import exact, jaccard, mixing, packing, privacy, quality, suffix, urls
+from heliogrid.llm import exact, jaccard, lines, mixing, packing, privacy, quality, suffix, urls
 from heliogrid.queries.base import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -97,6 +97,12 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), jaccard.Similarity(words=4, percent=85))
 
 
+@query("op7_line_dedup")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = lines.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), counts="n_removed")
+    return kept.select("doc_id", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
 @query("op8_packing")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents").select("doc_id", "text"))
