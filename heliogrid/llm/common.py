@@ -38,3 +38,8 @@ def with_row_id(df: DataFrame, name: str = "rid") -> DataFrame:
 
 def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
+
+
+def document_key(doc_id: Column, text: Column) -> Column:
+    """Tells documents apart by identity and text; rows that agree in both are the same document."""
+    return F.xxhash64(doc_id.cast("string"), F.coalesce(text, F.lit("")))

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType
 
-from heliogrid.llm.common import slices, utf8
+from heliogrid.llm.common import document_key, slices, utf8
 from heliogrid.llm.links import components
 from heliogrid.session import broadcast_if_small, stage_table
 
@@ -100,14 +100,14 @@ def _class_of(tokens: np.ndarray) -> int:
 
 def _summaries(words: int):
     """Rows of documents (n and class) and, at the end of a task, slices of its shingle counts."""
-    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("c", pa.int64()), ("sketch", pa.binary()), ("slice", pa.int32()), ("counts", pa.binary())])
+    schema = pa.schema([("doc_id", pa.int64()), ("k", pa.int64()), ("n", pa.int64()), ("c", pa.int64()), ("sketch", pa.binary()), ("slice", pa.int32()), ("counts", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(CELLS, dtype=np.uint32)
         seen: set[int] = set()
         for batch in slices(batches):
             ns, cs, sketches, held = [], [], [], []
-            for text in utf8(batch.column(1)):
+            for text in utf8(batch.column(2)):
                 tokens = shingles(text, words)
                 ns.append(len(tokens))
                 cs.append(_class_of(tokens))
@@ -119,10 +119,10 @@ def _summaries(words: int):
             if held:
                 counts += np.bincount((np.concatenate(held) & np.uint64(CELLS - 1)).astype(np.int64), minlength=CELLS).astype(np.uint32)
             nulls = pa.nulls(len(ns))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ns, pa.int64()), pa.array(cs, pa.int64()), pa.array(sketches, pa.binary()), nulls.cast(pa.int32()), nulls.cast(pa.binary())], schema=schema)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(ns, pa.int64()), pa.array(cs, pa.int64()), pa.array(sketches, pa.binary()), nulls.cast(pa.int32()), nulls.cast(pa.binary())], schema=schema)
         if seen:
             nulls = pa.nulls(SLICES, pa.int64())
-            yield pa.RecordBatch.from_arrays([nulls, nulls, nulls, pa.nulls(SLICES, pa.binary()), pa.array(range(SLICES), pa.int32()), pa.array([x.tobytes() for x in np.split(counts, SLICES)], pa.binary())], schema=schema)
+            yield pa.RecordBatch.from_arrays([nulls, nulls, nulls, nulls, pa.nulls(SLICES, pa.binary()), pa.array(range(SLICES), pa.int32()), pa.array([x.tobytes() for x in np.split(counts, SLICES)], pa.binary())], schema=schema)
 
     return run
 
@@ -409,10 +409,10 @@ def place_clusters(clusters: DataFrame) -> DataFrame:
 
 
 def _classes(docs: DataFrame, sim: Similarity, text: str, doc_id: str) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, n, c) of every row, and (c, component) of the linked classes; the component is a class too."""
-    narrow = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    summaries = stage_table(narrow.mapInArrow(_summaries(sim.words), "doc_id bigint, n bigint, c bigint, sketch binary, slice int, counts binary"), "summaries")
-    rows = summaries.filter("slice IS NULL").select("doc_id", "n", "c")
+    """(doc_id, k, n, c) of every row, and (c, component) of the linked classes; the component is a class too."""
+    narrow = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), document_key(F.col(f"`{doc_id}`"), F.col(f"`{text}`")).alias("k"), F.col(f"`{text}`").alias("text"))
+    summaries = stage_table(narrow.mapInArrow(_summaries(sim.words), "doc_id bigint, k bigint, n bigint, c bigint, sketch binary, slice int, counts binary"), "summaries")
+    rows = summaries.filter("slice IS NULL").select("doc_id", "k", "n", "c")
     prefixes = narrow.select("text").mapInArrow(_prefixes(sim, _rarity(summaries)), "token bigint, c bigint, n int")
     met = prefixes.repartition("token").sortWithinPartitions("token", "n", "c").mapInArrow(_meetings(sim.percent), "kind int, a bigint, b bigint")
     met = stage_table(met.distinct(), "meetings")
@@ -442,10 +442,34 @@ def near_duplicates(docs: DataFrame, sim: Similarity = Similarity(), text: str =
     table. Only the columns named are read.
     """
     rows, linked = _classes(docs, sim, text, doc_id)
-    known = rows.filter("n > 0").groupBy("c").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("copies"))
-    known = stage_table(known.join(linked, "c", "left").filter("copies > 1 OR component IS NOT NULL").select("c", "first", F.coalesce("component", "c").alias("component")), "known")
+    known = _grouped(rows, linked)
     heads = known.groupBy("component").agg(F.min("first").alias("component_id"))
     table, _ = broadcast_if_small(stage_table(known.join(heads, "component").select("c", "component_id", F.lit(True).alias("grouped")), "heads"))
     out = rows.join(table, "c", "left")
     component = F.when(F.col("grouped") & (F.col("n") > 0), F.col("component_id")).otherwise(F.col("doc_id"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
+
+
+def _grouped(rows: DataFrame, linked: DataFrame) -> DataFrame:
+    """(c, first, component) of the classes with several rows or links; ``first`` is the class's smallest doc_id."""
+    known = rows.filter("n > 0").groupBy("c").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("copies"))
+    known = known.join(linked, "c", "left").filter("copies > 1 OR component IS NOT NULL")
+    return stage_table(known.select("c", "first", F.coalesce("component", "c").alias("component")), "known")
+
+
+def keep_one_each(docs: DataFrame, sim: Similarity = Similarity(), text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """``docs`` with one row of each component: that of the smallest doc_id (null last).
+
+    Rows without shingles all stay. Of rows that agree in doc_id and text one stays. Other cases as in
+    :func:`near_duplicates`; all columns are kept, and _k may not occur.
+    """
+    rows, linked = _classes(docs, sim, text, doc_id)
+    small, _ = broadcast_if_small(_grouped(rows, linked).select("c", "component"))
+    members = stage_table(rows.join(small, "c").filter("n > 0").select("component", "k", "doc_id"), "members")
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "k")
+    stays = stage_table(members.groupBy("component").agg(F.min(order).alias("at")).select(F.col("at.k").alias("k")), "stays")
+    goes, _ = broadcast_if_small(stage_table(members.select("k").distinct().join(stays, "k", "left_anti").withColumnRenamed("k", "_k"), "goes"))
+    again = members.groupBy("k").count().filter("count > 1").join(stays, "k", "left_semi").select(F.col("k").alias("_k"))
+    again, _ = broadcast_if_small(stage_table(again, "again"))
+    out = docs.withColumn("_k", document_key(F.col(f"`{doc_id}`"), F.col(f"`{text}`"))).join(goes, "_k", "left_anti")
+    return out.join(again, "_k", "left_anti").unionByName(out.join(again, "_k", "left_semi").dropDuplicates(["_k"])).drop("_k")

@@ -20,10 +20,10 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from heliogrid.llm.common import slices, strings
+from heliogrid.llm.common import document_key, slices, strings
 from heliogrid.llm.jaccard import place_clusters
 from heliogrid.llm.links import components
 from heliogrid.session import broadcast_if_small, stage_table
@@ -237,10 +237,6 @@ def _texts_of(rows: DataFrame, placed: DataFrame) -> DataFrame:
     return rows.select("text").mapInArrow(run, "c bigint, line string").join(small, "c")
 
 
-def _document_key(doc_id: Column, text: Column) -> Column:
-    return F.xxhash64(doc_id.cast("string"), F.coalesce(text, F.lit("")))
-
-
 def removed_lines(docs: DataFrame, close: Closeness = Closeness(), text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """(k, removed): the numbers (from 0) of the lines to remove, of each document that loses any.
 
@@ -248,7 +244,7 @@ def removed_lines(docs: DataFrame, close: Closeness = Closeness(), text: str = "
     document of smaller doc_id (null last), or before it in the same one. It does not matter whether that line stays.
     """
     rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
-    lines = rows.select(_document_key(F.col("doc_id"), F.col("text")).alias("k"), "doc_id", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
+    lines = rows.select(document_key(F.col("doc_id"), F.col("text")).alias("k"), "doc_id", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
     lines = lines.filter(F.col("line").rlike(HAS_WORD))
     occurs = stage_table(lines.select("k", "doc_id", "pos", F.xxhash64("line").alias("h"), F.length("line").cast("long").alias("n")), "lines")
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "k", "pos")
@@ -277,7 +273,7 @@ def dedup_lines(docs: DataFrame, close: Closeness = Closeness(), text: str = "te
     """
     goes, _ = broadcast_if_small(removed_lines(docs, close, text, doc_id).select(F.col("k").alias("_k"), F.col("removed").alias("_removed")))
     body = F.col(f"`{text}`")
-    rows = docs.withColumn("_k", _document_key(F.col(f"`{doc_id}`"), body)).join(goes, "_k", "left")
+    rows = docs.withColumn("_k", document_key(F.col(f"`{doc_id}`"), body)).join(goes, "_k", "left")
     kept = F.array_join(F.filter(F.split(body, "\n"), lambda x, i: ~F.array_contains("_removed", i)), "\n")
     out = rows.withColumn(text, F.when(F.col("_removed").isNull(), body).otherwise(kept))
     if counts:

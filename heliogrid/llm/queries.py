@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from heliogrid.llm import exact, jaccard, lines, mixing, packing, privacy, quality, suffix, urls
+from heliogrid.llm import exact, html, jaccard, lines, mixing, packing, privacy, quality, suffix, urls
 from heliogrid.queries.base import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -67,6 +67,12 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+@query("op4_html_extraction")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html.extract_text(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 @query("op5_pii")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = privacy.with_spans(table(spark, sf_dir, "documents").select("doc_id", "text"))
