@@ -23,7 +23,7 @@ from pyspark.sql.types import ArrayType, BooleanType, StringType, StructField, S
 
 from heliogrid.llm.common import strings, with_row_id
 from heliogrid.llm.urls import split_url
-from heliogrid.session import stage_table
+from heliogrid.session import broadcast_if_small, stage_table
 
 RUN = 8  # tokens of a repeated run
 PAGES = 2  # pages that must share it
@@ -203,7 +203,8 @@ def extract_text(pages: DataFrame, url: str = "url", html: str = "html", result:
     hosts = found.groupBy("_host").agg(F.ceil(F.count(F.lit(1)) / GROUP).cast("int").alias("groups"), F.min("_found.marked").alias("all_marked"))
     # A large host is compared in groups of pages; boilerplate is what returns, so every group shows it. Hosts whose
     # pages all mark their article leave nothing to decide.
-    open_ = found.join(hosts.filter("NOT all_marked"), "_host").withColumn("part", F.pmod(F.xxhash64("_rid"), F.col("groups")))
+    undecided, _ = broadcast_if_small(stage_table(hosts.filter("NOT all_marked").select("_host", "groups"), "hosts"))
+    open_ = found.join(undecided, "_host").withColumn("part", F.pmod(F.xxhash64("_rid"), F.col("groups")))
     streams = open_.select("_host", "part", F.col("_rid").alias("rid"), F.col("_found.blocks").alias("blocks"), F.col("_found.marked").alias("marked"))
     drops = stage_table(streams.groupBy("_host", "part").applyInPandas(_host_boilerplate, "rid bigint, drop array<int>").filter(F.size("drop") > 0), "drops")
     rows = found.join(drops.withColumnRenamed("rid", "_rid"), "_rid", "left")
