@@ -26,7 +26,7 @@ from heliogrid.llm.common import strings
 LENGTH = 2048
 END = 1  # id that ends every document
 OPEN_WINDOWS = 1024
-KNOWN_WORDS = 1_000_000  # about 200 MB
+KNOWN_WORDS = 600_000  # about 100 MB
 ID_BYTES = 4
 
 
@@ -62,11 +62,9 @@ class WordIds:
         for start in range(0, len(words), 256):
             some = words[start : start + 256]
             ids = np.array(self._encode([f" {MARK} ".join(some)])[0], dtype="<u4")
-            raw, ends = ids.tobytes(), [*np.flatnonzero(ids == mark[0]).tolist(), len(ids)]
-            at = 0
-            for w, end in zip(some, ends, strict=True):
-                self.new[w] = raw[at * ID_BYTES : end * ID_BYTES]
-                at = end + len(mark)
+            raw, ends = ids.tobytes(), np.flatnonzero(ids == mark[0])
+            starts = (np.r_[0, ends + len(mark)] * ID_BYTES).tolist()
+            self.new.update(zip(some, [raw[a:b] for a, b in zip(starts, [*(ends * ID_BYTES).tolist(), len(raw)], strict=True)], strict=True))
 
     def look_up(self, parts: list[list[str]]) -> dict[str, bytes]:
         """A table that holds every part."""
@@ -86,7 +84,7 @@ def token_bytes(texts: list[str], path: str | None = None) -> list[bytes]:
     parts = [t.replace("\n", " ").split(" ") for t in texts]
     known = _word_ids(path).look_up(parts)
     end = np.array([END], dtype="<u4").tobytes()
-    return [b"".join([known[w] for w in p]) + end for p in parts]
+    return [b"".join(map(known.__getitem__, p)) + end for p in parts]
 
 
 class Tokens(NamedTuple):
@@ -249,5 +247,7 @@ def pack(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", length: in
                     yield rows()
         packer.finish()
         yield rows()
+        # The worker may go on with other work; the newer half of the words is enough for the next task here.
+        _word_ids(tokenizer).old = {}
 
     return docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text")).mapInArrow(run, columns)
