@@ -76,7 +76,9 @@ class WordIds:
         return self.new
 
 
-_word_ids = lru_cache(maxsize=2)(WordIds)
+@lru_cache(maxsize=2)
+def _word_ids(path: str | None) -> WordIds:
+    return WordIds(path)
 
 
 def token_bytes(texts: list[str], path: str | None = None) -> list[bytes]:
