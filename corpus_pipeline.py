@@ -31,8 +31,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of documents with their token ids, placed in sequences of 2048."""
-    return packing.pack(docs, with_ids=True)
+    """Pieces of documents with their token ids, placed in sequences of 2048. Workers serve other stages too, so they remember fewer words."""
+    return packing.pack(docs, with_ids=True, known_words=300_000)
 
 
 STAGES = [

@@ -26,7 +26,7 @@ from heliogrid.llm.common import strings
 LENGTH = 2048
 END = 1  # id that ends every document
 OPEN_WINDOWS = 1024
-KNOWN_WORDS = 600_000  # about 100 MB
+KNOWN_WORDS = 1_000_000  # about 200 MB
 ID_BYTES = 4
 
 
@@ -37,13 +37,14 @@ class WordIds:
     """Ids of the parts of texts between blanks and line feeds.
 
     The tokenizer drops white space and no token spans a blank, so parts are encoded once and then looked up. Parts are
-    remembered in two generations of at most KNOWN_WORDS each, plus those of the current texts.
+    remembered in two generations of at most ``limit`` each, plus those of the current texts.
     """
 
-    def __init__(self, path: str | None):
+    def __init__(self, path: str | None, limit: int):
         import public_tokenizers
         from tokenizers import Tokenizer
 
+        self.limit = limit
         self.tokenizer = Tokenizer.from_file(path or public_tokenizers.path("word_bpe_49k.json"))
         self.mark = np.array(self._encode([MARK])[0], dtype="<u4").tobytes()
         self.new: dict[str, bytes] = {}
@@ -68,7 +69,7 @@ class WordIds:
 
     def look_up(self, parts: list[list[str]]) -> dict[str, bytes]:
         """A table that holds every part."""
-        if len(self.new) > KNOWN_WORDS:
+        if len(self.new) > self.limit:
             self.old, self.new = self.new, {}
         missing = set().union(*parts) - self.new.keys()
         self.new.update((w, self.old[w]) for w in missing & self.old.keys())
@@ -77,14 +78,14 @@ class WordIds:
 
 
 @lru_cache(maxsize=2)
-def _word_ids(path: str | None) -> WordIds:
-    return WordIds(path)
+def _word_ids(path: str | None, limit: int) -> WordIds:
+    return WordIds(path, limit)
 
 
-def token_bytes(texts: list[str], path: str | None = None) -> list[bytes]:
+def token_bytes(texts: list[str], path: str | None = None, known_words: int = KNOWN_WORDS) -> list[bytes]:
     """Ids of each text and END, as little-endian 32-bit numbers."""
     parts = [t.replace("\n", " ").split(" ") for t in texts]
-    known = _word_ids(path).look_up(parts)
+    known = _word_ids(path, known_words).look_up(parts)
     end = np.array([END], dtype="<u4").tobytes()
     return [b"".join(map(known.__getitem__, p)) + end for p in parts]
 
@@ -200,13 +201,14 @@ class Packer:
 SCHEMA = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint"
 
 
-def pack(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", length: int = LENGTH, tokenizer: str | None = None, with_ids: bool = False) -> DataFrame:
+def pack(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", length: int = LENGTH, tokenizer: str | None = None, with_ids: bool = False, known_words: int = KNOWN_WORDS) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset; with_ids adds the ids.
 
     Null and empty texts are the end id alone. Every row is a document of its own, so repeated rows are packed as
     often as they occur; a null doc_id stays null. An empty table gives an empty table. Sequence numbers hold the
     task's number in their upper bits, and offsets within a sequence have no gaps. Only the two columns named are
-    read. ``tokenizer`` is a file that every executor can open; the packaged vocabulary if not given.
+    read. ``tokenizer`` is a file that every executor can open; the packaged vocabulary if not given. ``known_words`` bounds the
+    words whose ids a worker remembers (twice that many): more memory, less encoding.
     """
     columns = SCHEMA + (", ids array<int>" if with_ids else "")
 
@@ -243,13 +245,11 @@ def pack(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", length: in
             names = batch.column(0).to_pylist()
             body = batch.column(1)
             for a in range(0, len(names), 256):
-                for name, tokens in zip(names[a : a + 256], token_bytes(list(strings(body.slice(a, 256))), tokenizer), strict=True):
+                for name, tokens in zip(names[a : a + 256], token_bytes(list(strings(body.slice(a, 256))), tokenizer, known_words), strict=True):
                     packer.add(Tokens(name, len(tokens) // ID_BYTES, 0, tokens))
                 if len(done) > 256:
                     yield rows()
         packer.finish()
         yield rows()
-        # The worker may go on with other work; the newer half of the words is enough for the next task here.
-        _word_ids(tokenizer).old = {}
 
     return docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text")).mapInArrow(run, columns)
