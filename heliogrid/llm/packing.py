@@ -71,9 +71,14 @@ class WordIds:
         """A table that holds every part."""
         if len(self.new) > self.limit:
             self.old, self.new = self.new, {}
-        missing = set().union(*parts) - self.new.keys()
-        self.new.update((w, self.old[w]) for w in missing & self.old.keys())
-        self._learn([w for w in missing if w not in self.old])
+        missing = []
+        for w in [w for w in set().union(*parts) if w not in self.new]:
+            ids = self.old.get(w)
+            if ids is None:
+                missing.append(w)
+            else:
+                self.new[w] = ids
+        self._learn(missing)
         return self.new
 
 
