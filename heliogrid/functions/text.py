@@ -37,7 +37,10 @@ def try_number(col: Column, kind: str = "double", decimal_sep: str = ",") -> Col
 def strict_number(col: Column, kind: str = "double", decimal_sep: str = ",") -> Column:
     """Text to number; text that is neither a number nor a null token stops the query."""
     text = null_tokens(F.trim(col))
-    return (comma_to_point(text) if decimal_sep == "," else text).cast(kind)
+    text = comma_to_point(text) if decimal_sep == "," else text
+    # A cast alone takes suffixes such as 1d, and words such as Infinity; the marked text makes it fail.
+    marked = F.when(text.rlike(NUMBER_PATTERN), text).otherwise(F.concat(F.lit("not a number: "), text))
+    return marked.cast(kind)
 
 
 def try_whole_number(col: Column) -> Column:

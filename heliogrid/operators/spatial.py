@@ -94,7 +94,7 @@ def nearest_join(
     Sites are packed into about sqrt(n) tiles of nearly equal counts, so crowded places get small
     tiles. A point keeps the tiles that can hold its nearest site, judged by the exact bounding
     boxes of the tiles, and meets only the sites of those: an equi-join on the tile.
-    Sites at the same place count once, by their smallest id. ``point_id`` must be unique.
+    Points without coordinates (null or NaN) have a null site. Sites at the same place count once, by their smallest id. ``point_id`` must be unique.
     """
     sx, sy = (F.col(c).cast("double") for c in site_xy)
     places = sites.select(sx.alias("_sx"), sy.alias("_sy"), F.col(site_id)).dropna()
@@ -114,7 +114,9 @@ def nearest_join(
     far = f"least({nx} + {fy}, {fx} + {ny})"
     x, y = F.col("_px"), F.col("_py")
     located = points.select(point_id, *[F.col(c).cast("double").alias(n) for c, n in zip(point_xy, ("_px", "_py"))])
-    located = located.filter(x.isNotNull() & y.isNotNull())
+    placed = x.isNotNull() & y.isNotNull() & ~F.isnan(x) & ~F.isnan(y)
+    unplaced = located.filter(~placed).select(point_id)
+    located = located.filter(placed)
     bounded = located.withColumn("_bound", F.expr(f"array_min(transform({known}, b -> {far}))"))
     # A little slack keeps rounding from dropping the tile that sets the bound.
     chosen = f"filter({known}, b -> {near} <= _bound * {1 + 1e-12!r}D)"
@@ -134,4 +136,6 @@ def nearest_join(
     met = probes.join(lists, keys).withColumn("_d2", F.expr(square)).withColumn("_m", F.array_min("_d2"))
     best = F.struct(F.col("_m").alias("d2"), F.expr("get(_sites, int(array_position(_d2, _m)) - 1).id").alias("id"))
     found = met.select(point_id, best.alias("_b")).groupBy(point_id).agg(F.min("_b").alias("_b"))
-    return found.select(point_id, F.col("_b.id").alias(site_id), F.sqrt("_b.d2").alias("distance"))
+    found = found.select(point_id, F.col("_b.id").alias(site_id), F.sqrt("_b.d2").alias("distance"))
+    none = [F.lit(None).cast(found.schema[c].dataType).alias(c) for c in (site_id, "distance")]
+    return found.unionByName(unplaced.select(point_id, *none))

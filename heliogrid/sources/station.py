@@ -1,7 +1,8 @@
 """Hourly station files: Latin-1 text, semicolons, a short preamble, a header, then readings.
 
-Lines are told apart by content (a reading starts with a date), so files are split freely
-and nothing depends on line numbers. Only the preamble reader looks at whole files.
+Lines are told apart by content, so files are split freely and nothing depends on line numbers:
+a preamble line begins with a label and a colon, a header with the name of the date column, and
+everything else is a reading, also where its date is empty or in an unknown layout. Only the preamble reader looks at whole files.
 """
 
 from __future__ import annotations
@@ -27,7 +28,24 @@ STATION_FORMAT = {
 # Preamble length and the lines that hold name, latitude and longitude (from 0).
 PREAMBLE_LINES, NAME_LINE, LATITUDE_LINE, LONGITUDE_LINE = 8, 1, 4, 5
 
-READING_PATTERN = r"^\d{4}[-/]\d{2}[-/]\d{2}"
+# First cell of a preamble line (a label) and of a header, which may also be the name of any column.
+LABEL_PATTERN, HEADER_PATTERN = r":\s*$", r"^\s*(?i:data|date)\b"
+COLUMN_NAMES = sorted({s.upper() for c in STATION_COLUMNS for s in (c.header, c.friendly, c.loaded, c.ddl)})
+
+
+def is_header(first: Column) -> Column:
+    return F.coalesce(first.rlike(HEADER_PATTERN) & ~first.rlike(LABEL_PATTERN) | F.upper(F.trim(first)).isin(COLUMN_NAMES), F.lit(False))
+
+
+def is_reading(first: Column, has_cells: Column) -> Column:
+    """Neither preamble nor header nor blank; ``has_cells`` tells whether any cell is filled."""
+    return has_cells & ~is_header(first) & ~F.coalesce(first.rlike(LABEL_PATTERN), F.lit(False))
+
+
+def only_readings(raw: DataFrame) -> DataFrame:
+    """The readings among the rows of a station file, by :func:`is_reading`."""
+    cells = [F.col(f"`{c}`") for c in RAW_SCHEMA.names]
+    return raw.filter(is_reading(cells[0], F.coalesce(*cells).isNotNull()))
 
 
 def year_paths(template: str, years: Iterable[int]) -> list[str]:
@@ -40,7 +58,7 @@ def scan_raw(spark: SparkSession, paths: str | list[str], with_file: bool = Fals
     df = spark.read.schema(RAW_SCHEMA).options(**{**STATION_FORMAT, **options}).csv(paths)
     if with_file:
         df = df.withColumn("file", F.col("_metadata.file_path"))
-    return df.filter(F.col(RAW_SCHEMA.names[0]).rlike(READING_PATTERN))
+    return only_readings(df)
 
 
 def scan_by_header(spark: SparkSession, paths: str | list[str]) -> DataFrame:
@@ -58,14 +76,14 @@ def scan_by_header(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     known = F.create_map(
         *[F.lit(v) for c in STATION_COLUMNS for s in {c.header, c.friendly, c.loaded, c.ddl} for v in (s.upper(), c.friendly)]
     )
-    is_header = F.size("cells") > 2
-    headers = lines.filter(is_header & ~F.col("cells")[0].rlike(READING_PATTERN))
+    first, wide = F.col("cells")[0], F.size("cells") > 2
+    headers = lines.filter(wide & is_header(first))
     headers = headers.groupBy("file").agg(
         F.max(F.transform("cells", lambda c: F.coalesce(known[F.upper(F.trim(c))], F.lit("")))).alias("names")
     )
     headers, _ = broadcast_if_small(stage_table(headers, "headers"))
-    rows = lines.filter(F.col("cells")[0].rlike(READING_PATTERN)).join(headers, "file")
-    cols = [F.get("cells", F.array_position("names", F.lit(c.friendly)).cast("int") - 1).alias(c.friendly) for c in STATION_COLUMNS]
+    rows = lines.filter(is_reading(first, wide & F.exists("cells", lambda c: c != ""))).join(headers, "file")
+    cols = [F.nullif(F.get("cells", F.array_position("names", F.lit(c.friendly)).cast("int") - 1), F.lit("")).alias(c.friendly) for c in STATION_COLUMNS]
     return rows.select("file", *cols)
 
 
@@ -82,16 +100,38 @@ def typed(raw: DataFrame, scale: str = "float", on_error: str = "skip") -> DataF
     """Friendly names with float measures and whole wind direction.
 
     Text that is not a number becomes null with ``on_error='skip'`` and stops the load with
-    ``'abort'``; the null tokens are null in both.
+    ``'abort'``, as does a date in an unknown layout; the null tokens are null in both.
     """
-    number = text.strict_number if on_error == "abort" else text.try_number
-    cols = [F.col(f"`{c.header}`").alias(c.friendly) for c in STATION_COLUMNS if c.kind in ("date", "time")]
+    abort = on_error == "abort"
+    number = text.strict_number if abort else text.try_number
+    cols = []
+    for c in STATION_COLUMNS:
+        if c.kind in ("date", "time"):
+            value = F.col(f"`{c.header}`")
+            if abort and c.kind == "date":
+                message = F.concat(F.lit("not a date: "), value)
+                value = F.when(text.null_tokens(F.trim(value)).isNotNull() & dates.try_date(value).isNull(), F.raise_error(message)).otherwise(value)
+            cols.append(value.alias(c.friendly))
     for c in MEASURES:
         kind = "int" if c.kind == "int" else scale
         cols.append(number(F.col(f"`{c.header}`"), kind).alias(c.friendly))
     return raw.select(*cols, *[c for c in raw.columns if c not in RAW_SCHEMA.names])
 
 
+def rejects(raw: DataFrame) -> DataFrame:
+    """Rows with text that does not parse: all columns of ``raw`` and ``rejected``, the friendly names of these cells."""
+
+    def bad(c) -> Column:
+        value = text.null_tokens(F.trim(F.col(f"`{c.header}`")))
+        if c.kind in ("date", "time"):
+            parsed = dates.try_date(value).isNotNull() if c.kind == "date" else dates.try_time(value).isNotNull()
+        else:
+            parsed = text.try_number(value, "double").isNotNull()
+        return F.when(value.isNotNull() & ~parsed, F.lit(c.friendly))
+
+    return raw.withColumn("rejected", F.array_compact(F.array(*[bad(c) for c in STATION_COLUMNS]))).filter(F.size("rejected") > 0)
+
+
 def short_model(raw: DataFrame) -> DataFrame:
     """The six-column model: date, hour and four measures."""
     df = typed(raw).withColumn("data", dates.try_date(F.col("data")))
@@ -171,7 +211,8 @@ def scan_with_station(
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths)
     split = files.select(F.col("path").alias("file"), F.split(text.latin1(F.col("content")), "\r?\n").alias("lines"))
     rows = split.select("file", *_preamble_fields(F.col("lines"), name_line, lat_line, lon_line), F.explode("lines").alias("line"))
-    rows = rows.filter(F.col("line").rlike(READING_PATTERN)).withColumn("cells", F.split("line", ";", -1))
+    rows = rows.withColumn("cells", F.split("line", ";", -1))
+    rows = rows.filter(is_reading(F.col("cells")[0], (F.size("cells") > 2) & F.exists("cells", lambda c: c != "")))
     cols = [F.nullif(F.get("cells", F.lit(i)), F.lit("")).alias(c) for i, c in enumerate(RAW_SCHEMA.names)]
     return rows.select(*cols, "file", F.col("nome").alias("estacao"), "latitude", "longitude")
 

@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from heliogrid.columns import RAW_SCHEMA
 from heliogrid.functions import dates
-from heliogrid.sources.station import READING_PATTERN, STATION_FORMAT, typed
+from heliogrid.session import broadcast_if_small
+from heliogrid.sources.station import STATION_FORMAT, only_readings, typed
 
 
 def station_stream(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
@@ -19,7 +18,7 @@ def station_stream(spark: SparkSession, path: str, files_per_batch: int | None =
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     rows = reader.csv(path).withColumn("file", F.col("_metadata.file_path"))
-    return rows.filter(F.col(RAW_SCHEMA.names[0]).rlike(READING_PATTERN))
+    return only_readings(rows)
 
 
 def clean_readings(raw: DataFrame) -> DataFrame:
@@ -44,13 +43,10 @@ def dedup_stream(stream: DataFrame, keys: list[str], time: str, delay: str = "2
     return stream.withWatermark(time, delay).dropDuplicatesWithinWatermark(keys)
 
 
-def load_new_files(
-    catalog: DataFrame, ledger: DataFrame, load: Callable[[list[str]], DataFrame], path: str = "path", batch_files: int = 10_000
-) -> DataFrame | None:
-    """Batch form: read the catalogued files that the ledger of loaded files lacks.
+def load_new_files(rows: DataFrame, ledger: DataFrame, file: str = "file") -> DataFrame:
+    """Batch form: the rows of a scan whose file the ledger of loaded files lacks.
 
-    At most ``batch_files`` names are passed to one read; call again until None comes back.
+    Both name files in ``file``. Any number of files is read in one call; names stay in the tables.
     """
-    fresh = catalog.select(path).join(ledger.select(path), path, "left_anti").orderBy(path).limit(batch_files)
-    names = [r[0] for r in fresh.collect()]
-    return load(names) if names else None
+    loaded, _ = broadcast_if_small(ledger.select(file).distinct())
+    return rows.join(loaded, file, "left_anti")

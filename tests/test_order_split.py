@@ -69,3 +69,10 @@ def test_stratified_folds(spark):
     for r in split.kfold_stratified(df, "id", "c").groupBy("c", "fold").count().collect():
         sizes.setdefault(r.c, []).append(r["count"])
     assert sorted(sizes[True]) == [7, 7, 7, 7, 7] and sorted(sizes[False]) == [13, 13, 14, 14, 14]
+
+
+def test_rank_search_ends_on_large_ids(spark):
+    first = 2**62
+    ids = spark.range(5_000).selectExpr(f"id + {first} AS id")
+    found = order.values_at(ids, {"id": [0, 1234, 4999]}, {"id": 5_000}, sort_rows=10)
+    assert [pair[0] for pair in found["id"]] == [first, first + 1234, first + 4999]

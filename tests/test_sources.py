@@ -183,11 +183,31 @@ def test_incremental_load_takes_each_file_once(spark, folder, tmp_path):
 
 
 def test_batch_ledger(spark):
-    names = spark.createDataFrame([("a",), ("b",), ("c",)], "path string")
-    done = names.filter("path = 'b'")
-    load = lambda paths: spark.createDataFrame([(p,) for p in paths], "path string")
-    assert [r.path for r in incremental.load_new_files(names, done, load).collect()] == ["a", "c"]
-    assert incremental.load_new_files(names, names, load) is None
+    rows = spark.range(30_000).selectExpr("concat('file', id) AS file", "id")
+    done = rows.filter("id = 7").select("file")
+    assert incremental.load_new_files(rows, done).count() == 29_999
+    assert incremental.load_new_files(rows, rows.select("file")).count() == 0
+
+
+def test_odd_dates_stay_and_abort_raises(spark, tmp_path):
+    days = ["2021/01/01", "31/01/2021", "", "2021/01/02"]
+    lines = preamble("ODD") + [";".join(HEADERS)] + [reading(d, "0100 UTC", "1", "5") for d in days]
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "odd.CSV").write_bytes("\n".join(lines).encode("latin-1"))
+    path = str(tmp_path / "in")
+    raw = station.scan_raw(spark, path)
+    assert raw.count() == station.scan_by_header(spark, path).count() == station.scan_with_station(spark, path).count() == 4
+    assert [r.rejected for r in station.rejects(raw).collect()] == [["data"]]
+    with pytest.raises(Exception, match="not a date"):
+        station.typed(raw, on_error="abort").collect()
+
+
+def test_strict_numbers_refuse_suffixes(spark):
+    rows = spark.createDataFrame([("1,5",), ("NaN",), ("",)], "v string")
+    assert [r.v for r in rows.select(text.strict_number(F.col("v")).alias("v")).collect()] == [1.5, None, None]
+    for bad in ("1d", "2f", "Infinity"):
+        with pytest.raises(Exception, match="not a number"):
+            spark.createDataFrame([(bad,)], "v string").select(text.strict_number(F.col("v"))).collect()
 
 
 def test_stream_dedup(spark, tmp_path):

@@ -116,3 +116,10 @@ def test_geojson(spark, tmp_path):
     assert [(r.cd_mun, r.nm_mun, len(r.geometry)) for r in df.orderBy("cd_mun").collect()] == [("1", "A", 1), ("2", "B", 2)]
     points = spark.createDataFrame([(5.7, 5.2), (0.7, 0.2)], "longitude double, latitude double")
     assert spatial.join_within(points, df).groupBy("cd_mun").count().orderBy("cd_mun").collect() == [("1", 1), ("2", 2)]
+
+
+def test_points_without_coordinates_have_no_site(spark):
+    points = spark.createDataFrame([(1, 0.0, 0.0), (2, float("nan"), 1.0), (3, None, 1.0)], "p int, x double, y double")
+    sites = spark.createDataFrame([(7, 0.0, 1.0)], "s int, x double, y double")
+    got = spatial.nearest_join(points, sites, "p", "s", ("x", "y"), ("x", "y")).orderBy("p").collect()
+    assert [(r.p, r.s, r.distance) for r in got] == [(1, 7, 1.0), (2, None, None), (3, None, None)]
