@@ -90,6 +90,7 @@ def test_nearest_matches_brute_force(spark, monkeypatch, limit):
         "p", "s", ("px", "py"), ("sx", "sy"),
     )
     got = {r.p: (r.s, r.distance) for r in found.collect()}
+    assert got.pop(-1) == (None, None)
     assert len(got) == len(points)
     for i, x, y in points:
         d2, s = min(((x - sx) ** 2 + (y - sy) ** 2, s) for s, sx, sy in sites)
