@@ -1,9 +1,11 @@
 """Personal data: direct identifiers by pattern, and the terms that disclose them by co-occurrence.
 
-A term that stands near an identifier in several texts and hardly anywhere else gives the identifier away even where
-it has been masked. How much is estimated from the whole corpus: with n_te documents where term t stands near
-identifier e, n_t documents with t, n_e with e and n documents, the posterior is n_te / n_t and the information
-log2(n_te * n / (n_t * n_e)) bits. Terms above the thresholds are removed, or generalised where the posterior is lower.
+A term that stands near an identifier and hardly anywhere else gives the identifier away even where it has been masked.
+How much is estimated from the whole corpus: with n_te documents where term t stands near identifier e, n_t documents
+with t, n_e with e and n documents, the posterior is n_te / n_t and the information log2(n_te * n / (n_t * n_e)) bits.
+Terms above the thresholds are removed, or generalised where the posterior is lower. Identifiers mostly occur once or
+twice, so no number of texts is asked for; against chance stands the evidence, the likelihood ratio (in bits) of what
+was seen to t and e being independent. One text gives the bits of a single meeting, further texts add to it.
 """
 
 from __future__ import annotations
@@ -18,8 +20,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
-from heliogrid.llm.common import strings
-from heliogrid.session import stage_table
+from heliogrid.llm.common import slices, strings
+from heliogrid.session import broadcast_if_small, stage_table
 
 KINDS = ("email", "ip", "card", "phone")
 TERM_KINDS = ("generalise", "remove")
@@ -36,16 +38,16 @@ TERM = re.compile(r"[^\W\d_]{3,}")
 
 @dataclass(frozen=True)
 class Thresholds:
-    """Words of context on either side; texts that must agree; posterior and bits from which a term discloses."""
+    """Words of context on either side; posterior, bits and bits of evidence from which a term discloses."""
 
     window: int = 8
-    support: int = 3
     generalise: float = 0.5
     remove: float = 0.8
     bits: float = 4.0
+    evidence: float = 4.0
 
 
-BLOCK_BYTES = 8 << 20  # of terms that tasks hold at once; more terms are worked off in blocks
+HELD_TERMS = 100_000  # different terms that a task counts before it hands the counts on
 
 
 def _emails(text: str) -> Iterator[tuple[int, int]]:
@@ -112,35 +114,37 @@ def _contexts(window: int):
     return run
 
 
-def _blocks(terms: DataFrame) -> Iterator[list]:
-    """The rows in blocks of bounded size by their term, one block at a time on the driver."""
-    size = terms.agg(F.sum(F.octet_length("term") + 64)).first()[0] or 0
-    n = -(-size // BLOCK_BYTES)
-    for i in range(n):
-        yield terms.filter(F.pmod(F.xxhash64("term"), F.lit(n)) == i).collect()
+def _terms(text: str) -> set[str]:
+    return {w.lower() for w in set(TERM.findall(text))}
 
 
-def _count_documents(docs: DataFrame, text: str, terms: DataFrame) -> DataFrame:
-    """(term, n_t): documents that contain each term, counted in the tasks before they are added up."""
-    counted = None
-    for rows in _blocks(terms):
+def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(term, n): texts of the task that contain each term, in parts."""
+    counts: Counter[str] = Counter()
+
+    def part() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], ["term", "n"])
 
-        def run(batches: Iterator[pa.RecordBatch], block: frozenset[str] = frozenset(r["term"] for r in rows)) -> Iterator[pa.RecordBatch]:
-            counts: Counter[str] = Counter()
-            for batch in batches:
-                for t in strings(batch.column(0)):
-                    counts.update({w.lower() for w in set(TERM.findall(t))} & block)
-            yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], ["term", "n_t"])
+    for batch in batches:
+        for t in strings(batch.column(0)):
+            counts.update(_terms(t))
+            if len(counts) >= HELD_TERMS:
+                yield part()
+                counts.clear()
+    yield part()
 
-        part = docs.select(F.col(f"`{text}`")).mapInArrow(run, "term string, n_t bigint").groupBy("term").agg(F.sum("n_t").alias("n_t"))
-        counted = part if counted is None else counted.unionByName(part)
-    return counted if counted is not None else terms.select("term", F.lit(0).cast("long").alias("n_t")).limit(0)
+
+def _count_documents(docs: DataFrame, text: str, terms: DataFrame) -> DataFrame:
+    """(term, n_t): documents that contain each of the terms, counted in the tasks before they are added up."""
+    wanted, _ = broadcast_if_small(terms)
+    parts = docs.select(F.col(f"`{text}`")).mapInArrow(_counts, "term string, n bigint")
+    return parts.join(wanted, "term").groupBy("term").agg(F.sum("n").alias("n_t"))
 
 
 def disclosing_terms(docs: DataFrame, text: str = "text", thresholds: Thresholds = Thresholds()) -> DataFrame:
     """(term, entity, n_te, n_t, n_e, posterior, bits, action) of the terms above the thresholds.
 
-    Support counts different texts, so exact copies of one text are no evidence; the other figures count documents.
+    Exact copies of one text are evidence once; the other figures count documents.
     """
     body = F.col(f"`{text}`")
     found = stage_table(docs.select(F.xxhash64(body).alias("h"), _contexts(thresholds.window).asNondeterministic()(body).alias("c")), "contexts")
@@ -151,11 +155,15 @@ def disclosing_terms(docs: DataFrame, text: str = "text", thresholds: Thresholds
     each = stage_table(each, "entities")
     entities = each.groupBy("entity").agg(F.sum("copies").alias("n_e"))
     pairs = each.select("copies", "entity", F.explode("terms").alias("term")).groupBy("term", "entity").agg(F.count(F.lit(1)).alias("support"), F.sum("copies").alias("n_te"))
-    pairs = stage_table(pairs.filter(F.col("support") >= thresholds.support), "pairs")
-    n_t = stage_table(_count_documents(docs, text, pairs.select("term").distinct()), "terms")
+    pairs = stage_table(pairs, "pairs")
+    n_t = stage_table(_count_documents(docs, text, stage_table(pairs.select("term").distinct(), "near")), "terms")
     judged = pairs.join(n_t, "term").join(entities, "entity")
     judged = judged.withColumn("posterior", F.col("n_te") / F.col("n_t")).withColumn("bits", F.log2(F.col("posterior") * F.lit(float(n)) / F.col("n_e")))
-    judged = judged.filter((F.col("posterior") >= thresholds.generalise) & (F.col("bits") >= thresholds.bits))
+    # Where t also stands without e, that counts against; an identifier of all documents has no logarithm and no evidence.
+    apart = F.col("n_t") - F.col("n_te")
+    against = F.when(apart == 0, 0.0).otherwise(apart * (F.log2(apart / F.col("n_t")) - F.log2(1 - F.col("n_e") / F.lit(float(n)))))
+    evidence = (F.col("n_te") * F.col("bits") + against) * F.col("support") / F.col("n_te")
+    judged = judged.filter((F.col("posterior") >= thresholds.generalise) & (F.col("bits") >= thresholds.bits) & (evidence >= thresholds.evidence))
     action = F.when(F.col("posterior") >= thresholds.remove, "remove").otherwise("generalise")
     return judged.select("term", "entity", "n_te", "n_t", "n_e", "posterior", "bits", action.alias("action"))
 
@@ -169,40 +177,51 @@ def _base(text: pa.Array) -> pa.Array:
     return pa.array([[{"kind": k, "start": a, "end": b} for k, a, b in base_spans(t)] for t in strings(text)], ARROW_SPAN)
 
 
-def _term_spans(actions: dict[str, str]):
-    """Spans of the given terms that lie outside the base spans."""
+def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(h, term): the terms of each text, by its hash."""
+    for batch in slices(batches, 100):
+        hashes, terms = [], []
+        for h, t in zip(batch.column(0).to_pylist(), strings(batch.column(1)), strict=True):
+            some = _terms(t)
+            terms += some
+            hashes += [h] * len(some)
+        yield pa.RecordBatch.from_arrays([pa.array(hashes, pa.int64()), pa.array(terms, pa.string())], ["_h", "term"])
 
-    @F.arrow_udf(SPAN)
-    def run(text: pa.Array, base: pa.Array) -> pa.Array:
-        out = []
-        for t, spans in zip(strings(text), base.to_pylist(), strict=True):
-            found = []
-            if any(w.lower() in actions for w in set(TERM.findall(t))):
-                for m in TERM.finditer(t):
-                    action = actions.get(m[0].lower())
-                    if action and not any(s["start"] < m.end() and m.start() < s["end"] for s in spans):
-                        found.append({"kind": action, "start": m.start(), "end": m.end()})
-            out.append(found)
-        return pa.array(out, ARROW_SPAN)
 
-    return run.asNondeterministic()
+@F.arrow_udf(SPAN)
+def _term_spans(text: pa.Array, base: pa.Array, actions: pa.Array) -> pa.Array:
+    """Spans of the given (term, action) that lie outside the base spans."""
+    out = []
+    for t, spans, some in zip(strings(text), base.to_pylist(), actions.to_pylist(), strict=True):
+        found = []
+        if some:
+            known = {x["term"]: x["action"] for x in some}
+            for m in TERM.finditer(t):
+                action = known.get(m[0].lower())
+                if action and not any(s["start"] < m.end() and m.start() < s["end"] for s in spans):
+                    found.append({"kind": action, "start": m.start(), "end": m.end()})
+        out.append(found)
+    return pa.array(out, ARROW_SPAN)
 
 
 def with_spans(docs: DataFrame, text: str = "text", spans: str = "spans", thresholds: Thresholds = Thresholds()) -> DataFrame:
     """Add an array of (kind, start, end): identifiers by KINDS, then terms by TERM_KINDS, each by start.
 
     Positions are code points of the whole text, the end excluded. Null and empty texts have none. Repeated rows are
-    documents of their own in the counts, but not in the support. An empty table gives an empty table. ``spans`` must
-    not be a column of ``docs``; other columns may have any name.
+    documents of their own in the counts, but not in the evidence. An empty table gives an empty table. ``spans`` must
+    not be a column of ``docs``; _h, _actions and _base may not occur.
     """
     if spans in docs.columns:
         raise ValueError(f"column {spans} exists, choose another name for the spans")
-    known = stage_table(disclosing_terms(docs, text, thresholds).groupBy("term").agg(F.max("action").alias("action")), "disclosing")
-    out = docs.withColumn(spans, _base.asNondeterministic()(F.col(f"`{text}`")))
-    base = F.filter(F.col(f"`{spans}`"), lambda s: s["kind"].isin(*KINDS))
-    for rows in _blocks(known):
-        found = _term_spans({r["term"]: r["action"] for r in rows})(F.col(f"`{text}`"), base)
-        out = out.withColumn(spans, F.concat(F.col(f"`{spans}`"), found))
+    body = F.col(f"`{text}`")
+    known, _ = broadcast_if_small(stage_table(disclosing_terms(docs, text, thresholds).groupBy("term").agg(F.max("action").alias("action")), "disclosing"))
+    # Terms go back to the texts by the texts' hash. Texts that share one also share terms, which changes nothing.
+    words = docs.select(F.xxhash64(body).alias("_h"), body.alias("t")).mapInArrow(_words, "_h bigint, term string").join(known, "term")
+    found = stage_table(words.groupBy("_h").agg(F.collect_set(F.struct("term", "action")).alias("_actions")), "found")
+    found, _ = broadcast_if_small(found)
+    out = docs.withColumn("_h", F.xxhash64(body)).join(found, "_h", "left").withColumn("_base", _base.asNondeterministic()(body))
+    term_spans = _term_spans.asNondeterministic()(body, F.col("_base"), F.col("_actions"))
+    out = out.withColumn(spans, F.concat("_base", term_spans)).select(*[F.col(f"`{c}`") for c in (*docs.columns, spans)])
     order = F.array(*[F.lit(k) for k in (*KINDS, *TERM_KINDS)])
     sorted_ = F.array_sort(F.transform(F.col(f"`{spans}`"), lambda s: F.struct(F.array_position(order, s["kind"]).alias("o"), s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
     return out.withColumn(spans, F.transform(sorted_, lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"))))

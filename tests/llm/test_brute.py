@@ -140,6 +140,15 @@ def test_disclosing_terms(spark):
     assert clean[0] == "the report of monday  goes to [email] today" and clean[10] == docs[4][1]
 
 
+def test_identifiers_of_one_or_two_texts_disclose(spark):
+    docs = [(0, "zanzibar of joe@corp.example.com the end"), (1, "the quagga +1 (017) 555-7713 the end"), (2, "the quagga +1 (017) 555-7713 an end")]
+    docs += [(i, "the end of an other text") for i in range(10, 60)]
+    df = spark.createDataFrame(docs, PAIR)
+    assert {(r.term, r.entity, r.n_te, r.n_t) for r in privacy.disclosing_terms(df).collect()} == {("zanzibar", "email:joe@corp.example.com", 1, 1), ("quagga", "phone:10175557713", 2, 2)}
+    spans = {r.doc_id: [(s["kind"], s["start"], s["end"]) for s in r.spans] for r in privacy.with_spans(df).collect()}
+    assert spans[0] == [("email", 12, 32), ("remove", 0, 8)] and spans[1] == [("phone", 11, 28), ("remove", 4, 10)] and not spans[10]
+
+
 def test_html(spark):
     page = '<nav>menu</nav><article><h1>Title</h1><p>One &amp;\n two<p>three<form>f</form><div class="comments">c</div><script>var a="</p>"</script></article><footer>x</footer>'
     assert html.blocks(page) == (["Title", "One & two", "three"], True)
