@@ -41,48 +41,70 @@ BLOCK = frozenset(
 # An end tag that comes late or never: these are closed by the next of their kind.
 CLOSED_BY = {"p": BLOCK - {"br", "hr"} | {"hr"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"}, "tr": {"tr"}, "option": {"option"}}
 ASIDE_ROLES = frozenset("navigation banner contentinfo complementary search menu menubar dialog alertdialog form".split())
-ASIDE_NAMES = re.compile(
-    r"(?:^|[\s_-])(?:ad|ads|advert|adverts|advertisement|banner|breadcrumbs?|comments?|comment-list|cookies?|consent|disqus|footer|header|masthead|menu|nav|navbar|navigation|newsletter|notice|pagination|popup|promo|related|replies|share|sharing|sidebar|social|sponsor|sponsored|subscribe|toolbar|widget)(?:$|[\s_-])",
-    re.IGNORECASE,
+ASIDE_NAMES = frozenset(
+    "ad ads advert adverts advertisement banner breadcrumb breadcrumbs comment comments comment-list cookie cookies consent disqus footer header masthead menu nav navbar navigation newsletter notice pagination popup promo related replies share sharing sidebar social sponsor sponsored subscribe toolbar widget".split()
 )
+# Where a block stands; of each page the blocks of its highest place are the text.
+WRAPPED, PLAIN, WRAPPED_ARTICLE, MARKED = range(4)
 SPACE = re.compile(r"\s+")
 
 
 class _Page(HTMLParser):
-    """Blocks of a page as (text, inside an article)."""
+    """Blocks of a page as (text, place).
+
+    Forms and parts named like an aside may wrap the whole page, so their text is kept apart, and an article in them
+    (a main part in any aside) counts anew. It is the text of pages that have no article outside of such parts.
+    """
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.open: list[tuple[str, str | None]] = []  # tag and what it begins: silent, aside, article
-        self.blocks: list[tuple[str, bool]] = []
+        self.open: list[tuple[str, str | None, dict[str, int] | None]] = []  # tag, what it begins, counts to return to
+        self.blocks: list[tuple[str, int]] = []
         self.words: list[str] = []
-        self.count = {"silent": 0, "aside": 0, "article": 0}
+        self.wrapped: list[str] = []
+        self.count = {"silent": 0, "aside": 0, "wrapper": 0, "article": 0, "anew": 0}
 
     def flush(self) -> None:
-        text = SPACE.sub(" ", "".join(self.words)).strip()
-        self.words.clear()
-        if text:
-            self.blocks.append((text, self.count["article"] > 0))
+        place = PLAIN if not self.count["article"] else WRAPPED_ARTICLE if self.count["anew"] else MARKED
+        for words, at in ((self.words, place), (self.wrapped, WRAPPED)):
+            text = SPACE.sub(" ", "".join(words)).strip()
+            words.clear()
+            if text:
+                self.blocks.append((text, at))
 
     def close_to(self, depth: int) -> None:
         while len(self.open) > depth:
-            kind = self.open.pop()[1]
-            if kind:
+            _, kind, before = self.open.pop()
+            if before:
+                self.count = before
+            elif kind:
                 self.count[kind] -= 1
 
     def kind(self, tag: str, attrs: dict[str, str | None]) -> str | None:
         role = (attrs.get("role") or "").lower()
         if tag in SILENT or "hidden" in attrs or (attrs.get("aria-hidden") or "").lower() == "true":
             return "silent"
+        if tag == "form" or role == "form":
+            return "wrapper"
         # A header or footer of the article itself still holds no main text, but its headings do.
         if tag in ASIDE and not (tag == "header" and self.count["article"]) or role in ASIDE_ROLES:
             return "aside"
         if tag in ARTICLE or role in ("main", "article"):
             return "article"
-        if tag not in ("html", "body") and any(ASIDE_NAMES.search(attrs.get(a) or "") for a in ("class", "id")):
-            return "aside"
+        if tag not in ("html", "body") and any(not ASIDE_NAMES.isdisjoint((attrs.get(a) or "").lower().split()) for a in ("class", "id")):
+            return "wrapper"
         return None
 
+    def begin(self, tag: str, attrs: dict[str, str | None]) -> None:
+        kind, before = self.kind(tag, attrs), None
+        main = tag == "main" or (attrs.get("role") or "").lower() == "main"
+        if kind == "article" and not self.count["article"] and (self.count["wrapper"] and not self.count["aside"] or self.count["aside"] and main):
+            before = self.count
+            self.count = before | {"aside": 0, "wrapper": 0, "anew": 1}
+        self.open.append((tag, kind, before))
+        if kind:
+            self.count[kind] += 1
+
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag in BLOCK:
             self.flush()
@@ -94,10 +116,7 @@ class _Page(HTMLParser):
                 break
             if self.open[depth][0] in BLOCK and self.open[depth][0] != "p":
                 break
-        kind = self.kind(tag, dict(attrs))
-        self.open.append((tag, kind))
-        if kind:
-            self.count[kind] += 1
+        self.begin(tag, dict(attrs))
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)
@@ -114,7 +133,7 @@ class _Page(HTMLParser):
 
     def handle_data(self, data: str) -> None:
         if not self.count["silent"] and not self.count["aside"]:
-            self.words.append(data)
+            (self.wrapped if self.count["wrapper"] else self.words).append(data)
 
 
 def blocks(page: str) -> tuple[list[str], bool]:
@@ -123,8 +142,8 @@ def blocks(page: str) -> tuple[list[str], bool]:
     parser.feed(page)
     parser.close()
     parser.flush()
-    inside = [text for text, article in parser.blocks if article]
-    return (inside, True) if inside else ([text for text, _ in parser.blocks], False)
+    place = max((at for _, at in parser.blocks), default=PLAIN)
+    return [text for text, at in parser.blocks if at == place], place >= WRAPPED_ARTICLE
 
 
 @F.arrow_udf(StructType([StructField("blocks", ArrayType(StringType())), StructField("marked", BooleanType())]))

@@ -149,6 +149,16 @@ def test_identifiers_of_one_or_two_texts_disclose(spark):
     assert spans[0] == [("email", 12, 32), ("remove", 0, 8)] and spans[1] == [("phone", 11, 28), ("remove", 4, 10)] and not spans[10]
 
 
+def test_wrappers_keep_their_article():
+    for wrapper in ('<div class="layout has-sidebar">', '<div class="site with-header">', '<div class="row widget">', '<div id="page-menu-open">', "<form>"):
+        for tag in ("article", "main"):
+            page = f'{wrapper}<nav>menu</nav><div class="ad">ad</div><{tag}><p>One</p><div class="ad">ad</div><form>f</form><p>two</{tag}>'
+            assert html.blocks(page) == (["One", "two"], True)
+    assert html.blocks("<form><p>One</p><nav>menu</nav></form>") == (["One"], False)
+    assert html.blocks('<article>One</article><div class="comments"><article>c</article></div><p>out</p>') == (["One"], True)
+    assert html.blocks('<p>One <span class="ad">ad</span>two</p><div class="related"></div>') == (["One two"], False)
+
+
 def test_html(spark):
     page = '<nav>menu</nav><article><h1>Title</h1><p>One &amp;\n two<p>three<form>f</form><div class="comments">c</div><script>var a="</p>"</script></article><footer>x</footer>'
     assert html.blocks(page) == (["Title", "One & two", "three"], True)
