@@ -47,7 +47,7 @@ class Thresholds:
     evidence: float = 4.0
 
 
-HELD_TERMS = 100_000  # different terms that a task counts before it hands the counts on
+HELD_TERMS = 100_000  # different terms that a task counts before it hands the rarer half of them on
 
 
 def _emails(text: str) -> Iterator[tuple[int, int]]:
@@ -122,16 +122,17 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(term, n): texts of the task that contain each term, in parts."""
     counts: Counter[str] = Counter()
 
-    def part() -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], ["term", "n"])
+    def part(some: dict[str, int]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(list(some), pa.string()), pa.array(list(some.values()), pa.int64())], ["term", "n"])
 
     for batch in batches:
         for t in strings(batch.column(0)):
             counts.update(_terms(t))
             if len(counts) >= HELD_TERMS:
-                yield part()
-                counts.clear()
-    yield part()
+                often = Counter(dict(counts.most_common(HELD_TERMS // 2)))
+                yield part({w: n for w, n in counts.items() if w not in often})
+                counts = often
+    yield part(counts)
 
 
 def _count_documents(docs: DataFrame, text: str, terms: DataFrame) -> DataFrame:
