@@ -1,33 +1,33 @@
-"""Main text of web pages, with a suffix array of each host's token streams.
+"""Main text of web pages, with the repeated token runs of each host.
 
 A page is cut into blocks of text. Where the page marks its article (article, main, or their roles), the blocks inside
-are the text. Blocks in parts that are named as something else (menus, headers, footers, sidebars, notices, adverts,
-forms, scripts, reader comments) are not. What is left undecided, on pages that mark no article, is settled by the host:
-the token streams of its pages are put one after the other, a suffix array orders all places by the tokens that follow,
-and runs of tokens that occur on several pages are boilerplate. Blocks of which such runs cover most are removed, and
-the blocks of unique runs are kept.
+are looked at. Blocks in parts that are named as something else (menus, headers, footers, sidebars, notices, adverts,
+forms, scripts, reader comments) are not. Then the host decides: runs of RUN tokens that occur on several pages of the
+host are boilerplate, blocks of which such runs cover most are removed, and the blocks of unique runs are kept.
+
+Only the first RUN tokens of a suffix matter for that, so suffixes are not sorted but meet by the hash of the host and
+their first RUN tokens, over all pages of the host at once.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from html.parser import HTMLParser
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BooleanType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, BooleanType, LongType, StringType, StructField, StructType
 
-from heliogrid.llm.common import strings, with_row_id
+from heliogrid.llm.common import slices, strings
 from heliogrid.llm.urls import split_url
 from heliogrid.session import broadcast_if_small, stage_table
 
 RUN = 8  # tokens of a repeated run
 PAGES = 2  # pages that must share it
-GROUP = 512  # pages of a host that one task compares, about
 COVERED = 0.5  # share of a block's tokens from which it is boilerplate
 
 # Elements whose content is never text, and those that stand beside the article.
@@ -152,81 +152,94 @@ def _blocks(page: pa.Array) -> pa.Array:
     return pa.StructArray.from_arrays([pa.array([b for b, _ in rows], pa.list_(pa.string())), pa.array([m for _, m in rows], pa.bool_())], ["blocks", "marked"])
 
 
-def suffix_array(stream: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """Places of the stream in the order of the ``depth`` tokens that follow (a power of two), and their ranks.
-
-    Prefix doubling: ranks by one token give ranks by two, four and so on. Places whose tokens agree have one rank.
-    """
-    rank = np.unique(stream, return_inverse=True)[1].astype(np.int64)
-    width = 1
-    while width < depth:
-        after = np.r_[rank[width:], np.full(min(width, len(rank)), -1)]
-        rank = np.unique(rank * (len(rank) + 1) + after + 1, return_inverse=True)[1].astype(np.int64)
-        width *= 2
-    return np.argsort(rank, kind="stable"), rank
-
-
-def repeated_tokens(stream: np.ndarray, page: np.ndarray) -> np.ndarray:
-    """Which tokens lie in a run of RUN tokens that starts on at least PAGES pages; runs do not cross pages."""
-    covered = np.zeros(len(stream), dtype=bool)
-    if len(stream) < RUN:
-        return covered
-    order, rank = suffix_array(stream, RUN)
-    inside = np.r_[page[RUN - 1 :] == page[: len(page) - RUN + 1], np.zeros(RUN - 1, dtype=bool)]
-    order = order[inside[order]]
-    new = np.r_[True, rank[order][1:] != rank[order][:-1]]
-    # Within a rank the order keeps the pages in sequence, so a change of page counts one more.
-    pages = np.add.reduceat(np.r_[True, page[order][1:] != page[order][:-1]] | new, np.flatnonzero(new)) if len(order) else np.empty(0)
-    starts = order[(pages >= PAGES)[np.cumsum(new) - 1]] if len(order) else order
-    steps = np.zeros(len(stream) + 1, dtype=np.int64)
+def _signed(x: int) -> int:
+    return x - (1 << 64) if x >> 63 else x
+
+
+def _page_key(host: int, texts: list[str]) -> int:
+    return _signed(xxhash.xxh3_64_intdigest("\n".join(texts).encode(), seed=host % (1 << 64)))
+
+
+def _run_keys(host: int, texts: list[str]) -> tuple[np.ndarray, np.ndarray, list[tuple[int, int, int]]]:
+    """(keys of the runs that start at each token of the page, block of each token, short blocks as (block, key, tokens))."""
+    tokens, block, short = [], [], []
+    for i, text in enumerate(texts):
+        words = text.split()
+        tokens += [xxhash.xxh3_64_intdigest(w) for w in words]
+        block += [i] * len(words)
+        if len(words) < RUN:
+            short.append((i, _signed(xxhash.xxh3_64_intdigest("\n".join(words), seed=(host + 1) % (1 << 64))), len(words)))
+    stream = np.array(tokens, dtype=np.uint64)
+    n = max(len(stream) - RUN + 1, 0)
+    keys = np.full(n, host % (1 << 64), dtype=np.uint64)
+    for k in range(RUN if n else 0):
+        keys = (keys ^ stream[k : k + n]) * np.uint64(0x9E3779B97F4A7C15)
+        keys ^= keys >> np.uint64(32)
+    return keys.view(np.int64), np.array(block, dtype=np.int64), short
+
+
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(key, page, n): the different runs of each page, and its blocks of n tokens that are shorter than a run."""
+    for batch in slices(batches, 100):
+        keys, pages, sizes = [], [], []
+        for host, texts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            runs, _, short = _run_keys(host, texts)
+            some = {key: n for _, key, n in short}
+            runs = np.unique(runs)
+            keys += [runs, np.array(list(some), dtype=np.int64)]
+            sizes += [np.full(len(runs), RUN), np.array(list(some.values()), dtype=np.int64)]
+            pages.append(np.full(len(runs) + len(some), _page_key(host, texts), dtype=np.int64))
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(np.concatenate(pages)), pa.array(np.concatenate(sizes).astype(np.int32))], ["key", "page", "n"])
+
+
+def kept_blocks(host: int, texts: list[str], marked: bool, repeated: list[int]) -> list[str]:
+    """The blocks that repeated runs do not cover."""
+    keys, block, short = _run_keys(host, texts)
+    steps = np.zeros(len(block) + 1, dtype=np.int64)
+    starts = np.flatnonzero(np.isin(keys, np.array(repeated, dtype=np.int64)))
     np.add.at(steps, starts, 1)
     np.add.at(steps, starts + RUN, -1)
-    return np.cumsum(steps)[:-1] > 0
-
-
-def _host_boilerplate(rows: pd.DataFrame) -> pd.DataFrame:
-    """The blocks to drop of each undecided page of one group of a host."""
-    rows = rows.sort_values("rid")
-    tokens, page, block = [], [], []
-    for number, texts in enumerate(rows["blocks"]):
-        for i, text in enumerate(texts):
-            words = text.split()
-            tokens += [xxhash.xxh3_64_intdigest(w) for w in words]
-            page += [number] * len(words)
-            block += [i] * len(words)
-    drop: list[list[int]] = [[] for _ in range(len(rows))]
-    if tokens:
-        stream, page_, block_ = np.array(tokens, dtype=np.uint64), np.array(page), np.array(block)
-        covered = repeated_tokens(stream, page_)
-        edges = np.flatnonzero(np.r_[True, (page_[1:] != page_[:-1]) | (block_[1:] != block_[:-1])])
-        share = np.add.reduceat(covered, edges) / np.diff(np.r_[edges, len(stream)])
-        for at in edges[share > COVERED].tolist():
-            drop[page_[at]].append(int(block_[at]))
-    undecided = ~rows["marked"].to_numpy()
-    return pd.DataFrame({"rid": rows["rid"].to_numpy()[undecided], "drop": [d for d, u in zip(drop, undecided, strict=True) if u]})
+    covered = np.cumsum(steps)[:-1] > 0
+    known = set(repeated)
+    for i, key, _ in short:
+        if key in known:
+            covered[block == i] = True
+    share = np.bincount(block[covered], minlength=len(texts)) / np.maximum(np.bincount(block, minlength=len(texts)), 1)
+    return [text for text, x in zip(texts, share.tolist(), strict=True) if x <= COVERED]
+
+
+@F.arrow_udf(ArrayType(StringType()))
+def _kept(host: pa.Array, texts: pa.Array, marked: pa.Array, repeated: pa.Array) -> pa.Array:
+    rows = zip(host.to_pylist(), texts.to_pylist(), marked.to_pylist(), repeated.to_pylist(), strict=True)
+    return pa.array([kept_blocks(h, t, m, r) if r else t for h, t, m, r in rows], pa.list_(pa.string()))
+
+
+@F.arrow_udf(LongType())
+def _page(host: pa.Array, texts: pa.Array) -> pa.Array:
+    return pa.array([_page_key(h, t) for h, t in zip(host.to_pylist(), texts.to_pylist(), strict=True)], pa.int64())
 
 
 def extract_text(pages: DataFrame, url: str = "url", html: str = "html", result: str = "text") -> DataFrame:
     """``pages`` without ``html`` and with ``text`` (main text, empty if none); one row per row, all other columns kept.
 
     Character references are decoded, white space within a block becomes one space, blocks are joined by two line feeds
-    in the order of the page. Null and empty pages have an empty text, null urls share one host. Repeated rows: where
-    pages mark their article, rows do not touch each other; elsewhere what repeats on a host's pages is boilerplate, so
-    a page without a marked article needs a page of its own. An empty table gives an empty table. Columns named like
-    ``result`` are replaced; _rid, _host, _found and drop may not occur.
+    in the order of the page. Null and empty pages have an empty text, null urls share one host. Rows of a host with the
+    same blocks are one page, so repeated rows do not make each other boilerplate. An empty table gives an empty table.
+    Columns named like ``result`` are replaced; _host, _found, _page and _repeated may not occur.
     """
     host, _ = split_url(F.col(f"`{url}`"))
     keep = [F.col(f"`{c}`") for c in pages.columns if c not in (html, result)]
-    found = with_row_id(pages.select(*keep, host.alias("_host"), _blocks.asNondeterministic()(F.col(f"`{html}`")).alias("_found")), "_rid")
+    found = pages.select(*keep, F.xxhash64(host).alias("_host"), _blocks.asNondeterministic()(F.col(f"`{html}`")).alias("_found"))
     found = stage_table(found, "blocks")
-    hosts = found.groupBy("_host").agg(F.ceil(F.count(F.lit(1)) / GROUP).cast("int").alias("groups"), F.min("_found.marked").alias("all_marked"))
-    # A large host is compared in groups of pages; boilerplate is what returns, so every group shows it. Hosts whose
-    # pages all mark their article leave nothing to decide.
-    undecided, _ = broadcast_if_small(stage_table(hosts.filter("NOT all_marked").select("_host", "groups"), "hosts"))
-    open_ = found.join(undecided, "_host").withColumn("part", F.pmod(F.xxhash64("_rid"), F.col("groups")))
-    streams = open_.select("_host", "part", F.col("_rid").alias("rid"), F.col("_found.blocks").alias("blocks"), F.col("_found.marked").alias("marked"))
-    drops = stage_table(streams.groupBy("_host", "part").applyInPandas(_host_boilerplate, "rid bigint, drop array<int>").filter(F.size("drop") > 0), "drops")
-    rows = found.join(drops.withColumnRenamed("rid", "_rid"), "_rid", "left")
-    texts: Column = F.col("_found.blocks")
-    kept = F.when(F.col("drop").isNull(), texts).otherwise(F.filter(texts, lambda x, i: ~F.array_contains("drop", i)))
-    return rows.withColumn(result, F.array_join(kept, "\n\n")).drop("_host", "_found", "_rid", "drop")
+    looked = found.filter("NOT _found.marked")
+    runs = looked.select("_host", "_found.blocks").mapInArrow(_runs, "key bigint, page bigint, n int")
+    # The smallest and the largest page differ where a run is on PAGES pages, which are two. A block shorter than a run
+    # needs as many pages as give the same number of tokens, as a word or two often come twice by chance.
+    long = runs.filter(F.col("n") == RUN).groupBy("key").agg(F.min("page").alias("a"), F.max("page").alias("b")).filter("a != b").select("key")
+    short = runs.filter(F.col("n") < RUN).distinct().groupBy("key").agg((F.count(F.lit(1)) * F.first("n")).alias("tokens")).filter(F.col("tokens") >= RUN * PAGES).select("key")
+    shared, _ = broadcast_if_small(stage_table(long.unionByName(short), "shared"))
+    back = runs.join(shared, "key").groupBy("page").agg(F.collect_set("key").alias("_repeated"))
+    back, _ = broadcast_if_small(stage_table(back.withColumnRenamed("page", "_page"), "back"))
+    rows = found.withColumn("_page", _page.asNondeterministic()("_host", "_found.blocks")).join(back, "_page", "left")
+    texts = _kept.asNondeterministic()("_host", "_found.blocks", "_found.marked", "_repeated")
+    return rows.withColumn(result, F.array_join(texts, "\n\n")).drop("_host", "_found", "_page", "_repeated")

@@ -168,6 +168,15 @@ def test_html(spark):
     assert got == {i: " ".join(f"w{i}x{k}" for k in range(20)) for i in range(6)} | {9: ""}
 
 
+def test_html_repeats_of_a_large_host(spark):
+    own = {i: " ".join(f"w{i}x{k}" for k in range(20)) for i in range(1200)}
+    notice = "<div>Two pages far apart share this line of twelve words or so</div>"
+    pages = [(i, f"http://h.com/{i}", f"<p>{own[i]}</p>{notice if i in (3, 1100) else ''}<div>Read more here</div><p>only {i}</p>") for i in own]
+    pages += [(2000, "http://h.com/a", pages[5][2]), (2001, "http://other.com/a", notice)]
+    got = {r.page_id: r.text for r in html.extract_text(spark.createDataFrame(pages, "page_id int, url string, html string")).collect()}
+    assert got == {i: f"{own[i]}\n\nonly {i}" for i in own} | {2000: f"{own[5]}\n\nonly 5", 2001: notice[5:-6]}
+
+
 def test_url_rules_by_index_and_join(spark):
     rules = [urls.host_rule("com/", "allow"), urls.host_rule("b.com/x", "block"), urls.UrlRule("any-login", "block", r".*login", ())]
     pages = spark.createDataFrame([(1, "http://a.b.COM/xy?q"), (2, "http://bb.com/"), (3, None), (4, "x://c.org/login"), (5, "http://com")], "page_id int, url string")
