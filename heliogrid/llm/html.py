@@ -3,7 +3,8 @@
 A page is cut into blocks of text. Where the page marks its article (article, main, or their roles), the blocks inside
 are looked at. Blocks in parts that are named as something else (menus, headers, footers, sidebars, notices, adverts,
 forms, scripts, reader comments) are not. Then the host decides: runs of RUN tokens that occur on several pages of the
-host are boilerplate, blocks of which such runs cover most are removed, and the blocks of unique runs are kept.
+host are boilerplate, blocks of which such runs cover most are removed, and the blocks of unique runs are kept. That
+goes for the blocks of an article too, unless such runs cover most of the article: then another page has the same one.
 
 Only the first RUN tokens of a suffix matter for that, so suffixes are not sorted but meet by the hash of the host and
 their first RUN tokens, over all pages of the host at once.
@@ -29,6 +30,7 @@ from heliogrid.session import broadcast_if_small, stage_table
 RUN = 8  # tokens of a repeated run
 PAGES = 2  # pages that must share it
 COVERED = 0.5  # share of a block's tokens from which it is boilerplate
+COPY = 0.75  # share of a marked article's tokens from which it is a copy of another page's, and stays
 
 # Elements whose content is never text, and those that stand beside the article.
 SILENT = frozenset("script style noscript template head title svg math canvas object iframe audio video select option textarea button datalist".split())
@@ -193,7 +195,7 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def kept_blocks(host: int, texts: list[str], marked: bool, repeated: list[int]) -> list[str]:
-    """The blocks that repeated runs do not cover."""
+    """The blocks that repeated runs do not cover; all of them where a marked article stands on another page too."""
     keys, block, short = _run_keys(host, texts)
     steps = np.zeros(len(block) + 1, dtype=np.int64)
     starts = np.flatnonzero(np.isin(keys, np.array(repeated, dtype=np.int64)))
@@ -204,6 +206,8 @@ def kept_blocks(host: int, texts: list[str], marked: bool, repeated: list[int])
     for i, key, _ in short:
         if key in known:
             covered[block == i] = True
+    if marked and covered.sum() > COPY * len(covered):
+        return texts
     share = np.bincount(block[covered], minlength=len(texts)) / np.maximum(np.bincount(block, minlength=len(texts)), 1)
     return [text for text, x in zip(texts, share.tolist(), strict=True) if x <= COVERED]
 
@@ -231,8 +235,7 @@ def extract_text(pages: DataFrame, url: str = "url", html: str = "html", result:
     keep = [F.col(f"`{c}`") for c in pages.columns if c not in (html, result)]
     found = pages.select(*keep, F.xxhash64(host).alias("_host"), _blocks.asNondeterministic()(F.col(f"`{html}`")).alias("_found"))
     found = stage_table(found, "blocks")
-    looked = found.filter("NOT _found.marked")
-    runs = looked.select("_host", "_found.blocks").mapInArrow(_runs, "key bigint, page bigint, n int")
+    runs = found.select("_host", "_found.blocks").mapInArrow(_runs, "key bigint, page bigint, n int")
     # The smallest and the largest page differ where a run is on PAGES pages, which are two. A block shorter than a run
     # needs as many pages as give the same number of tokens, as a word or two often come twice by chance.
     long = runs.filter(F.col("n") == RUN).groupBy("key").agg(F.min("page").alias("a"), F.max("page").alias("b")).filter("a != b").select("key")

@@ -177,6 +177,16 @@ def test_html_repeats_of_a_large_host(spark):
     assert got == {i: f"{own[i]}\n\nonly {i}" for i in own} | {2000: f"{own[5]}\n\nonly 5", 2001: notice[5:-6]}
 
 
+def test_html_repeats_inside_articles(spark):
+    own = {i: " ".join(f"w{i}x{k}" for k in range(40)) for i in range(6)}
+    notice = "<p>Get our letter every week and read what other people read</p>"
+    pages = [(i, f"http://h.com/{i}", f"<article><p>{own[i]}</p>{notice}</article>") for i in own]
+    pages += [(6, "http://h.com/print", f"<article><p>{own[5]}</p>{notice}<p>Printed on a monday</p></article>"), (7, "http://h.com/open", f"<p>open page</p>{notice}")]
+    got = {r.page_id: r.text for r in html.extract_text(spark.createDataFrame(pages, "page_id int, url string, html string")).collect()}
+    whole = f"{own[5]}\n\nGet our letter every week and read what other people read"
+    assert got == {i: own[i] for i in range(5)} | {5: whole, 6: f"{whole}\n\nPrinted on a monday", 7: "open page"}
+
+
 def test_url_rules_by_index_and_join(spark):
     rules = [urls.host_rule("com/", "allow"), urls.host_rule("b.com/x", "block"), urls.UrlRule("any-login", "block", r".*login", ())]
     pages = spark.createDataFrame([(1, "http://a.b.COM/xy?q"), (2, "http://bb.com/"), (3, None), (4, "x://c.org/login"), (5, "http://com")], "page_id int, url string")
