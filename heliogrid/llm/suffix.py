@@ -8,7 +8,7 @@ gram, and only where it occurs twice:
    bytes of these. Anchors meet by gram. Where two runs are equal, all their strings are repeated.
 2. What is left are the ends of repeated passages, where a gram is repeated but the run is not. These anchors fetch the
    bytes around them. Suffixes to the right of the gram, and reversed prefixes to the left, are each put in order: a
-   multikey quicksort, eight bytes a step, to a shallow depth, then a blind trie for each group still tied there.
+   column sort by words of eight bytes to a shallow depth (in place of a multikey quicksort), then a blind trie for each group still tied there.
    Neighbours' common prefixes then tell for each start which strings are equal.
 3. The spans of each different text are merged, and the rest of its bytes are kept.
 
@@ -31,7 +31,7 @@ from heliogrid.session import broadcast_if_small, stage_table
 LENGTH = 200
 GRAM = 32
 BACK = LENGTH - GRAM  # most bytes of a string before its anchor
-SHALLOW = 32  # depth of the multikey quicksort
+SHALLOW = 32  # bytes that the column sort orders by
 PIECE = 1 << 22  # starts of strings handled at once
 CHUNK = 40_000  # anchors whose surroundings are sorted at once, about
 
