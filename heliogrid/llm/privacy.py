@@ -139,7 +139,8 @@ def _count_documents(docs: DataFrame, text: str, terms: DataFrame) -> DataFrame:
     """(term, n_t): documents that contain each of the terms, counted in the tasks before they are added up."""
     wanted, _ = broadcast_if_small(terms)
     parts = docs.select(F.col(f"`{text}`")).mapInArrow(_counts, "term string, n bigint")
-    return parts.join(wanted, "term").groupBy("term").agg(F.sum("n").alias("n_t"))
+    # Added up before they meet the terms, as every task has its own row for a common term.
+    return parts.groupBy("term").agg(F.sum("n").alias("n_t")).join(wanted, "term")
 
 
 def disclosing_terms(docs: DataFrame, text: str = "text", thresholds: Thresholds = Thresholds()) -> DataFrame:
