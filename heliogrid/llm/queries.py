@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from heliogrid.llm import exact, html, jaccard, lines, mixing, packing, privacy, quality, suffix, urls
+from heliogrid.llm import exact, html, jaccard, lines, mixing, negatives, packing, privacy, quality, repair, suffix, tokens, urls
 from heliogrid.queries.base import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -166,3 +166,66 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     ledger = quality.with_ledger(table(spark, sf_dir, "documents").select("doc_id", "text"))
     measures = [F.col(f"ledger.{m}").alias(m) for m in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")]
     return ledger.select("doc_id", *measures, (~quality.passes(quality.BASE)).alias("base_failed"), quality.passes(quality.STANDARD).alias("kept"), F.col("ledger.fail_bits").alias("fail_bits"))
+
+
+OP11_SQL = r"""
+WITH e AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q
+           FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, a.label = b.label AS same, b.vec_id AS other, list_inner_product(a.q, b.q)::BIGINT AS score
+      FROM e a, e b WHERE a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+p AS (SELECT anchor_id, other AS positive_id, score AS positive_score FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5)
+SELECT anchor_id, positive_id, row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other)::INT AS rank, other AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id) WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score QUALIFY rank <= 10"""
+
+
+@query("op11_hard_negatives", OP11_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spark.read.schema("vec_id bigint, embedding array<float>, label int").parquet(f"{sf_dir}/embeddings.parquet")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(rows.withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
+OP12_SQL = r"""
+WITH RECURSIVE k AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS key FROM conversations),
+h AS (SELECT *, xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(key, ''), lambda x: ord(x)::BIGINT)),
+             lambda a, b: list_reduce(list_concat([xor(a, b)], range(8)), lambda v, i: xor(v >> 1, 3988292384 * (v & 1)))), 4294967295) % 20 AS kind FROM k),
+d AS (SELECT conv_id, turn, CASE kind WHEN 4 THEN 'user' ELSE role END AS role, CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+             unnest(CASE kind WHEN 3 THEN [0, 1] ELSE [0] END) AS copy FROM h WHERE kind <> 0),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text), copy) AS i, left(role, 1) AS x,
+             row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS seen, count(*) OVER (PARTITION BY conv_id) AS n FROM d),
+f AS (SELECT *, lead(x) OVER (PARTITION BY conv_id ORDER BY i) AS y, CASE WHEN NOT regexp_matches(text, '[^ 	-
+]') THEN 1 WHEN seen > 1 THEN 2
+             WHEN NOT regexp_matches(text, '[.!?][ 	-
+]*$') THEN 3 ELSE 0 END AS fault FROM o),
+ins(q, r, e, lines) AS (VALUES (0, 0, '', ''), (0, 2, 'I', chr(10) || 'user:'), (0, 3, 'II', chr(10) || 'user:' || chr(10) || 'assistant:'), (1, 1, '', ''), (1, 2, 'I', chr(10) || 'user:'),
+  (1, 3, 'II', chr(10) || 'user:' || chr(10) || 'assistant:'), (2, 2, '', ''), (2, 3, 'I', chr(10) || 'assistant:'), (3, 3, '', ''), (3, 2, 'I', chr(10) || 'user:')),
+act(q, r, e, initial, price, new_role) AS (VALUES (0, 0, 'D', '', 3, ''), (1, 1, 'D', '', 3, ''), (2, 2, 'D', '', 3, ''), (3, 3, 'D', '', 3, ''),
+  (0, 1, 'K', 's', 0, ''), (0, 2, 'K', 'u', 0, ''), (1, 2, 'K', 'u', 0, ''), (2, 3, 'K', 'a', 0, ''), (3, 2, 'K', 'u', 0, ''),
+  (0, 2, 'R', '', 2, 'user'), (1, 2, 'R', '', 2, 'user'), (2, 3, 'R', '', 2, 'assistant'), (3, 2, 'R', '', 2, 'user')),
+v(conv_id, i, q, best) AS (
+  SELECT DISTINCT conv_id, 0::BIGINT, 0, {'cost': 0::BIGINT, 'audit': '', 'lines': ''} FROM o
+  UNION ALL
+  SELECT v.conv_id, f.i, act.r, min({'cost': v.best.cost + 2 * length(ins.e) + act.price + CASE WHEN act.e <> 'D' AND fault = 3 THEN 1 ELSE 0 END, 'audit': v.best.audit || ins.e || act.e,
+         'lines': v.best.lines || ins.lines || CASE act.e WHEN 'D' THEN '' WHEN 'K' THEN chr(10) || f.role || ':' || f.text ELSE chr(10) || act.new_role || ':' || f.text END})
+  FROM v JOIN f ON f.conv_id IS NOT DISTINCT FROM v.conv_id AND f.i = v.i + 1 JOIN ins ON ins.q = v.q
+       JOIN act ON act.q = ins.r AND (act.e = 'D' OR fault NOT IN (1, 2)) AND (act.e <> 'K' OR f.x = act.initial)
+  GROUP BY v.conv_id, f.i, act.r),
+z AS (SELECT v.conv_id, min({'cost': v.best.cost + 2 * length(ins.e), 'audit': v.best.audit || ins.e, 'lines': v.best.lines || ins.lines}) AS best
+      FROM v JOIN (SELECT DISTINCT conv_id, n FROM o) m ON m.conv_id IS NOT DISTINCT FROM v.conv_id AND m.n = v.i
+           JOIN ins ON ins.q = v.q AND ins.r IN (0, 3) AND (v.q <> 0 OR ins.r = 0) GROUP BY v.conv_id),
+t AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (WHERE fault = 1) AS blank, count(*) FILTER (WHERE fault = 2) AS duplicate,
+             count(*) FILTER (WHERE fault = 3) AS truncated, count(*) FILTER (WHERE y IS NOT NULL AND x || y NOT IN ('su', 'ua', 'au')) AS illegal FROM f GROUP BY conv_id)
+SELECT c.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated,
+       coalesce(illegal, 0)::BIGINT AS illegal, coalesce(z.best.cost, 0)::BIGINT AS cost, coalesce(z.best.audit, '') AS audit, sha256(coalesce(substr(z.best.lines, 2), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN t ON t.conv_id IS NOT DISTINCT FROM c.conv_id LEFT JOIN z ON z.conv_id IS NOT DISTINCT FROM c.conv_id"""
+
+
+@query("op12_conversation_repair", OP12_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    return repair.repair_report(repair.damage(rows), rows.select("conv_id"))
+
+
+@query("op13_token_counts")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.with_token_counts(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
