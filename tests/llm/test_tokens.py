@@ -26,7 +26,7 @@ def test_counts_are_those_of_the_library(library):
     r = random.Random(3)
     texts = ODD + [mixed(r) for _ in range(3000)]
     counter = tokens.whole_tokens(None)
-    assert counter.single and all(len(library.encode(p[1:])) == 1 for p in counter.single)
+    assert counter.single and all(len(library.encode(p[1:])) == 1 for p in counter.single - {tokens.BLANK})
     assert counter.counts(texts) == [len(x) for x in library.encode(texts)]
 
 
