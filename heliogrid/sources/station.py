@@ -210,9 +210,14 @@ def scan_with_station(
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths)
     split = files.select(F.col("path").alias("file"), F.split(text.latin1(F.col("content")), "\r?\n").alias("lines"))
-    rows = split.select("file", *_preamble_fields(F.col("lines"), name_line, lat_line, lon_line), F.explode("lines").alias("line"))
-    rows = rows.withColumn("cells", F.split("line", ";", -1))
-    rows = rows.filter(is_reading(F.col("cells")[0], (F.size("cells") > 2) & F.exists("cells", lambda c: c != "")))
+    station = F.struct("file", *_preamble_fields(F.col("lines"), name_line, lat_line, lon_line))
+    # Readings are chosen and given their station before the lines become rows, so no row holds the file. The outer form
+    # keeps the optimizer from asking first whether there are any lines, which would decode every file once more.
+    cells = lambda line: F.split(line, ";", -1)
+    chosen = F.filter("lines", lambda x: is_reading(cells(x)[0], (F.size(cells(x)) > 2) & x.rlike("[^;]")))
+    rows = split.select(chosen.alias("chosen"), station.alias("station"))
+    rows = rows.select(F.inline_outer(F.transform("chosen", lambda x: F.struct(x.alias("line"), F.col("station").alias("station")))))
+    rows = rows.filter("line IS NOT NULL").select(F.split("line", ";", -1).alias("cells"), "station.*")
     cols = [F.nullif(F.get("cells", F.lit(i)), F.lit("")).alias(c) for i, c in enumerate(RAW_SCHEMA.names)]
     return rows.select(*cols, "file", F.col("nome").alias("estacao"), "latitude", "longitude")
 

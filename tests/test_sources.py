@@ -1,6 +1,7 @@
 """Readers on hand-written files."""
 
 import io
+import re
 import zipfile
 
 import pytest
@@ -92,6 +93,18 @@ def test_single_pass_equals_two_scans(spark, folder):
     assert sorted(map(str, single.select(*[f"`{h}`" for h in HEADERS]).collect())) == sorted(map(str, plain.select(*[f"`{h}`" for h in HEADERS]).collect()))
 
 
+def test_no_row_holds_its_file(spark, tmp_path):
+    """A file of 100 000 lines: the generator hands on no array of lines, and every line finds its station."""
+    head = ["REGIAO:;CO", "ESTACAO:;LONGA", "UF:;GO", "CODIGO:;A001", "LATITUDE:;-16,5", "LONGITUDE:;-49,25", "ALTITUDE:;1", "DATA DE FUNDACAO:;2001/05/29"]
+    (tmp_path / "long.csv").write_text("\n".join([*head, "Data;Hora UTC;x", *(f"2024/01/01;{i};,5" for i in range(100_000)), ";;", ""]), encoding="latin-1")
+    rows = station.scan_with_station(spark, str(tmp_path))
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    # Generate needs no other output of its child, and the file is decoded once.
+    assert re.search(r"Generate inline\(.*\), \[\], true, \[line#", plan) and plan.count(" decode(") + plan.count("(decode(") == 1
+    got = rows.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("`" + rows.columns[1] + "`").alias("hours"), F.min("estacao").alias("e"), F.max("latitude").alias("y")).first()
+    assert tuple(got) == (100_000, 100_000, "LONGA", "-16.5")
+
+
 def test_column_choices(spark):
     df = spark.createDataFrame([("x", None, "2021/01/01", "1"), ("y", None, None, "2")], "a string, `Unnamed: 9` string, c string, `RADIACAO Z` string")
     assert station.detect_date_column(df) == "c"
