@@ -8,6 +8,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -177,14 +178,74 @@ def test_html_repeats_of_a_large_host(spark):
     assert got == {i: f"{own[i]}\n\nonly {i}" for i in own} | {2000: f"{own[5]}\n\nonly 5", 2001: notice[5:-6]}
 
 
-def test_html_repeats_inside_articles(spark):
-    own = {i: " ".join(f"w{i}x{k}" for k in range(40)) for i in range(6)}
-    notice = "<p>Get our letter every week and read what other people read</p>"
-    pages = [(i, f"http://h.com/{i}", f"<article><p>{own[i]}</p>{notice}</article>") for i in own]
-    pages += [(6, "http://h.com/print", f"<article><p>{own[5]}</p>{notice}<p>Printed on a monday</p></article>"), (7, "http://h.com/open", f"<p>open page</p>{notice}")]
-    got = {r.page_id: r.text for r in html.extract_text(spark.createDataFrame(pages, "page_id int, url string, html string")).collect()}
-    whole = f"{own[5]}\n\nGet our letter every week and read what other people read"
-    assert got == {i: own[i] for i in range(5)} | {5: whole, 6: f"{whole}\n\nPrinted on a monday", 7: "open page"}
+def brute_host_step(pages):
+    """Texts by counting every run of eight tokens of every host. pages: (id, host, html)."""
+    found = {i: html.find(page or "") for i, _, page in pages}
+    runs = lambda words: {tuple(words[k : k + 8]) for k in range(len(words) - 7)}
+    words = lambda texts: [w for t in texts for w in t.split()]
+    on, short = {}, {}
+    for i, host, _ in pages:
+        f = found[i]
+        page = (tuple(f.blocks), tuple(f.outside))
+        for run in runs(words(f.outside)) | (set() if f.marked else runs(words(f.blocks))):
+            on.setdefault((host, run), []).append(page)
+        for t in set() if f.marked else set(f.blocks):
+            if len(t.split()) < 8:
+                short.setdefault((host, t), set()).add(page)
+    size = Counter(host for _, host, _ in pages)
+    out = {}
+    for i, host, _ in pages:
+        f, stream, kept = found[i], words(found[i].blocks), []
+        hit = [False] * len(stream)
+        for k in range(len(stream) - 7):
+            where = on.get((host, tuple(stream[k : k + 8])), [])
+            if len(set(where)) > 1 and (not f.marked or len(where) > size[host] / 2):
+                hit[k : k + 8] = [True] * 8
+        at = 0
+        for text, fixed in zip(f.blocks, f.fixed, strict=True):
+            n = len(text.split())
+            share = sum(hit[at : at + n]) / n
+            at += n
+            if not f.marked and n < 8 and n * len(short[host, text]) >= 16:
+                share = 1
+            if fixed or (share < 1 if f.marked else share <= 0.5):
+                kept.append(text)
+        out[i] = "\n\n".join(kept)
+    return out
+
+
+def test_html_host_step(spark, monkeypatch):
+    """Notices of a site, inside and outside of articles, unmarked pages, quotations, copies, headings and repeated rows."""
+    r = random.Random(11)
+    notices = [" ".join(f"n{k}w{j}" for j in range(r.randrange(3, 15))) for k in range(6)]
+    quotes = [" ".join(f"q{k}w{j}" for j in range(r.randrange(8, 15))) for k in range(4)]
+    pages = [(0, "h0.com", None), (1, "h0.com", "<p>only"), (2, None, "<p>no url</p>")]
+    for i in range(3, 150):
+        host = f"h{r.choice([0, 0, 0, 1, 2])}.com"
+        own = [" ".join(f"w{i}x{j}x{k}" for k in range(r.randrange(1, 20))) for j in range(r.randrange(1, 4))]
+        body = own + r.sample(quotes, r.randrange(3)) + r.sample(notices, r.randrange(3))
+        r.shuffle(body)
+        inner = "".join(f"<h2>{t}</h2>" if r.random() < 0.2 else f"<p>{t}</p>" for t in body)
+        outer = "".join(f"<{tag}>{r.choice(notices + quotes)}</{tag}>" for tag in r.choices(["nav", "footer", "aside"], k=2)) + f"<footer>{notices[0]} {notices[1]}</footer>"
+        pages.append((i, host, f"{outer}<article>{inner}</article>" if r.random() < 0.7 else inner + outer))
+    pages += [(200, *pages[9][1:]), (201, *pages[9][1:]), (202, *pages[30][1:])]
+    df = spark.createDataFrame([(i, h and f"http://{h}/{i}", page) for i, h, page in pages], "page_id int, url string, html string").repartition(3)
+    want = brute_host_step(pages)
+    assert sum(t != "\n\n".join(html.blocks(page or "")[0]) for (_, _, page), t in zip(pages, want.values(), strict=True)) > 30
+    assert {x.page_id: x.text for x in html.extract_text(df).collect()} == want
+    monkeypatch.setattr(html, "may_broadcast", lambda size: False)
+    assert {x.page_id: x.text for x in html.extract_text(df).collect()} == want
+
+
+def test_html_broken_and_very_long_pages():
+    assert html.blocks("<b>" * 60_000 + "x" + "</i>" * 60_000) == (["x"], False)
+    assert html.blocks("<p><table><tr><td>" + "<b>" * 30_000 + "<div>x</div>" * 30_000) == (["x"] * 30_000, False)
+    assert html.blocks("<article><p>" + "word " * 400_000) == ([("word " * 400_000).strip()], True)
+
+
+def test_html_refuses_clashing_columns(spark):
+    with pytest.raises(ValueError, match="_host"):
+        html.extract_text(spark.createDataFrame([(1, "u", "h", 1)], "page_id int, url string, html string, _host int"))
 
 
 def test_url_rules_by_index_and_join(spark):
