@@ -10,7 +10,6 @@ from heliogrid.queries import ORACLES, QUERIES
 from tests.conftest import SF
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
-SLOW = {"cv_grid", "best_model", "cv_results_by_param"}
 
 
 @pytest.fixture(scope="module")
@@ -42,6 +41,6 @@ def test_matches_sql(spark, duck, name):
     assert rows_by_name(df.columns, df.collect()) == rows_by_name(columns, result.fetchall())
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES) - SLOW))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
 def test_gives_rows(spark, name):
     assert QUERIES[name](spark, SF).count() > 0
