@@ -1,5 +1,6 @@
 """Station files: scans, typing, preambles and incremental loads, on files made from the events."""
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from heliogrid.columns import DDL_SCHEMA, RAW_SCHEMA, STATION_COLUMNS
@@ -11,6 +12,7 @@ from heliogrid.queries.base import (
     READINGS_PER_FILE,
     VALUE_SQL,
     VALUE_TEXT_SQL,
+    once,
     query,
     raw_readings,
     rounded,
@@ -21,7 +23,7 @@ from heliogrid.session import new_folder
 from heliogrid.sinks import tables as sink
 from heliogrid.sources import station
 from heliogrid.sources.catalog import file_catalog
-from heliogrid.streaming import incremental
+from heliogrid.streaming import exactly_once, incremental
 
 DATE, HOUR, RAIN, RADIATION, WIND_DIRECTION = (
     RAW_SCHEMA.names[0],
@@ -302,6 +304,25 @@ def union_by_name(spark, sf_dir):
     return station.union_by_name([a, b])
 
 
+@query(
+    "concat_files",
+    """SELECT strftime(ts, '%Y/%m/%d') AS data, CAST(event_id AS VARCHAR) AS radiacao_global_kj_m2, NULL AS precipitacao_mm, event_type, NULL AS l_returnflag FROM events
+       UNION ALL SELECT strftime(l_shipdate, '%Y/%m/%d'), CAST(l_linenumber AS VARCHAR), CAST(l_orderkey AS VARCHAR), NULL, l_returnflag FROM lineitem""",
+)
+def concat_files(spark, sf_dir):
+    """Files of two layouts, each with columns that the other lacks, brought together by name in one scan."""
+
+    def write(path):
+        day = lambda c: F.date_format(c, "yyyy/MM/dd")
+        a = table(spark, sf_dir, "events").select(day("ts").alias("DATA"), "event_type", F.col("event_id").alias("RADIACAO_GLOBAL_KJ_MF"))
+        b = table(spark, sf_dir, "lineitem").select(day("l_shipdate").alias(DATE), F.col("l_linenumber").alias(RADIATION), F.col("l_orderkey").alias(RAIN), "l_returnflag")
+        for name, rows in (("a", a), ("b", b)):
+            rows.write.options(header="true", sep=";", encoding="ISO-8859-1", quote="\u0000").csv(f"{path}/{name}")
+
+    rows = station.scan_by_header(spark, once(spark, sf_dir, "two-layouts", write), others=True)
+    return rows.select("data", "radiacao_global_kj_m2", "precipitacao_mm", "event_type", "l_returnflag")
+
+
 @query("dedup_observations", "SELECT user_id, h AS hora, CAST(min(event_id) AS BIGINT) AS event_id, arg_min(value, event_id) AS value FROM (SELECT *, date_trunc('hour', ts) AS h FROM events) GROUP BY 1, 2")
 def dedup_observations(spark, sf_dir):
     """One reading per station and hour: the first."""
@@ -328,6 +349,53 @@ def incremental_files(spark, sf_dir):
     return loaded.groupBy("data").agg(F.count(F.lit(1)).alias("n"), F.count("radiacao_global_kj_m2").alias("n_radiacao"))
 
 
+EXACT_SQL = f"SELECT CAST(ts AS DATE) AS data, count(*) AS n, count({VALUE_SQL}) AS n_radiacao FROM events GROUP BY 1"
+
+
+def loaded_once(spark, sf_dir):
+    """Station files loaded in batches, of which one fails before it is published and is run again; a third run has no news."""
+    files, target, ledger, checkpoint = station_files(spark, sf_dir), *(new_folder(spark, n) for n in ("exact", "ledger", "checkpoint"))
+    failed = []
+
+    def fail_once(batch):
+        if batch == 0 and not failed:
+            failed.append(batch)
+            raise RuntimeError("stopped before the batch is published")
+
+    def run():
+        stream = incremental.station_stream(spark, f"{files}/*/*", files_per_batch=8).withColumn("file_bytes", F.col("_metadata.file_size"))
+        rows = incremental.clean_readings(stream).select("file", "file_bytes", "data", "radiacao_global_kj_m2")
+        exactly_once.load_exactly_once(rows, target, ledger, checkpoint, size="file_bytes", before_publish=fail_once)
+
+    for _ in range(3):
+        try:
+            run()
+        except StreamingQueryException:
+            if len(failed) != 1:
+                raise
+    return target, ledger
+
+
+@query("exactly_once_load", EXACT_SQL)
+def exactly_once_load(spark, sf_dir):
+    target, ledger = loaded_once(spark, sf_dir)
+    rows = exactly_once.published(spark, target, ledger, "file string, file_bytes long, data date, radiacao_global_kj_m2 double")
+    return rows.groupBy("data").agg(F.count(F.lit(1)).alias("n"), F.count("radiacao_global_kj_m2").alias("n_radiacao"))
+
+
+@query(
+    "timed_load_report",
+    f"""SELECT 'station=' || event_id // {READINGS_PER_FILE} AS station, CAST(2024 AS INTEGER) AS year, count(*) AS n_rows, 'success' AS status, true AS timed, true AS has_bytes
+        FROM events GROUP BY 1""",
+)
+def timed_load_report(spark, sf_dir):
+    """Rows, year, status, seconds and bytes of every loaded file, each reported once."""
+    _, ledger = loaded_once(spark, sf_dir)
+    report = exactly_once.load_report(spark, ledger)
+    timed = (F.col("seconds") > 0) & (F.col("loaded_at") <= F.current_timestamp())
+    return report.select(F.regexp_extract("file", r"/(station=\d+)/", 1).alias("station"), "year", "n_rows", "status", timed.alias("timed"), (F.col("bytes") > F.col("n_rows")).alias("has_bytes"))
+
+
 @query(
     "load_report",
     f"""SELECT 'station=' || event_id // {READINGS_PER_FILE} AS station, CAST(2024 AS INTEGER) AS year, count(*) AS n_rows, 'success' AS status

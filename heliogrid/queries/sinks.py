@@ -94,6 +94,22 @@ def metrics_json(spark, sf_dir):
     return spark.read.schema(metrics.schema).json(path)
 
 
+@query(
+    "metric_objects",
+    "SELECT 'station_' || s_suppkey AS object, strlen(s_name) AS size_bytes, true AS uploaded, 1::BIGINT AS objects FROM supplier",
+)
+def metric_objects(spark, sf_dir):
+    """One JSON object per file, with the time of its upload, read back by the names of the objects."""
+    files = table(spark, sf_dir, "supplier")
+    name = F.concat(F.lit("drive/station ("), F.col("s_suppkey").cast("string"), F.lit(").csv"))
+    metrics = files.select(name.alias("path"), F.octet_length("s_name").cast("long").alias("size_bytes"))
+    path = new_folder(spark, "objects")
+    sink.write_metric_objects(metrics, path)
+    stored = spark.read.schema("path string, size_bytes long, uploaded_at timestamp, object string").json(path)
+    uploaded = F.max(F.col("uploaded_at").isNotNull() & (F.col("uploaded_at") <= F.current_timestamp())).alias("uploaded")
+    return stored.groupBy("object").agg(F.max("size_bytes").alias("size_bytes"), uploaded, F.count_distinct(F.col("_metadata.file_path")).alias("objects"))
+
+
 @query("table_listing", "SELECT DISTINCT 'mart_' || lower(c_mktsegment) AS name, true AS temporary FROM customer")
 def table_listing(spark, sf_dir):
     """A view per market segment, found again by pattern."""

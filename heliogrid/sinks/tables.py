@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from heliogrid.functions import text
+
 CHUNK_ROWS = 16_000
 
 
@@ -64,6 +66,17 @@ def write_metrics(metrics: DataFrame, path: str) -> None:
     metrics.write.mode("append").json(path)
 
 
+def write_metric_objects(metrics: DataFrame, path: str, name: str = "path") -> None:
+    """One JSON object per record, in a folder named after it (``object=<name>``), with the time of the upload.
+
+    The name is the last part of ``name`` without its suffix, made safe for keys; records of the same name share a folder.
+    Rows are dealt out by name first, so each folder is written by one task, one after the other.
+    """
+    base = F.regexp_replace(text.basename(text.safe_key(F.col(name))), r"\.[^.]*$", "")
+    named = metrics.withColumns({"object": base, "uploaded_at": F.current_timestamp()}).repartition("object")
+    named.write.mode("append").option("maxRecordsPerFile", 1).partitionBy("object").json(path)
+
+
 def load_report(rows: DataFrame, file: str = "file", expected: DataFrame | None = None) -> DataFrame:
     """Rows per loaded file with its status; a catalogued file without rows is ``empty``."""
     counts = rows.groupBy(file).agg(F.count(F.lit(1)).alias("n_rows"))
@@ -80,9 +93,9 @@ def require_loaded(report: DataFrame) -> None:
         raise ValueError(f"{n} files gave no rows")
 
 
-def to_variant(df: DataFrame, text: str, out: str = "RAW_DATA") -> DataFrame:
+def to_variant(df: DataFrame, column: str, out: str = "RAW_DATA") -> DataFrame:
     """Semi-structured landing column; text that is not JSON becomes null."""
-    return df.withColumn(out, F.try_parse_json(text))
+    return df.withColumn(out, F.try_parse_json(column))
 
 
 def extract_variant(df: DataFrame, variant: str, paths: dict[str, tuple[str, str]]) -> DataFrame:

@@ -61,11 +61,14 @@ def scan_raw(spark: SparkSession, paths: str | list[str], with_file: bool = Fals
     return only_readings(df)
 
 
-def scan_by_header(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+def scan_by_header(spark: SparkSession, paths: str | list[str], others: bool = False) -> DataFrame:
     """Text columns under friendly names, matched by each file's own header line.
 
     For files whose columns stand in another order or are spelled in another way. The header
-    lines (one per file) are joined back by file; unknown columns are left out.
+    lines (one per file) are joined back by file; unknown columns are left out. With ``others``
+    they come behind the known ones under their own names (null in files without them), so that any
+    number of files with differing columns is brought together by name in one scan; the plan grows
+    with the number of different names only, which come back to the driver.
     """
     lines = (
         spark.read.options(recursiveFileLookup="true", encoding="ISO-8859-1", sep="\u0001", quote="")
@@ -79,11 +82,16 @@ def scan_by_header(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     first, wide = F.col("cells")[0], F.size("cells") > 2
     headers = lines.filter(wide & is_header(first))
     headers = headers.groupBy("file").agg(
-        F.max(F.transform("cells", lambda c: F.coalesce(known[F.upper(F.trim(c))], F.lit("")))).alias("names")
+        F.max(F.transform("cells", lambda c: F.coalesce(known[F.upper(F.trim(c))], F.trim(c) if others else F.lit("")))).alias("names")
     )
-    headers, _ = broadcast_if_small(stage_table(headers, "headers"))
+    headers = stage_table(headers, "headers")
+    names = [c.friendly for c in STATION_COLUMNS]
+    if others:
+        found = {r[0] for r in headers.select(F.explode("names")).distinct().collect()}
+        names += sorted(found - set(names) - {"", "file"})
+    headers, _ = broadcast_if_small(headers)
     rows = lines.filter(is_reading(first, wide & F.exists("cells", lambda c: c != ""))).join(headers, "file")
-    cols = [F.get("cells", F.array_position("names", F.lit(c.friendly)).cast("int") - 1).alias(c.friendly) for c in STATION_COLUMNS]
+    cols = [F.get("cells", F.array_position("names", F.lit(c)).cast("int") - 1).alias(c) for c in names]
     return rows.select("file", *cols)
 
 

@@ -5,6 +5,7 @@ import re
 import zipfile
 
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from heliogrid.columns import RAW_SCHEMA
@@ -12,7 +13,7 @@ from heliogrid.functions import text
 from heliogrid.operators import quality
 from heliogrid.sinks import tables as sink
 from heliogrid.sources import catalog, registry, station, tables
-from heliogrid.streaming import incremental
+from heliogrid.streaming import exactly_once, incremental
 
 HEADERS = RAW_SCHEMA.names
 RADIATION = HEADERS[6]
@@ -197,6 +198,70 @@ def test_incremental_load_takes_each_file_once(spark, folder, tmp_path):
     assert run() == 4
 
 
+def test_a_batch_that_fails_half_way_adds_nothing(spark, folder, tmp_path):
+    """Fails once before a batch is written and once before it is published; then a file comes and a run has no news."""
+    target, ledger, checkpoint = (str(tmp_path / n) for n in ("out", "ledger", "ck"))
+    tries = []
+
+    def fail(batch):
+        tries.append(batch)
+        if len(tries) == 2:
+            raise RuntimeError("stopped")
+
+    def run(**more):
+        stream = incremental.station_stream(spark, str(folder / "20*"), files_per_batch=1).withColumn("bytes", F.col("_metadata.file_size"))
+        exactly_once.load_exactly_once(incremental.clean_readings(stream).select("file", "bytes", "observed_at"), target, ledger, checkpoint, size="bytes", **more)
+
+    rows = lambda: exactly_once.published(spark, target, ledger, "file string, bytes long, observed_at timestamp")
+    with pytest.raises(StreamingQueryException):
+        run(before_publish=fail)
+    once = rows().count()
+    assert 0 < once < 3 and spark.read.parquet(target).count() == 3
+    run(before_publish=fail)
+    assert tries == [0, 1, 1] and rows().count() == 3
+    run()
+    extra = preamble("NOVA") + [";".join(HEADERS), reading("2022/03/01", "0100 UTC", "1", "5")]
+    (folder / "2022" / "c.CSV").write_bytes("\n".join(extra).encode("latin-1"))
+    run()
+    assert rows().count() == 4
+    report = exactly_once.load_report(spark, ledger, spark.createDataFrame([("x/2023/none.csv",)], "file string")).collect()
+    assert sorted((r.file.split("/")[-1], r.n_rows, r.year, r.status) for r in report if r.status == "empty") == [("none.csv", 0, 2023, "empty")]
+    done = [r for r in report if r.status == "success"]
+    assert sum(r.n_rows for r in done) == 4 and len({r.file for r in done}) == len(done)
+    assert all(r.seconds > 0 and r.bytes > 100 and r.loaded_at for r in done)
+
+
+def test_many_files_with_differing_headers(spark, tmp_path):
+    """The plan has one scan whatever the number of files, and grows with the different names only."""
+
+    def put(n, names):
+        for i in range(n):
+            body = [";".join(names), ";".join(f"{names[0][:1]}{i}" if k == 0 else f"{name}-{i}" for k, name in enumerate(names))]
+            (tmp_path / f"{names[-1]}-{i}.csv").write_text("\n".join(body) + "\n", encoding="latin-1")
+
+    put(300, ["Data", "Hora UTC", "extra one"])
+    put(200, ["DATA", "other", "Hora UTC"])
+    put(100, ["Data", "RADIACAO GLOBAL (Kj/m²)", "file"])
+    rows = station.scan_by_header(spark, str(tmp_path), others=True)
+    assert rows.columns[-2:] == ["extra one", "other"]
+    got = rows.agg(*[F.count(F.col(f"`{c}`")).alias(c) for c in ("data", "hora_utc", "extra one", "other", "radiacao_global_kj_m2")]).first()
+    assert tuple(got) == (600, 500, 300, 200, 100)
+    assert rows.filter("other = 'other-7'").select("data", "hora_utc").first() == ("D7", "Hora UTC-7")
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") <= 2
+
+
+def test_one_metrics_object_for_each_file(spark, tmp_path):
+    metrics = spark.createDataFrame([("in/a (1).csv", 3), ("in/b.csv", None), (None, 1)], "path string, size_bytes long")
+    for _ in range(2):
+        sink.write_metric_objects(metrics, str(tmp_path / "m"))
+    found = spark.read.json(str(tmp_path / "m"))
+    assert {(r.object, r.size_bytes) for r in found.collect()} == {("a_1", 3), ("b", None), (None, 1)}
+    assert found.filter("uploaded_at IS NULL").count() == 0
+    assert len(list((tmp_path / "m").glob("object=a_1/*.json"))) == 2
+    sink.write_metric_objects(metrics.limit(0), str(tmp_path / "n"))
+
+
 def test_batch_ledger(spark):
     rows = spark.range(30_000).selectExpr("concat('file', id) AS file", "id")
     done = rows.filter("id = 7").select("file")
