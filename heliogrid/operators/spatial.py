@@ -12,6 +12,7 @@ from heliogrid.functions import geo
 from heliogrid.session import may_broadcast, serialised_bytes, stage_table
 
 MAX_TILES = 4096  # bound of the tile table of a nearest join
+LEAF_SITES = 1024  # sites of a tile from which it is divided again
 SALTS = 16  # pieces a hot cell is split into when neither side is small
 
 
@@ -79,6 +80,32 @@ def _tiling(places: DataFrame, side: int) -> Column:
     return F.expr(f"{strip} * {side + 1} + size(filter(get({ys}, {strip}), b -> b <= _sy))")
 
 
+def inner_tiles(tiled: DataFrame, per_tile: int) -> DataFrame:
+    """Sites with the number of their tile inside their tile, about sqrt(``per_tile``) of nearly equal counts.
+
+    The cuts of each tile are found and applied by joins on the tile, which all hold about the same number of sites.
+    """
+    side = max(2, round(per_tile**0.25))
+    shares = [i / side for i in range(1, side)]
+    xs = tiled.groupBy("_tile").agg(F.percentile_approx("_sx", shares, 1000).alias("_xs"))
+    strips = tiled.join(xs, "_tile").withColumn("_strip", F.expr("size(filter(_xs, b -> b <= _sx))")).drop("_xs")
+    ys = strips.groupBy("_tile", "_strip").agg(F.percentile_approx("_sy", shares, 1000).alias("_ys"))
+    inner = F.expr(f"_strip * {side} + size(filter(_ys, b -> b <= _sy))")
+    return strips.join(ys, ["_tile", "_strip"]).withColumn("_inner", inner).drop("_strip", "_ys")
+
+
+NEAR = "pow(greatest(b.x0 - _px, _px - b.x1, 0D), 2) + pow(greatest(b.y0 - _py, _py - b.y1, 0D), 2)"
+
+
+def _far() -> str:
+    """Every side of an exact box has a site on it, so one lies within the smaller of two distances."""
+    (nx, fx), (ny, fy) = [[f"pow({f}(abs(_p{c} - b.{c}0), abs(_p{c} - b.{c}1)), 2)" for f in ("least", "greatest")] for c in "xy"]
+    return f"least({nx} + {fy}, {fx} + {ny})"
+
+
+SLACK = f"{1 + 1e-12!r}D"  # keeps rounding from dropping the tile that sets the bound
+
+
 def nearest_join(
     points: DataFrame,
     sites: DataFrame,
@@ -88,12 +115,15 @@ def nearest_join(
     site_xy: tuple[str, str],
     max_tiles: int = MAX_TILES,
     salts: int = SALTS,
+    leaf_sites: int = LEAF_SITES,
 ) -> DataFrame:
     """Each point with its nearest site (Euclid) and ``distance``; ties go to the smallest id.
 
     Sites are packed into about sqrt(n) tiles of nearly equal counts, so crowded places get small
     tiles. A point keeps the tiles that can hold its nearest site, judged by the exact bounding
-    boxes of the tiles, and meets only the sites of those: an equi-join on the tile.
+    boxes of the tiles, and meets only the sites of those: an equi-join on the tile. Where tiles hold
+    more than ``leaf_sites``, they are divided again, and a point first meets the boxes inside its
+    tiles; so no list is longer than about the square root of a tile.
     Points without coordinates (null or NaN) have a null site. Sites at the same place count once, by their smallest id. ``point_id`` must be unique.
     """
     sx, sy = (F.col(c).cast("double") for c in site_xy)
@@ -103,37 +133,45 @@ def nearest_join(
     small = may_broadcast(size_bytes)
     tiles = min(max(math.isqrt(n), 16), max_tiles)
     tiled = places.withColumn("_tile", _tiling(places, math.isqrt(tiles)))
+    nested = n > tiles * leaf_sites
+    tiled = stage_table(inner_tiles(tiled, n // tiles), "tiles") if nested else tiled.withColumn("_inner", F.lit(0))
 
     # At most max_tiles rows, one per tile; they enter the plan as one folded constant.
     boxes = tiled.groupBy("_tile").agg(F.min("_sx"), F.max("_sx"), F.min("_sy"), F.max("_sy")).collect()
     names = ("t", "x0", "x1", "y0", "y1")
     known = _constant([dict(zip(names, b)) for b in boxes], "array<struct<t:int,x0:double,x1:double,y0:double,y1:double>>")
-    near = "pow(greatest(b.x0 - _px, _px - b.x1, 0D), 2) + pow(greatest(b.y0 - _py, _py - b.y1, 0D), 2)"
-    # Every side of an exact box has a site on it, so one lies within the smaller of these two.
-    (nx, fx), (ny, fy) = [[f"pow({f}(abs(_p{c} - b.{c}0), abs(_p{c} - b.{c}1)), 2)" for f in ("least", "greatest")] for c in "xy"]
-    far = f"least({nx} + {fy}, {fx} + {ny})"
     x, y = F.col("_px"), F.col("_py")
     located = points.select(point_id, *[F.col(c).cast("double").alias(n) for c, n in zip(point_xy, ("_px", "_py"))])
     placed = x.isNotNull() & y.isNotNull() & ~F.isnan(x) & ~F.isnan(y)
     unplaced = located.filter(~placed).select(point_id)
     located = located.filter(placed)
-    bounded = located.withColumn("_bound", F.expr(f"array_min(transform({known}, b -> {far}))"))
-    # A little slack keeps rounding from dropping the tile that sets the bound.
-    chosen = f"filter({known}, b -> {near} <= _bound * {1 + 1e-12!r}D)"
-    probes = bounded.select(point_id, "_px", "_py", F.expr(f"explode(transform({chosen}, b -> b.t))").alias("_tile"))
+    bounded = located.withColumn("_bound", F.expr(f"array_min(transform({known}, b -> {_far()}))"))
+    chosen = f"filter({known}, b -> {NEAR} <= _bound * {SLACK})"
+    probes = bounded.select(point_id, "_px", "_py", "_bound", F.expr(f"explode(transform({chosen}, b -> b.t))").alias("_tile"))
+
+    def meet(probes: DataFrame, side: DataFrame, keys: list[str]) -> DataFrame:
+        """An equi-join on tiles; the points of a crowded tile are spread if ``side`` is not known to be small."""
+        if small:
+            return probes.join(F.broadcast(side), keys)
+        probes = probes.withColumn("_salt", F.pmod(F.xxhash64(point_id), F.lit(salts)))
+        side = side.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
+        return probes.join(side, [*keys, "_salt"]).drop("_salt")
+
+    if nested:
+        box = F.struct(F.col("_inner").alias("t"), *[F.col(c) for c in names[1:]])
+        inner = tiled.groupBy("_tile", "_inner").agg(F.min("_sx").alias("x0"), F.max("_sx").alias("x1"), F.min("_sy").alias("y0"), F.max("_sy").alias("y1"))
+        inner = inner.groupBy("_tile").agg(F.collect_list(box).alias("_boxes"))
+        probes = meet(probes, inner, ["_tile"]).withColumn("_bound", F.expr(f"least(_bound, array_min(transform(_boxes, b -> {_far()})))"))
+        chosen = f"filter(_boxes, b -> {NEAR} <= _bound * {SLACK})"
+        probes = probes.select(point_id, "_px", "_py", "_tile", F.expr(f"explode(transform({chosen}, b -> b.t))").alias("_inner"))
+    else:
+        probes = probes.drop("_bound").withColumn("_inner", F.lit(0))
 
-    # One row per tile with its sites in the order of their ids, about n / tiles of them.
+    # One row per tile with its sites in the order of their ids.
     site = F.struct(F.col(site_id).alias("id"), F.col("_sx").alias("x"), F.col("_sy").alias("y"))
-    lists = tiled.groupBy("_tile").agg(F.sort_array(F.collect_list(site)).alias("_sites"))
-    keys = ["_tile"]
-    if small:
-        lists = F.broadcast(lists)
-    else:
-        probes = probes.withColumn("_salt", F.pmod(F.xxhash64(point_id), F.lit(salts)))
-        lists = lists.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
-        keys.append("_salt")
+    lists = tiled.groupBy("_tile", "_inner").agg(F.sort_array(F.collect_list(site)).alias("_sites"))
     square = "transform(_sites, s -> (_px - s.x) * (_px - s.x) + (_py - s.y) * (_py - s.y))"
-    met = probes.join(lists, keys).withColumn("_d2", F.expr(square)).withColumn("_m", F.array_min("_d2"))
+    met = meet(probes, lists, ["_tile", "_inner"]).withColumn("_d2", F.expr(square)).withColumn("_m", F.array_min("_d2"))
     best = F.struct(F.col("_m").alias("d2"), F.expr("get(_sites, int(array_position(_d2, _m)) - 1).id").alias("id"))
     found = met.select(point_id, best.alias("_b")).groupBy(point_id).agg(F.min("_b").alias("_b"))
     found = found.select(point_id, F.col("_b.id").alias(site_id), F.sqrt("_b.d2").alias("distance"))

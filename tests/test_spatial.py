@@ -2,6 +2,7 @@ import math
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from heliogrid import session
 from heliogrid.functions import geo
@@ -75,8 +76,9 @@ def test_within_matches_brute_force(spark, monkeypatch, limit):
     assert got == want and len(want) > 50
 
 
+@pytest.mark.parametrize("leaf", [spatial.LEAF_SITES, 4])
 @pytest.mark.parametrize("limit", [session.BROADCAST_BYTES, 0])
-def test_nearest_matches_brute_force(spark, monkeypatch, limit):
+def test_nearest_matches_brute_force(spark, monkeypatch, limit, leaf):
     """A dense cluster, far outliers, doubled places and ties."""
     monkeypatch.setattr(session, "BROADCAST_BYTES", limit)
     rng = np.random.default_rng(9)
@@ -87,7 +89,7 @@ def test_nearest_matches_brute_force(spark, monkeypatch, limit):
     found = spatial.nearest_join(
         spark.createDataFrame(points + [(-1, None, 1.0)], "p int, px double, py double"),
         spark.createDataFrame(sites + [(-1, None, 0.0)], "s int, sx double, sy double"),
-        "p", "s", ("px", "py"), ("sx", "sy"),
+        "p", "s", ("px", "py"), ("sx", "sy"), leaf_sites=leaf,
     )
     got = {r.p: (r.s, r.distance) for r in found.collect()}
     assert got.pop(-1) == (None, None)
@@ -97,6 +99,17 @@ def test_nearest_matches_brute_force(spark, monkeypatch, limit):
         assert got[i][0] == s and got[i][1] == pytest.approx(math.sqrt(d2))
 
 
+def test_nested_tiles_keep_lists_short(spark):
+    """A hundred times the sites in the same number of tiles: lists grow with the square root of a tile."""
+    longest = {}
+    for n in (2_000, 200_000):
+        places = spark.range(n).select("id", F.sin("id").alias("_sx"), F.pow(F.cos(F.col("id") * 7), 3).alias("_sy")).withColumn("_tile", F.expr("int(floor((_sx + 1) * 2.5))"))
+        sizes = spatial.inner_tiles(places, n // 5).groupBy("_tile", "_inner").count()
+        longest[n] = sizes.agg(F.max("count")).first()[0]
+        assert sizes.agg(F.sum("count")).first()[0] == n
+    assert longest[200_000] <= 12 * longest[2_000] and longest[200_000] <= 4 * math.sqrt(200_000 / 5)
+
+
 def test_plant_mart(spark):
     layer = spark.createDataFrame([(1, [[box(0.0, 0.0, 2.0, 3.0)]]), (2, [[box(5.0, 0.0, 7.0, 3.0)]])], LAYER)
     rows = [("UFV", 1000.0), ("UFV", 500.0), ("PCH", 2000.0), ("EOL", 250.0)]
