@@ -316,8 +316,14 @@ def repeated_spans(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def remove_repeats(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` with the repeated bytes cut out of ``text``; what is left of a split character becomes U+FFFD."""
-    cut = stage_table(repeated_spans(docs, text).select(F.col("c").alias("_class"), F.decode("kept", "UTF-8").alias("_kept")), "cut")
+    """``docs`` with the repeated bytes cut out of ``text``; what is left of a split character becomes U+FFFD.
+
+    Null texts stay null; all rows and columns stay. ValueError if _class or _kept occurs.
+    """
+    taken = {"_class", "_kept"} & set(docs.columns)
+    if taken:
+        raise ValueError(f"columns exist already: {', '.join(sorted(taken))}")
+    cut = stage_table(repeated_spans(docs, text).select(F.col("c").alias("_class"), F.make_valid_utf8(F.col("kept").cast("string")).alias("_kept")), "cut")
     out = docs.withColumn("_class", text_class(F.col(f"`{text}`"))).join(cut, "_class", "left")
     return out.withColumn(text, F.coalesce("_kept", F.col(f"`{text}`"))).drop("_class", "_kept")
 

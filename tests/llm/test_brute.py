@@ -41,6 +41,17 @@ def test_suffix_dedup(spark):
     assert _rows(suffix.repeat_report(spark.createDataFrame(docs, PAIR).repartition(4))) == sorted(want, key=repr)
 
 
+def test_repeats_that_begin_inside_a_character(spark):
+    """A shared run starts with the second byte of a character: its first byte is left over."""
+    run = "x" * 220
+    docs = [(1, "aé" + run + "b"), (2, "cĩ" + run + "d"), (3, None), (4, "é kept")]
+    got = {x.doc_id: x.text for x in suffix.remove_repeats(spark.createDataFrame(docs, PAIR)).collect()}
+    assert "é".encode()[1:] == "ĩ".encode()[1:]
+    assert got == {1: "a\ufffdb", 2: "c\ufffdd", 3: None, 4: "é kept"}
+    with pytest.raises(ValueError, match="_kept"):
+        suffix.remove_repeats(spark.createDataFrame([("x", 1)], "text string, _kept int"))
+
+
 def test_blind_trie_sorts():
     r = random.Random(1)
     strings = [bytes(r.choice(b"ab") for _ in range(12)) for _ in range(300)]
