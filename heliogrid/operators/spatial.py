@@ -13,9 +13,51 @@ from heliogrid.session import may_broadcast, serialised_bytes, stage_table
 
 MAX_TILES = 4096  # bound of the tile table of a nearest join
 LEAF_SITES = 1024  # sites of a tile from which it is divided again
+CELL_EDGES = 64  # edges of a polygon in a cell from which the cell is divided
+DIVISIONS = 5  # of a cell at most
 SALTS = 16  # pieces a hot cell is split into when neither side is small
 
 
+def _judged(cells: DataFrame) -> DataFrame:
+    """Cells that a polygon reaches: ``_edge`` tells whether one of its edges may pass, else the cell lies inside.
+
+    Of the edges those stay that a point in the cell can meet, itself or by a ray to the right.
+    """
+    size = "pow(2D, _level)"
+    x0, x1, y0, y1 = f"_cx * {size}", f"(_cx + 1) * {size}", f"_cy * {size}", f"(_cy + 1) * {size}"
+    beside = f"least(s.a.y, s.b.y) <= {y1} AND greatest(s.a.y, s.b.y) >= {y0} AND greatest(s.a.x, s.b.x) >= {x0}"
+    cells = cells.withColumn("_segs", F.expr(f"filter(_segs, s -> {beside})"))
+    # A cell that was found to lie inside has no edges any more.
+    cells = cells.withColumnRenamed("_edge", "_open").withColumn("_edge", F.expr(f"exists(_segs, s -> least(s.a.x, s.b.x) <= {x1})"))
+    centre = geo.strictly_inside("_segs", f"((_cx + 0.5D) * {size})", f"((_cy + 0.5D) * {size})")
+    cells = cells.filter(~F.col("_open") | F.col("_edge") | centre).drop("_open")
+    return cells.withColumn("_segs", F.expr("if(_edge, _segs, filter(_segs, s -> false))"))
+
+
+def polygon_cells(polygons: DataFrame, shape: str = "geometry") -> DataFrame:
+    """The cells (``_level``, ``_cx``, ``_cy``) that each polygon reaches, with their edges: a quadtree of its crowded cells.
+
+    A polygon is put on the grid whose cell is about half its longer side, so it covers few cells whatever its size. A
+    cell with more than CELL_EDGES edges is divided in four, up to DIVISIONS times; cells outside of the polygon go.
+    """
+    extent = "greatest(_box.x1 - _box.x0, _box.y1 - _box.y0)"
+    placed = polygons.withColumn("_box", geo.bounding_box(shape)).filter(f"{extent} > 0")
+    placed = placed.withColumn("_level", F.expr(f"int(ceil(log2({extent}))) - 1")).withColumn("_segs", geo.segments(shape))
+    cells = placed.drop(shape)
+    for axis in "xy":
+        span = f"explode(sequence(floor(_box.{axis}0 / pow(2D, _level)), floor(_box.{axis}1 / pow(2D, _level))))"
+        cells = cells.withColumn(f"_c{axis}", F.expr(span))
+    cells = _judged(cells.drop("_box").withColumn("_edge", F.lit(True)))
+    quarter = "named_struct('_level', _level - 1, '_cx', 2 * _cx + {}, '_cy', 2 * _cy + {})"
+    quarters = ", ".join(quarter.format(i, j) for i in (0, 1) for j in (0, 1))
+    same = "named_struct('_level', _level, '_cx', _cx, '_cy', _cy)"
+    for _ in range(DIVISIONS):
+        parts = F.expr(f"explode(if(_edge AND size(_segs) > {CELL_EDGES}, array({quarters}), array({same})))")
+        cells = cells.withColumn("_part", parts).withColumns({c: F.col(f"_part.{c}") for c in ("_level", "_cx", "_cy")}).drop("_part")
+        cells = _judged(cells)
+    return cells
+
+
 def join_within(
     points: DataFrame,
     polygons: DataFrame,
@@ -26,21 +68,13 @@ def join_within(
 ) -> DataFrame:
     """Each point with every polygon that strictly contains it.
 
-    A polygon is put on the grid whose cell is about half its longer side, so it covers few
-    cells whatever its size; a point is looked up once per grid in use. The candidates of the
-    equi-join then pass the exact test. Polygons are broadcast only if measured small; else the
-    points of a cell are spread over ``salts`` pieces, so that a crowded cell is no hot key.
+    Polygons become the cells of a quadtree; a point is looked up once per grid in use. The candidates
+    of the equi-join then pass the exact test, unless their cell lies inside the polygon as a whole.
+    Cells are broadcast only if measured small; else the points of a cell are spread over
+    ``salts`` pieces, so that a crowded cell is no hot key.
     """
-    extent = "greatest(_box.x1 - _box.x0, _box.y1 - _box.y0)"
-    placed = polygons.withColumn("_box", geo.bounding_box(shape)).filter(f"{extent} > 0")
-    placed = placed.withColumn("_level", F.expr(f"int(ceil(log2({extent}))) - 1")).withColumn("_segs", geo.segments(shape))
+    cells = stage_table(polygon_cells(polygons, shape), "cells")
     size = "pow(2D, _level)"
-    cells = placed.drop(shape)
-    for axis in "xy":
-        span = f"explode(sequence(floor(_box.{axis}0 / {size}), floor(_box.{axis}1 / {size})))"
-        cells = cells.withColumn(f"_c{axis}", F.expr(span))
-    cells = stage_table(cells.drop("_box"), "cells")
-
     # The grids in use are a set of binary exponents, a few dozen at most.
     size_bytes, levels = cells.agg(serialised_bytes(), F.collect_set("_level")).first()
     small = may_broadcast(size_bytes)
@@ -55,8 +89,8 @@ def join_within(
         probes = probes.withColumn("_salt", F.pmod(F.xxhash64(*flat), F.lit(salts)))
         cells = cells.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
         keys.append("_salt")
-    hit = geo.strictly_inside("_segs", x, y)
-    return probes.join(cells, keys).filter(hit).drop(*keys, "_segs")
+    hit = ~F.col("_edge") | geo.strictly_inside("_segs", x, y)
+    return probes.join(cells, keys).filter(hit).drop(*keys, "_segs", "_edge")
 
 
 def _constant(value, kind: str) -> str:

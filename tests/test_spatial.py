@@ -76,6 +76,39 @@ def test_within_matches_brute_force(spark, monkeypatch, limit):
     assert got == want and len(want) > 50
 
 
+def test_crowded_cells_are_divided(spark, monkeypatch):
+    """Stars of thousands of edges and a hole: few edges a cell, whole cells inside, and the points of the exact test."""
+    rng = np.random.default_rng(8)
+    stars = []
+    for cx, cy, scale in ((0.0, 0.0, 5.0), (3.0, 1.0, 40.0), (-7.3, 2.2, 0.7)):
+        turn = np.linspace(0, 2 * math.pi, 2500)[:-1]
+        radius = scale * (0.6 + 0.3 * np.sin(9 * turn) + 0.01 * rng.random(len(turn)))
+        ring = [(float(cx + r * math.cos(t)), float(cy + r * math.sin(t))) for r, t in zip(radius, turn)]
+        stars.append([[*ring, ring[0]], box(cx - scale / 20, cy - scale / 20, cx + scale / 20, cy + scale / 20)])
+    poly = spark.createDataFrame([(i, [s]) for i, s in enumerate(stars)], LAYER)
+    cells = spatial.polygon_cells(poly).selectExpr("cd_mun", "size(_segs) AS n", "_edge", "_level").collect()
+    lowest = {i: min(c["_level"] for c in cells if c.cd_mun == i) for i in range(3)}
+    assert all(c.n <= spatial.CELL_EDGES or c["_level"] == lowest[c.cd_mun] for c in cells if c["_edge"])
+    assert all(c.n == 0 for c in cells if not c["_edge"]) and sum(not c["_edge"] for c in cells) > 20
+    xy = [(i, float(x), float(y)) for i, (x, y) in enumerate(np.vstack([rng.uniform(-40, 45, (1500, 2)), rng.uniform(-9, 6, (1500, 2))]))]
+
+    def inside(x, y, rings):
+        odd = False
+        for ring in rings:
+            (ax, ay), (bx, by) = np.array(ring[:-1]).T, np.array(ring[1:]).T
+            cross = (ay > y) != (by > y)
+            with np.errstate(divide="ignore", invalid="ignore"):
+                odd ^= bool(np.sum(cross & (x < (bx - ax) * (y - ay) / (by - ay) + ax)) % 2)
+        return odd
+
+    want = sorted((i, k) for i, x, y in xy for k, rings in enumerate(stars) if inside(x, y, rings))
+    for limit in (session.BROADCAST_BYTES, 0):
+        monkeypatch.setattr(session, "BROADCAST_BYTES", limit)
+        found = spatial.join_within(spark.createDataFrame(xy, "id int, longitude double, latitude double"), poly)
+        assert sorted((r.id, r.cd_mun) for r in found.collect()) == want and len(want) > 500
+        assert found.columns == ["id", "longitude", "latitude", "cd_mun"]
+
+
 @pytest.mark.parametrize("leaf", [spatial.LEAF_SITES, 4])
 @pytest.mark.parametrize("limit", [session.BROADCAST_BYTES, 0])
 def test_nearest_matches_brute_force(spark, monkeypatch, limit, leaf):
