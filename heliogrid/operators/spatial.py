@@ -34,8 +34,8 @@ def _judged(cells: DataFrame) -> DataFrame:
     return cells.withColumn("_segs", F.expr("if(_edge, _segs, filter(_segs, s -> false))"))
 
 
-def polygon_cells(polygons: DataFrame, shape: str = "geometry") -> DataFrame:
-    """The cells (``_level``, ``_cx``, ``_cy``) that each polygon reaches, with their edges: a quadtree of its crowded cells.
+def polygon_cells(polygons: DataFrame, shape: str = "geometry") -> tuple[DataFrame, int, list[int]]:
+    """The cells (``_level``, ``_cx``, ``_cy``) that each polygon reaches, with their edges; their bytes, and the grids in use.
 
     A polygon is put on the grid whose cell is about half its longer side, so it covers few cells whatever its size. A
     cell with more than CELL_EDGES edges is divided in four, up to DIVISIONS times; cells outside of the polygon go.
@@ -47,15 +47,18 @@ def polygon_cells(polygons: DataFrame, shape: str = "geometry") -> DataFrame:
     for axis in "xy":
         span = f"explode(sequence(floor(_box.{axis}0 / pow(2D, _level)), floor(_box.{axis}1 / pow(2D, _level))))"
         cells = cells.withColumn(f"_c{axis}", F.expr(span))
-    cells = _judged(cells.drop("_box").withColumn("_edge", F.lit(True)))
+    cells = stage_table(_judged(cells.drop("_box").withColumn("_edge", F.lit(True))), "cells")
     quarter = "named_struct('_level', _level - 1, '_cx', 2 * _cx + {}, '_cy', 2 * _cy + {})"
     quarters = ", ".join(quarter.format(i, j) for i in (0, 1) for j in (0, 1))
     same = "named_struct('_level', _level, '_cx', _cx, '_cy', _cy)"
-    for _ in range(DIVISIONS):
-        parts = F.expr(f"explode(if(_edge AND size(_segs) > {CELL_EDGES}, array({quarters}), array({same})))")
-        cells = cells.withColumn("_part", parts).withColumns({c: F.col(f"_part.{c}") for c in ("_level", "_cx", "_cy")}).drop("_part")
-        cells = _judged(cells)
-    return cells
+    parts = F.expr(f"explode(if(_edge AND size(_segs) > {CELL_EDGES}, array({quarters}), array({same})))")
+    for left in range(DIVISIONS, -1, -1):
+        # The grids in use are a set of binary exponents, a few dozen at most.
+        size_bytes, levels, most = cells.agg(serialised_bytes(), F.collect_set("_level"), F.max(F.size("_segs"))).first()
+        if not left or (most or 0) <= CELL_EDGES:
+            return cells, size_bytes, levels
+        divided = cells.withColumn("_part", parts).withColumns({c: F.col(f"_part.{c}") for c in ("_level", "_cx", "_cy")}).drop("_part")
+        cells = stage_table(_judged(divided), "cells")
 
 
 def join_within(
@@ -73,10 +76,8 @@ def join_within(
     Cells are broadcast only if measured small; else the points of a cell are spread over
     ``salts`` pieces, so that a crowded cell is no hot key.
     """
-    cells = stage_table(polygon_cells(polygons, shape), "cells")
+    cells, size_bytes, levels = polygon_cells(polygons, shape)
     size = "pow(2D, _level)"
-    # The grids in use are a set of binary exponents, a few dozen at most.
-    size_bytes, levels = cells.agg(serialised_bytes(), F.collect_set("_level")).first()
     small = may_broadcast(size_bytes)
     if small:
         cells = F.broadcast(cells)

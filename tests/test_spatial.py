@@ -86,7 +86,7 @@ def test_crowded_cells_are_divided(spark, monkeypatch):
         ring = [(float(cx + r * math.cos(t)), float(cy + r * math.sin(t))) for r, t in zip(radius, turn)]
         stars.append([[*ring, ring[0]], box(cx - scale / 20, cy - scale / 20, cx + scale / 20, cy + scale / 20)])
     poly = spark.createDataFrame([(i, [s]) for i, s in enumerate(stars)], LAYER)
-    cells = spatial.polygon_cells(poly).selectExpr("cd_mun", "size(_segs) AS n", "_edge", "_level").collect()
+    cells = spatial.polygon_cells(poly)[0].selectExpr("cd_mun", "size(_segs) AS n", "_edge", "_level").collect()
     lowest = {i: min(c["_level"] for c in cells if c.cd_mun == i) for i in range(3)}
     assert all(c.n <= spatial.CELL_EDGES or c["_level"] == lowest[c.cd_mun] for c in cells if c["_edge"])
     assert all(c.n == 0 for c in cells if not c["_edge"]) and sum(not c["_edge"] for c in cells) > 20
