@@ -31,6 +31,13 @@ def strings(column: pa.Array) -> Iterator[str]:
     return (x.decode("utf-8", "replace") for x in utf8(column))
 
 
+def refuse(df: DataFrame, *names: str) -> None:
+    """Raise if ``df`` has a column of one of these names, whatever the case."""
+    taken = {c.lower() for c in df.columns} & {n.lower() for n in names}
+    if taken:
+        raise ValueError(f"columns exist already: {', '.join(sorted(taken))}")
+
+
 def with_row_id(df: DataFrame, name: str = "rid") -> DataFrame:
     """A number for each row, as identities may be null or repeated. Store the result before using it twice."""
     return df.withColumn(name, F.monotonically_increasing_id())

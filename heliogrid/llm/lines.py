@@ -2,12 +2,14 @@
 
 Lines within an edit distance of t share one of t + 1 segments: cut a line into t + 1 even segments, and any line that
 close holds one of them unchanged, at a place that the two lengths bound. Every different line hands on a key for each
-of its segments and for each substring of its own that could be a segment of a line of equal or smaller length.
+of its segments and for each substring of its own that could be a segment of a line of equal or smaller length. How many
+edits a pair may differ in, and so t, follows from the length of the shorter line.
 
 Lines that meet at a key are compared by a sketch of 64 parity bits over pairs of characters, which one edit changes in
-four bits at most. What is left forms clusters; their lines are sent to one task (large ones by blocks, every two of
-which meet), and there every line looks for an earlier one: segments are probed in an index by length, and candidates
-verified with a banded bit-parallel edit distance until one is close enough.
+four bits at most; those of a busy key are dealt to blocks, every two of which meet in a task of their own. What is left
+forms clusters; their lines are sent to one task (large ones by blocks again), and there every line looks for an earlier
+one: segments are probed in an index by length, and candidates verified with a banded bit-parallel edit distance until
+one is close enough.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from heliogrid.llm.common import document_key, slices, strings
+from heliogrid.llm.common import document_key, refuse, slices, strings
 from heliogrid.llm.jaccard import place_clusters
 from heliogrid.llm.links import components
 from heliogrid.session import broadcast_if_small, stage_table
@@ -32,29 +34,43 @@ SEED = 42  # of Spark's xxhash64
 HAS_WORD = r"[^\x20\x09-\x0D]"
 BASE = np.uint64(0x9E3779B97F4A7C15)
 BASE_INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
+EDIT_BITS = np.uint64(7)
 WIDE = 2000  # lines compared with one another at once
 
 
 @dataclass(frozen=True)
 class Closeness:
-    """Edits that lines may differ in, and code points that a line needs for it; shorter lines are compared exactly."""
+    """One edit for every ``per_edit`` code points of the shorter line, and ``edits`` at most (up to seven).
+
+    A task compares up to ``busy`` different lines at one segment key; those of a busier key go to several tasks.
+    """
 
     edits: int = 2
-    min_chars: int = 20
+    per_edit: int = 5
+    busy: int = 16_384
+
+    def allowed(self, length):
+        """Edits that a line of this length, or an array of them, and a line that is not shorter may differ in."""
+        return np.minimum(self.edits, length // self.per_edit)
+
+    def near(self, a: str, b: str) -> bool:
+        return edit_distance_within(a, b, int(self.allowed(min(len(a), len(b)))))
+
 
-    def segments(self, length):
-        """(start, length) of the edits + 1 segments, the last ones longer by one where it does not divide."""
-        parts = self.edits + 1
-        base, more = length // parts, length % parts
-        start = base * 0
-        for i in range(parts):
-            size = base + (more >= parts - i)
-            yield start, size
-            start = start + size
+def segments(length, edits: int):
+    """(start, length) of the edits + 1 segments, the last ones longer by one where it does not divide."""
+    parts = edits + 1
+    base, more = length // parts, length % parts
+    start = base * 0
+    for i in range(parts):
+        size = base + (more >= parts - i)
+        yield start, size
+        start = start + size
 
-    def shifts(self, i: int, delta: int) -> range:
-        """How far from its own place segment i may be found in a line that is ``delta`` longer."""
-        return range(max(-i, delta - (self.edits - i)), min(i, delta + self.edits - i) + 1)
+
+def shifts(i: int, delta: int, edits: int) -> range:
+    """How far from its own place segment i may be found in a line that is ``delta`` longer."""
+    return range(max(-i, delta - (edits - i)), min(i, delta + edits - i) + 1)
 
 
 def edit_distance_within(a: str, b: str, limit: int) -> bool:
@@ -116,17 +132,21 @@ def _keys(lines: list[str], close: Closeness) -> tuple[np.ndarray, np.ndarray]:
     sizes = np.array([len(x) for x in lines], dtype=np.int64)
     starts = np.cumsum(sizes) - sizes
     numbers, keys = [], []
-    for delta in range(close.edits + 1):
-        for i, (at, size) in enumerate(close.segments(sizes - delta)):
-            for shift in close.shifts(i, delta):
-                a = at + shift
-                fits = np.flatnonzero((a >= 0) & (a + size <= sizes) & (sizes - delta >= close.min_chars))
-                first = starts[fits] + a[fits]
-                value = (sums[first + size[fits]] - sums[first]) * back[first]
-                value += ((sizes[fits] - delta) * (close.edits + 1) + i).astype(np.uint64) * np.uint64(0xA0761D6478BD642F)
-                value ^= value >> np.uint64(31)
-                numbers.append(fits)
-                keys.append(value * np.uint64(0xE7037ED1A0B428DB))
+    for edits in range(1, close.edits + 1):
+        for delta in range(edits + 1):
+            some = np.flatnonzero(close.allowed(sizes - delta) == edits)
+            length = sizes[some] - delta
+            for i, (at, size) in enumerate(segments(length, edits)):
+                for shift in shifts(i, delta, edits):
+                    a = at + shift
+                    fits = np.flatnonzero((a >= 0) & (a + size <= sizes[some]))
+                    first = starts[some[fits]] + a[fits]
+                    value = (sums[first + size[fits]] - sums[first]) * back[first]
+                    value += (length[fits] * (close.edits + 1) + i).astype(np.uint64) * np.uint64(0xA0761D6478BD642F)
+                    value = (value ^ (value >> np.uint64(31))) * np.uint64(0xE7037ED1A0B428DB)
+                    numbers.append(some[fits])
+                    # The lowest bits tell how many edits lines that meet here may differ in.
+                    keys.append(value & ~EDIT_BITS | np.uint64(edits))
     return np.concatenate(numbers), np.concatenate(keys)
 
 
@@ -137,7 +157,7 @@ def _signatures(close: Closeness):
             lines, hashes = [], []
             for text in strings(batch.column(0)):
                 for line in text.split("\n"):
-                    if len(line) >= close.min_chars:
+                    if close.edits and len(line) >= close.per_edit:
                         h = line_hash(line)
                         if h not in seen:
                             seen.add(h)
@@ -151,71 +171,121 @@ def _signatures(close: Closeness):
     return run
 
 
+def _stars(h: np.ndarray, sketch: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links (u, v) of different lines that chains of close sketches join: one star for each part of them."""
+    sketch, part = sketch.view(np.uint64), np.arange(len(h))
+    members: dict[int, np.ndarray] = {}
+    for i in range(len(h) - 1):
+        for a in range(i + 1, len(h), WIDE):
+            found = a + np.flatnonzero(np.bitwise_count(sketch[a : a + WIDE] ^ sketch[i]) <= limit)
+            for other in np.unique(part[found]).tolist() if len(found) else ():
+                own = int(part[i])
+                if other != own:
+                    # The smaller part takes the name of the larger one.
+                    one, two = members.pop(own, np.array([own])), members.pop(other, np.array([other]))
+                    name = own if len(one) >= len(two) else other
+                    part[two if name == own else one] = name
+                    members[name] = np.concatenate([one, two])
+    far = np.flatnonzero(part != np.arange(len(h)))
+    return h[part[far]], h[far]
+
+
 def _meet(close: Closeness):
-    """From rows sorted by key: links (u, v) of lines whose sketches are close, one star for each part of a key."""
-    limit = 4 * close.edits
-
-    def stars(h: np.ndarray, sketch: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        h, first = np.unique(h, return_index=True)
-        sketch, part = sketch[first].view(np.uint64), np.arange(len(h))
-        for i in range(len(h) - 1):
-            for a in range(i + 1, len(h), WIDE):
-                found = a + np.flatnonzero(np.bitwise_count(sketch[a : a + WIDE] ^ sketch[i]) <= limit)
-                parts = np.unique(part[found])
-                if len(parts) and (len(parts) > 1 or parts[0] != part[i]):
-                    parts = np.union1d(parts, [part[i]])
-                    part[np.isin(part, parts)] = parts[0]
-        return h[part[part != np.arange(len(h))]], h[part != np.arange(len(h))]
+    """From rows sorted by key and line: links (u, v) of lines whose sketches are close.
+
+    The lines of a busy key come out as they are, as (key, u = v, sketch). No more than a batch and ``busy`` lines are held.
+    """
+
+    def table(u, v, key=None, sketch=None) -> pa.RecordBatch:
+        none = pa.nulls(len(u), pa.int64())
+        return pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64()), none if key is None else pa.array(key), none if sketch is None else pa.array(sketch)], ["u", "v", "key", "sketch"])
+
+    def links(key: np.ndarray, h: np.ndarray, sketch: np.ndarray) -> pa.RecordBatch:
+        edges = np.flatnonzero(np.r_[True, key[1:] != key[:-1], True])
+        u, v = [np.empty(0, dtype=np.int64)], [np.empty(0, dtype=np.int64)]
+        for k in np.flatnonzero(np.diff(edges) > 1).tolist():
+            a, b = edges[k], edges[k + 1]
+            x, y = _stars(h[a:b], sketch[a:b], 4 * int(key[a] & int(EDIT_BITS)))
+            u.append(x)
+            v.append(y)
+        return table(np.concatenate(u), np.concatenate(v))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: tuple[np.ndarray, ...] | None = None
+        held, full = tuple(np.empty(0, dtype=np.int64) for _ in range(3)), None
         for batch in batches:
-            rows = tuple(batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
+            rows = tuple(np.concatenate([x, batch.column(i).to_numpy()]) for i, x in enumerate(held))
             if not len(rows[0]):
                 continue
-            if held is not None and held[0][0] == rows[0][0]:
-                rows = tuple(np.concatenate(pair) for pair in zip(held, rows, strict=True))
-            key, h, sketch = rows
-            edges = np.flatnonzero(np.r_[True, key[1:] != key[:-1], True])
-            u, v = [np.empty(0, dtype=np.int64)], [np.empty(0, dtype=np.int64)]
-            for k in np.flatnonzero(np.diff(edges) > 1).tolist():
-                a, b = edges[k], edges[k + 1]
-                x, y = stars(h[a:b], sketch[a:b])
-                u.append(x)
-                v.append(y)
-            # The last key may go on in the next batch, where it is looked at again.
-            held = tuple(x[edges[-2] :] for x in rows)
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(u)), pa.array(np.concatenate(v))], ["u", "v"])
+            new = np.r_[True, (rows[0][1:] != rows[0][:-1]) | (rows[1][1:] != rows[1][:-1])]
+            key, h, sketch = (x[new] for x in rows)
+            if full is not None and key[0] == full:
+                n = int(np.searchsorted(key, full, side="right"))
+                yield table(h[:n], h[:n], key[:n], sketch[:n])
+                key, h, sketch = key[n:], h[n:], sketch[n:]
+            starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.empty(0, dtype=np.int64)
+            sizes = np.diff(np.r_[starts, len(key)])
+            busy = np.repeat(sizes > close.busy, sizes)
+            if busy.any():
+                yield table(h[busy], h[busy], key[busy], sketch[busy])
+            # The last key may go on in the next batch.
+            last = starts[-1] if len(starts) else 0
+            full = key[-1] if len(key) and busy[-1] else full
+            done = ~busy & (np.arange(len(key)) < last)
+            yield links(key[done], h[done], sketch[done])
+            left = ~busy & (np.arange(len(key)) >= last)
+            held = key[left], h[left], sketch[left]
+        yield links(*held)
 
     return run
 
 
+def _links(keys: DataFrame, close: Closeness) -> DataFrame:
+    """Links (u, v) of all lines that meet at a key and have close sketches, or chains of them.
+
+    The lines of a busy key are dealt to blocks of half of ``busy``, and block i meets block j in a task of its own.
+    """
+    sorted_ = keys.repartition("key").sortWithinPartitions("key", "h")
+    met = stage_table(sorted_.mapInArrow(_meet(close), "u bigint, v bigint, key bigint, sketch bigint"), "meetings")
+    rows = met.filter("key IS NOT NULL").select("key", F.col("u").alias("h"), "sketch").distinct()
+    blocks = rows.groupBy("key").agg(F.ceil(2 * F.count(F.lit(1)) / F.lit(close.busy)).cast("int").alias("blocks"))
+    dealt = rows.join(blocks, "key").withColumn("block", F.pmod(F.xxhash64("h"), "blocks").cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).filter("other != block")
+    dealt = dealt.select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "h", "sketch")
+
+    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
+        u, v = _stars(pdf["h"].to_numpy(), pdf["sketch"].to_numpy(), 4 * int(pdf["key"].iloc[0] & int(EDIT_BITS)))
+        return pd.DataFrame({"u": u, "v": v})
+
+    return met.filter("key IS NULL").select("u", "v").unionByName(dealt.groupBy("key", "i", "j").applyInPandas(compare, "u bigint, v bigint"))
+
+
 def _search(close: Closeness):
     """The lines of a task that have an earlier line close to them."""
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.drop_duplicates("c").sort_values(["no_id", "doc_id", "k", "pos"], na_position="last")
         lines, names = rows["line"].tolist(), rows["c"].tolist()
-        sketch = sketches(lines)
+        sketch, sizes = sketches(lines), np.array([len(x) for x in lines], dtype=np.int64)
         index: dict[tuple, list[int]] = defaultdict(list)
         found = []
         for n, line in enumerate(lines):
             candidates: set[int] = set()
             for delta in range(-close.edits, close.edits + 1):
                 length = len(line) - delta
-                if length < close.min_chars:
+                edits = int(close.allowed(length))
+                if edits < abs(delta):
                     continue
-                for i, (at, size) in enumerate(close.segments(length)):
-                    for shift in close.shifts(i, delta):
+                for i, (at, size) in enumerate(segments(length, edits)):
+                    for shift in shifts(i, delta, edits):
                         a = at + shift
                         if 0 <= a and a + size <= len(line):
                             candidates.update(index.get((length, i, line[a : a + size]), ()))
             if candidates:
-                some = np.fromiter(candidates, dtype=np.int64, count=len(candidates))
-                some = np.sort(some[np.bitwise_count(sketch[some] ^ sketch[n]) <= 4 * close.edits])
-                if any(edit_distance_within(lines[j], line, close.edits) for j in some.tolist()):
+                some = np.sort(np.fromiter(candidates, dtype=np.int64, count=len(candidates)))
+                limit = 4 * close.allowed(np.minimum(sizes[some], len(line)))
+                if any(close.near(lines[j], line) for j in some[np.bitwise_count(sketch[some] ^ sketch[n]) <= limit].tolist()):
                     found.append(names[n])
-            for i, (at, size) in enumerate(close.segments(len(line))):
+            for i, (at, size) in enumerate(segments(len(line), int(close.allowed(len(line))))):
                 index[(len(line), i, line[at : at + size])].append(n)
         return pd.DataFrame({"h": pd.Series(found, dtype="int64")})
 
@@ -251,8 +321,7 @@ def removed_lines(docs: DataFrame, close: Closeness = Closeness(), text: str = "
     first = stage_table(occurs.groupBy("h").agg(F.min(place).alias("at"), F.first("n").alias("n")).select("h", "n", "at.*"), "first")
 
     keys = rows.select("text").mapInArrow(_signatures(close), "key bigint, h bigint, sketch bigint")
-    met = keys.repartition("key").sortWithinPartitions("key").mapInArrow(_meet(close), "u bigint, v bigint")
-    clusters = components(met).toDF("h", "cluster").join(first.select("h", "n"), "h").select(F.col("h").alias("c"), "n", "cluster")
+    clusters = components(_links(keys, close)).toDF("h", "cluster").join(first.select("h", "n"), "h").select(F.col("h").alias("c"), "n", "cluster")
     placed = place_clusters(stage_table(clusters, "clusters"))
     where = first.select(F.col("h").alias("c"), "no_id", "doc_id", "k", "pos")
     gathered = _texts_of(rows, stage_table(placed.join(where, "c"), "gathered"))
@@ -266,11 +335,14 @@ def removed_lines(docs: DataFrame, close: Closeness = Closeness(), text: str = "
 def dedup_lines(docs: DataFrame, close: Closeness = Closeness(), text: str = "text", doc_id: str = "doc_id", counts: str | None = None) -> DataFrame:
     """``docs`` without the lines that repeat an earlier one; all rows and columns stay.
 
-    Lines end at line feeds. A line without a word is never removed. Lines of fewer code points than ``min_chars`` are
-    compared exactly. Null texts stay null; a text that loses all its lines with words keeps the rest, if only an empty
+    Lines end at line feeds. A line without a word is never removed. Two lines repeat one another if they differ in no
+    more edits than the shorter one allows: with two edits and five code points an edit, lines of up to four code points
+    are compared exactly, those of five to nine with one edit, longer ones with two. Null texts stay null; a text that loses all its lines with words keeps the rest, if only an empty
     string. Rows that agree in doc_id and text are one document and lose the same lines. An empty table gives an empty
-    table. ``counts`` names a column to add with the number of lines removed; _k and _removed may not occur.
+    table. ``counts`` names a column to add with the number of lines removed. Raises ValueError if _k, _removed or the name in
+    ``counts`` is a column of ``docs``.
     """
+    refuse(docs, "_k", "_removed", *filter(None, [counts]))
     goes, _ = broadcast_if_small(removed_lines(docs, close, text, doc_id).select(F.col("k").alias("_k"), F.col("removed").alias("_removed")))
     body = F.col(f"`{text}`")
     rows = docs.withColumn("_k", document_key(F.col(f"`{doc_id}`"), body)).join(goes, "_k", "left")

@@ -8,6 +8,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -89,16 +90,37 @@ def test_line_dedup(spark):
     docs += [(i, "\n".join(changed(r.choice(base)) for _ in range(r.randrange(1, 7)))) for i in range(5, 90)]
     df = spark.createDataFrame(docs, PAIR).repartition(3)
     keys = {(x[0], x[1]): x[2] for x in df.select("doc_id", "text", document_key(F.col("doc_id"), F.col("text"))).collect()}
-    close, before, gone = lines.Closeness(), [], set()
-    for d, t in sorted(set(docs), key=lambda x: (x[0] is None, x[0] or 0, keys[x])):
-        for p, line in enumerate((t or "").split("\n")):
-            if line.strip():
-                near = len(line) >= close.min_chars
-                if any(line == x or near and len(x) >= close.min_chars and lines.edit_distance_within(x, line, close.edits) for x in before):
-                    gone.add((d, t, p))
-                before.append(line)
-    want = [(d, None if t is None else "\n".join(x for p, x in enumerate(t.split("\n")) if (d, t, p) not in gone)) for d, t in docs]
-    assert _rows(lines.dedup_lines(df)) == sorted(want, key=repr)
+    # With 8 lines a task at a key, most keys go to several tasks.
+    for close in (lines.Closeness(), lines.Closeness(busy=8), lines.Closeness(per_edit=1, busy=8), lines.Closeness(edits=3, per_edit=4), lines.Closeness(edits=0)):
+        before, gone = [], set()
+        for d, t in sorted(set(docs), key=lambda x: (x[0] is None, x[0] or 0, keys[x])):
+            for p, line in enumerate((t or "").split("\n")):
+                if line.strip():
+                    if any(_distance(x, line) <= min(close.edits, min(len(x), len(line)) // close.per_edit) for x in before):
+                        gone.add((d, t, p))
+                    before.append(line)
+        want = [(d, None if t is None else "\n".join(x for p, x in enumerate(t.split("\n")) if (d, t, p) not in gone)) for d, t in docs]
+        assert _rows(lines.dedup_lines(df, close)) == sorted(want, key=repr)
+    for taken in ("_k", "_removed", "N"):
+        with pytest.raises(ValueError, match="exist already"):
+            lines.dedup_lines(df.withColumn(taken, F.lit(1)), counts="n")
+
+
+def test_lines_at_a_busy_key():
+    """Rows of a busy key leave as they are, whatever the batches; the others meet."""
+    r = random.Random(3)
+    close = lines.Closeness(busy=10)
+    words = ["".join(r.choice("abcdefgh") for _ in range(20)) for _ in range(40)]
+    sketch = lines.sketches(words + [w[:-1] + "x" for w in words]).view(np.int64)
+    rows = [(k * 8 + 2, h, sketch[h]) for k, n in enumerate((3, 40, 2, 10, 11, 1)) for i in range(n) for h in (i, 40 + i)]
+    rows = sorted(rows + rows[::5])
+    busy = {(k, h) for k, h, _ in rows if k in (10, 26, 34)}
+    for size in (1, 7, 50, 1000):
+        batches = [pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*rows[i : i + size], strict=True)], ["key", "h", "sketch"]) for i in range(0, len(rows), size)]
+        out = [x for b in lines._meet(close)(iter(batches)) for x in b.to_pylist()]
+        assert {(x["key"], x["u"]) for x in out if x["key"] is not None} == busy
+        links = {tuple(sorted((x["u"], x["v"]))) for x in out if x["key"] is None}
+        assert {(i, 40 + i) for i in range(3)} <= links and all(max(a, b) % 40 < 10 for a, b in links)
 
 
 def test_packing(spark):
