@@ -16,7 +16,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that repeat an earlier one, up to two edits, go; documents stay, if need be with an empty text."""
+    """Lines that repeat an earlier one, up to an edit in five code points and two in all, go; documents stay, if need be with an empty text."""
     return _sized(lines.dedup_lines(docs))
 
 
