@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType
 
-from heliogrid.llm.common import document_key, slices, utf8
+from heliogrid.llm.common import document_key, refuse, slices, utf8
 from heliogrid.llm.links import components
 from heliogrid.session import broadcast_if_small, stage_table
 
@@ -461,8 +461,9 @@ def keep_one_each(docs: DataFrame, sim: Similarity = Similarity(), text: str = "
     """``docs`` with one row of each component: that of the smallest doc_id (null last).
 
     Rows without shingles all stay. Of rows that agree in doc_id and text one stays. Other cases as in
-    :func:`near_duplicates`; all columns are kept, and _k may not occur.
+    :func:`near_duplicates`; all columns are kept. Raises ValueError if _k is one of them.
     """
+    refuse(docs, "_k")
     rows, linked = _classes(docs, sim, text, doc_id)
     small, _ = broadcast_if_small(_grouped(rows, linked).select("c", "component"))
     members = stage_table(rows.join(small, "c").filter("n > 0").select("component", "k", "doc_id"), "members")

@@ -5,12 +5,16 @@ How much is estimated from the whole corpus: with n_te documents where term t st
 with t, n_e with e and n documents, the posterior is n_te / n_t and the information log2(n_te * n / (n_t * n_e)) bits.
 Terms above the thresholds are removed, or generalised where the posterior is lower. Identifiers mostly occur once or
 twice, so no number of texts is asked for; against chance stands the evidence, the likelihood ratio (in bits) of what
-was seen to t and e being independent. One text gives the bits of a single meeting, further texts add to it.
+was seen to t and e being independent. As every term near an identifier is a test of its own, the evidence must exceed
+its threshold by the logarithm of all pairs tested. One text gives the bits of a single meeting, which is what chance
+gives to any rare word; a second text with the same pair mostly is enough.
 """
 
 from __future__ import annotations
 
+import math
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -20,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
-from heliogrid.llm.common import slices, strings
+from heliogrid.llm.common import refuse, slices, strings
 from heliogrid.session import broadcast_if_small, stage_table
 
 KINDS = ("email", "ip", "card", "phone")
@@ -33,12 +37,13 @@ LOCAL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz012
 ADDRESS = re.compile(r"(?<![0-9])[0-9]+(?:\.[0-9]+){3}")
 CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
-TERM = re.compile(r"[^\W\d_]{3,}")
+SPACED = re.compile(r"\S+")
+TERM = re.compile(r"[^\W_]+")
 
 
 @dataclass(frozen=True)
 class Thresholds:
-    """Words of context on either side; posterior, bits and bits of evidence from which a term discloses."""
+    """Words of context on either side; posterior, bits and bits of evidence beyond chance from which a term discloses."""
 
     window: int = 8
     generalise: float = 0.5
@@ -91,12 +96,12 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return out
 
 
-def _near(text: str, start: int, end: int, window: int) -> set[str]:
-    """Terms among the ``window`` words before and after a span, of the line it is in."""
-    left = text[text.rfind("\n", 0, start) + 1 : start].split(" ")[-window:]
-    stop = text.find("\n", end)
-    right = text[end : stop if stop >= 0 else len(text)].split(" ")[:window]
-    return {w.lower() for part in (*left, *right) for w in TERM.findall(part)}
+def _near(text: str, words: list[tuple[int, int]], start: int, end: int, window: int) -> set[str]:
+    """Terms of the ``window`` words before and after a span, and of the rest of a word that it is a part of."""
+    before, behind = bisect_left(words, (start,)), bisect_left(words, (end,))
+    left = text[words[max(0, before - window)][0] : start] if before else ""
+    right = text[end : words[min(len(words), behind + window) - 1][1]]
+    return {w.lower() for part in (left, right) for w in TERM.findall(part)}
 
 
 def _contexts(window: int):
@@ -105,9 +110,11 @@ def _contexts(window: int):
         out = []
         for t in strings(text):
             found: dict[str, set[str]] = {}
-            for kind, a, b in base_spans(t):
+            spans = base_spans(t)
+            words = [m.span() for m in SPACED.finditer(t)] if spans else []
+            for kind, a, b in spans:
                 value = t[a:b].lower() if kind in ("email", "ip") else "".join(filter(str.isdigit, t[a:b]))
-                found.setdefault(f"{kind}:{value}", set()).update(_near(t, a, b, window))
+                found.setdefault(f"{kind}:{value}", set()).update(_near(t, words, a, b, window))
             out.append([{"entity": e, "terms": sorted(w)} for e, w in found.items()])
         return pa.array(out, pa.list_(pa.struct([("entity", pa.string()), ("terms", pa.list_(pa.string()))])))
 
@@ -165,7 +172,8 @@ def disclosing_terms(docs: DataFrame, text: str = "text", thresholds: Thresholds
     apart = F.col("n_t") - F.col("n_te")
     against = F.when(apart == 0, 0.0).otherwise(apart * (F.log2(apart / F.col("n_t")) - F.log2(1 - F.col("n_e") / F.lit(float(n)))))
     evidence = (F.col("n_te") * F.col("bits") + against) * F.col("support") / F.col("n_te")
-    judged = judged.filter((F.col("posterior") >= thresholds.generalise) & (F.col("bits") >= thresholds.bits) & (evidence >= thresholds.evidence))
+    enough = thresholds.evidence + math.log2(max(pairs.count(), 1))
+    judged = judged.filter((F.col("posterior") >= thresholds.generalise) & (F.col("bits") >= thresholds.bits) & (evidence >= enough))
     action = F.when(F.col("posterior") >= thresholds.remove, "remove").otherwise("generalise")
     return judged.select("term", "entity", "n_te", "n_t", "n_e", "posterior", "bits", action.alias("action"))
 
@@ -210,11 +218,10 @@ def with_spans(docs: DataFrame, text: str = "text", spans: str = "spans", thresh
     """Add an array of (kind, start, end): identifiers by KINDS, then terms by TERM_KINDS, each by start.
 
     Positions are code points of the whole text, the end excluded. Null and empty texts have none. Repeated rows are
-    documents of their own in the counts, but not in the evidence. An empty table gives an empty table. ``spans`` must
-    not be a column of ``docs``; _h, _actions and _base may not occur.
+    documents of their own in the counts, but not in the evidence. An empty table gives an empty table. Raises
+    ValueError if ``spans``, _h, _actions or _base is a column of ``docs``.
     """
-    if spans in docs.columns:
-        raise ValueError(f"column {spans} exists, choose another name for the spans")
+    refuse(docs, spans, "_h", "_actions", "_base")
     body = F.col(f"`{text}`")
     known, _ = broadcast_if_small(stage_table(disclosing_terms(docs, text, thresholds).groupBy("term").agg(F.max("action").alias("action")), "disclosing"))
     # Terms go back to the texts by the texts' hash. Texts that share one also share terms, which changes nothing.

@@ -1,6 +1,7 @@
 """Operators that SQL cannot state, against brute force on small inputs."""
 
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -104,6 +105,8 @@ def test_line_dedup(spark):
     for taken in ("_k", "_removed", "N"):
         with pytest.raises(ValueError, match="exist already"):
             lines.dedup_lines(df.withColumn(taken, F.lit(1)), counts="n")
+    with pytest.raises(ValueError, match="exist already"):
+        jaccard.keep_one_each(df.withColumn("_K", F.lit(1)))
 
 
 def test_lines_at_a_busy_key():
@@ -174,13 +177,50 @@ def test_disclosing_terms(spark):
     assert clean[0] == "the report of monday  goes to [email] today" and clean[10] == docs[4][1]
 
 
-def test_identifiers_of_one_or_two_texts_disclose(spark):
+def test_identifiers_of_two_texts_disclose(spark):
+    """A single meeting is no more than chance gives; two texts with the same rare pair are."""
     docs = [(0, "zanzibar of joe@corp.example.com the end"), (1, "the quagga +1 (017) 555-7713 the end"), (2, "the quagga +1 (017) 555-7713 an end")]
     docs += [(i, "the end of an other text") for i in range(10, 60)]
     df = spark.createDataFrame(docs, PAIR)
-    assert {(r.term, r.entity, r.n_te, r.n_t) for r in privacy.disclosing_terms(df).collect()} == {("zanzibar", "email:joe@corp.example.com", 1, 1), ("quagga", "phone:10175557713", 2, 2)}
+    assert {(r.term, r.entity, r.n_te, r.n_t) for r in privacy.disclosing_terms(df).collect()} == {("quagga", "phone:10175557713", 2, 2)}
     spans = {r.doc_id: [(s["kind"], s["start"], s["end"]) for s in r.spans] for r in privacy.with_spans(df).collect()}
-    assert spans[0] == [("email", 12, 32), ("remove", 0, 8)] and spans[1] == [("phone", 11, 28), ("remove", 4, 10)] and not spans[10]
+    assert spans[0] == [("email", 12, 32)] and spans[1] == [("phone", 11, 28), ("remove", 4, 10)] and not spans[10]
+    for taken in ("_h", "_ACTIONS", "_base", "spans"):
+        with pytest.raises(ValueError, match="exist already"):
+            privacy.with_spans(df.withColumn(taken, F.lit(1)))
+
+
+def test_terms_of_a_corpus(spark):
+    """The whole term step on random texts: windows across lines, copies, terms of one letter or with digits."""
+    r = random.Random(11)
+    common, rare = [f"w{i}" for i in range(30)], ["q", "X7", "zanzibar", "é", "4471"]
+    docs = [(None, None), (0, ""), (1, "a b@c.de"), (2, "b@c.de")]
+    for i in range(3, 300):
+        words = [r.choice(common) for _ in range(r.randrange(1, 40))]
+        if i % 6 == 0:
+            k = r.randrange(5)
+            at = r.randrange(len(words) + 1)
+            words[at:at] = [r.choice([rare[k], rare[k], "w1"]), f"p{k}@c.de", *r.choices([rare[k], "w1"], k=r.randrange(2))]
+        docs.append((i, "".join(w + r.choice([" ", "  ", "\n"]) for w in words)))
+    docs += [(300 + i, docs[r.randrange(3, 300)][1]) for i in range(20)]
+    t = privacy.Thresholds(window=3, evidence=1.0)
+
+    texts = [(d[1] or "").split() for d in docs]
+    near = [{(w.lower(), "email:" + x) for at, x in enumerate(ws) if "@" in x for w in (*ws[max(0, at - 3) : at], *ws[at + 1 : at + 4])} for ws in texts]
+    has = [{x.lower() for w in ws for x in re.findall(r"[^\W_]+", w)} for ws in texts]
+    pairs = {x for some in near for x in some}
+    want, n = set(), len(docs)
+    for w, e in pairs:
+        n_te, n_t = sum((w, e) in x for x in near), sum(w in x for x in has)
+        n_e, support = sum(e[6:] in ws for ws in texts), len({d[1] for d, x in zip(docs, near, strict=True) if (w, e) in x})
+        p, apart = n_te / n_t, n_t - n_te
+        bits = math.log2(p * n / n_e)
+        against = apart * (math.log2(apart / n_t) - math.log2(1 - n_e / n)) if apart else 0.0
+        if p >= 0.5 and bits >= 4 and (n_te * bits + against) * support / n_te >= 1 + math.log2(len(pairs)):
+            want.add((w, e, n_te, n_t, n_e, "remove" if p >= 0.8 else "generalise"))
+    assert 3 <= len(want) < len(pairs) / 4
+    got = privacy.disclosing_terms(spark.createDataFrame(docs, PAIR).repartition(3), thresholds=t).collect()
+    assert {(x.term, x.entity, x.n_te, x.n_t, x.n_e, x.action) for x in got} == want and len(got) == len(want)
 
 
 def test_wrappers_keep_their_article():
