@@ -177,8 +177,10 @@ def test_disclosing_terms(spark):
     assert clean[0] == "the report of monday  goes to [email] today" and clean[10] == docs[4][1]
 
 
-def test_identifiers_of_two_texts_disclose(spark):
-    """A single meeting is no more than chance gives; two texts with the same rare pair are."""
+def test_identifiers_of_one_or_two_texts_disclose(spark):
+    """One text is enough where few pairs are tested among many documents; otherwise a second one is needed."""
+    few = spark.createDataFrame([(0, "zanzibar joe@corp.example.com"), *((i, "an other text") for i in range(1, 200))], PAIR)
+    assert [(r.term, r.n_te, r.action) for r in privacy.disclosing_terms(few).collect()] == [("zanzibar", 1, "remove")]
     docs = [(0, "zanzibar of joe@corp.example.com the end"), (1, "the quagga +1 (017) 555-7713 the end"), (2, "the quagga +1 (017) 555-7713 an end")]
     docs += [(i, "the end of an other text") for i in range(10, 60)]
     df = spark.createDataFrame(docs, PAIR)
