@@ -8,7 +8,7 @@ gram, and only where it occurs twice:
    bytes of these. Anchors meet by gram. Where two runs are equal, all their strings are repeated.
 2. What is left are the ends of repeated passages, where a gram is repeated but the run is not. These anchors fetch the
    bytes around them. Suffixes to the right of the gram, and reversed prefixes to the left, are each put in order: a
-   column sort by words of eight bytes to a shallow depth (in place of a multikey quicksort), then a blind trie for each group still tied there.
+   multikey quicksort by words of eight bytes to a shallow depth, then a blind trie for each group still tied there.
    Neighbours' common prefixes then tell for each start which strings are equal.
 3. The spans of each different text are merged, and the rest of its bytes are kept.
 
@@ -31,7 +31,7 @@ from heliogrid.session import broadcast_if_small, stage_table
 LENGTH = 200
 GRAM = 32
 BACK = LENGTH - GRAM  # most bytes of a string before its anchor
-SHALLOW = 32  # bytes that the column sort orders by
+SHALLOW = 32  # bytes that the quicksort orders by
 PIECE = 1 << 22  # starts of strings handled at once
 CHUNK = 40_000  # anchors whose surroundings are sorted at once, about
 
@@ -183,13 +183,53 @@ def blind_trie_order(strings: list[bytes]) -> list[int]:
     return order
 
 
+def multikey_quicksort(groups: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int]]]:
+    """Order of the rows by group and then by words, and the ranges of that order that agree in all words.
+
+    ``groups`` ascend. A segment is parted in three by the word of its pivot, the median of three rows: the rows below
+    and above it are parted again by the same word, those equal to it by the next one. All open segments take a round
+    together, so many small groups cost as few steps as a large one.
+    """
+    order = np.arange(len(groups))
+    start = np.flatnonzero(np.r_[True, groups[1:] != groups[:-1]][: len(groups)])
+    size = np.diff(np.r_[start, len(groups)])
+    start, size = start[size > 1], size[size > 1]
+    level = np.zeros(len(start), dtype=np.int64)
+    ties: list[tuple[int, int]] = []
+    while len(start):
+        begin = np.cumsum(size) - size
+        segment = np.repeat(np.arange(len(start)), size)
+        at = np.arange(len(segment)) + (start - begin)[segment]
+        rows = order[at]
+        word = words[rows, level[segment]]
+        pivot = np.sort([word[begin], word[begin + size // 2], word[begin + size - 1]], axis=0)[1][segment]
+        side = 1 + (word > pivot).astype(np.int64) - (word < pivot)
+        count = np.bincount(3 * segment + side, minlength=3 * len(start))
+        first = np.cumsum(count) - count
+        place = np.empty(len(segment), dtype=np.int64)
+        for s in range(3):
+            here = np.flatnonzero(side == s)
+            before = np.cumsum(count[s::3]) - count[s::3]
+            place[here] = np.arange(len(here)) + (first[s::3] - before)[segment[here]]
+        order[at[place]] = rows
+        deeper = np.repeat(level, 3)
+        deeper[1::3] += 1
+        left = count > 1
+        start, size, level = at[first[left]], count[left], deeper[left]
+        done = level == words.shape[1]
+        ties += zip(start[done].tolist(), (start + size)[done].tolist(), strict=True)
+        start, size, level = start[~done], size[~done], level[~done]
+    return order, ties
+
+
 def deep_shallow_sort(groups: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Order of the rows (bytes) within their groups, and how many bytes each shares with the one before (-1: group)."""
-    words = np.ascontiguousarray(rows[:, :SHALLOW]).view(">u8")
-    order = np.lexsort((*words.T[::-1], groups))
-    tied = (groups[order][1:] == groups[order][:-1]) & (words[order][1:] == words[order][:-1]).all(axis=1)
-    edges = np.flatnonzero(np.diff(np.r_[False, tied, False].astype(np.int8)))
-    for a, b in zip(edges[::2].tolist(), (edges[1::2] + 1).tolist(), strict=True):
+    """Order of the rows (bytes) within their groups, and how many bytes each shares with the one before (-1: group).
+
+    ``groups`` ascend.
+    """
+    words = np.ascontiguousarray(rows[:, :SHALLOW]).view(">u8").astype(np.uint64)
+    order, ties = multikey_quicksort(groups, words)
+    for a, b in ties:
         some = order[a:b]
         order[a:b] = some[blind_trie_order([x.tobytes() for x in rows[some]])]
     ordered = rows[order]
@@ -255,17 +295,14 @@ def _spans_of_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
     for batch in batches:
         if not batch.num_rows:
             continue
+        h = batch.column(0).to_numpy()
+        # The last gram may go on in the next batch; what is held of it is not touched until it ends.
+        last = int(np.searchsorted(h, h[-1], side="left"))
+        if size + last > CHUNK and (last or held[-1].column(0)[-1].as_py() != h[0]):
+            yield solve(pa.concat_tables([*held, pa.Table.from_batches([batch.slice(0, last)])]).combine_chunks())
+            held, size, batch = [], 0, batch.slice(last)
         held.append(pa.Table.from_batches([batch]))
         size += batch.num_rows
-        if size > CHUNK:
-            rows = pa.concat_tables(held).combine_chunks()
-            h = rows.column(0).to_numpy()
-            # The last gram may go on in the next batch.
-            whole = int(np.searchsorted(h, h[-1], side="left"))
-            if whole:
-                yield solve(rows.slice(0, whole))
-            held = [rows.slice(whole)]
-            size = held[0].num_rows
     if size:
         yield solve(pa.concat_tables(held).combine_chunks())
 

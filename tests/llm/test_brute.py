@@ -60,6 +60,37 @@ def test_blind_trie_sorts():
     assert [strings[i] for i in suffix.blind_trie_order(strings)] == sorted(strings)
 
 
+@pytest.mark.parametrize("letters", [1, 2, 3, 1000])
+def test_multikey_quicksort(letters):
+    r = np.random.default_rng(letters)
+    groups = np.sort(r.integers(0, 40, 3000))
+    words = r.integers(0, letters, (3000, 3)).astype(np.uint64) + np.uint64((1 << 64) - 1000)
+    order, ties = suffix.multikey_quicksort(groups, words)
+    keys = [(g, *w) for g, w in zip(groups.tolist(), words.tolist(), strict=True)]
+    assert sorted(order.tolist()) == list(range(3000))
+    assert [keys[i] for i in order] == sorted(keys)
+    counts = Counter(keys)
+    assert sorted(b - a for a, b in ties) == sorted(n for n in counts.values() if n > 1)
+    assert all(len({keys[i] for i in order[a:b]}) == 1 for a, b in ties)
+    for n in (0, 1):
+        assert suffix.multikey_quicksort(groups[:n], words[:n])[0].tolist() == list(range(n))
+
+
+def test_a_gram_over_many_batches(monkeypatch):
+    """The rows are the same however the surroundings are cut into batches."""
+    monkeypatch.setattr(suffix, "CHUNK", 20)
+    r = random.Random(5)
+    rows = sorted((h, i, 200, 168 * 256, suffix.PART, bytes(r.choice(b"ab") for _ in range(4)) * 84) for i, h in enumerate([1] * 9 + [2] * 150 + [3] * 3 + [4] * 60))
+    names = ["h", "c", "at", "reach", "kind", "around"]
+    whole = pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*rows, strict=True)], names)
+    want = None
+    for size in (1000, 7, 1, 40):
+        parts = [whole.slice(a, size) for a in range(0, len(rows), size)]
+        got = sorted(tuple(x.values()) for b in suffix._spans_of_parts(iter(parts)) for x in b.to_pylist())
+        assert got and got == (want or got)
+        want = got
+
+
 def _distance(a, b):
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
@@ -331,6 +362,21 @@ def test_url_rules_by_index_and_join(spark):
         assert _rows(urls.filter_urls(pages, rules, by_join=by_join).select("page_id", "rule", "verdict")) == want
 
 
+def test_heap_merge_counts_lists():
+    r = random.Random(4)
+    sets = [np.unique(np.array([r.randrange(80) for _ in range(r.randrange(1, 60))], dtype=np.uint64)) for _ in range(200)]
+    index = jaccard.Index(sets)
+    for need in (1, 2, 5, 20):
+        query = np.unique(np.array([r.randrange(80) for _ in range(30)], dtype=np.uint64))
+        at = np.searchsorted(index.tokens, query)
+        found, hits = index.merge(index.bounds[at], index.bounds[at + 1] - index.bounds[at], need)
+        both = [len(np.intersect1d(query, s)) for s in sets]
+        assert list(zip(found.tolist(), hits.tolist(), strict=True)) == [(i, n) for i, n in enumerate(both) if n >= need]
+    for query in sets[:20]:
+        want = [i for i, s in enumerate(sets) if 100 * len(np.intersect1d(query, s)) >= 50 * len(np.union1d(query, s))]
+        assert index.search(query, jaccard.Similarity(5, 50)).tolist() == want
+
+
 def test_busy_shingles_take_the_same_links(spark, monkeypatch):
     r = random.Random(2)
     base = [[r.choice("abcdefghij") * 3 + str(r.randrange(50)) for _ in range(60)] for _ in range(4)]
