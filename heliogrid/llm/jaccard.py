@@ -10,8 +10,8 @@ on classes. With a threshold t, linked sets of sizes a <= b share at least t * b
    the shingle compares them and hands on one star for each part it finds, so what is handed on grows with the classes,
    not the pairs. Classes joined in this way are clusters, whose sets are sent to one task.
 3. There the sets become inverted lists and are looked up by DivideSkip: the longest lists are set aside, the short ones
-   are merged, and sets that occur often enough in these are probed for in the long lists by binary search. Sets that
-   reach the required overlap are linked. (Merging is one vectorised count of all entries instead of a heap.)
+   are merged by a heap that skips what cannot occur often enough in them, and the sets left are probed for in the long
+   lists by binary search. Sets that reach the required overlap are linked.
 4. Sets already linked to one another are not searched again; only links between different parts matter. A cluster too
    large for a task is cut into blocks, and every two blocks meet in a task.
 
@@ -20,9 +20,12 @@ Nothing is sampled or capped: pairs, clusters and blocks only decide where a lin
 
 from __future__ import annotations
 
+from array import array
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
 from hashlib import blake2b
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pandas as pd
@@ -286,9 +289,39 @@ class Index:
         order = np.argsort(tokens, kind="stable")
         tokens, self.owners = tokens[order], owners[order]
         first = np.flatnonzero(np.r_[True, tokens[1:] != tokens[:-1]]) if len(tokens) else np.empty(0, dtype=np.int64)
+        self.entries = array("I", self.owners.astype(np.uint32).tobytes())
         self.tokens = tokens[first]
         self.bounds = np.r_[first, len(tokens)]
 
+    def merge(self, starts: np.ndarray, lengths: np.ndarray, need: int) -> tuple[np.ndarray, np.ndarray]:
+        """Sets that stand in ``need`` of the lists or more, ascending, and in how many.
+
+        The heap holds the next entry of each list. If too few lists agree in the smallest one, the ``need`` - 1 lists
+        of the smallest entries skip to the entry that is left on top: no set before it can reach ``need``.
+        """
+        owners = self.entries
+        heap = [(owners[a], a, a + n) for a, n in zip(starts.tolist(), lengths.tolist(), strict=True)]
+        heapify(heap)
+        found, hits = [], []
+        while len(heap) >= need:
+            least = heap[0][0]
+            taken = []
+            while heap and heap[0][0] == least:
+                taken.append(heappop(heap))
+            if len(taken) >= need:
+                found.append(least)
+                hits.append(len(taken))
+                goal = least + 1
+            else:
+                while len(taken) < need - 1:
+                    taken.append(heappop(heap))
+                goal = heap[0][0]
+            for _, a, b in taken:
+                a = bisect_left(owners, goal, a + 1, b) if owners[a] < goal else a
+                if a < b:
+                    heappush(heap, (owners[a], a, b))
+        return np.array(found, dtype=np.int64), np.array(hits, dtype=np.int64)
+
     def search(self, query: np.ndarray, sim: Similarity) -> np.ndarray:
         """Numbers of the sets that are similar to the query: T-occurrence search by DivideSkip."""
         least = sim.least_overlap(len(query))
@@ -301,12 +334,7 @@ class Index:
         starts, lengths = starts[order], lengths[order]
         # Long lists cost a binary search per candidate, short ones a step per entry.
         n_long = min(least - 1, int(least / (0.05 * np.log2(max(2, lengths[0])) + 1)))
-        short, count = starts[n_long:], lengths[n_long:]
-        ends = np.cumsum(count)
-        entries = np.arange(ends[-1]) + np.repeat(short - (ends - count), count)
-        hits = np.bincount(self.owners[entries], minlength=len(self.sets))
-        found = np.flatnonzero(hits >= least - n_long)
-        hits = hits[found]
+        found, hits = self.merge(starts[n_long:], lengths[n_long:], least - n_long)
         for i in range(n_long):
             own = self.owners[starts[i] : starts[i] + lengths[i]]
             where = np.searchsorted(own, found)
@@ -321,10 +349,12 @@ class Index:
 
 
 def _search_block(sim: Similarity):
-    """Links that join all similar sets of a task, without those inside a part known to be joined."""
+    """Links that join all similar sets of a task, without those inside a part known to be joined.
 
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.drop_duplicates("c").sort_values("c")
+    Similar sets are always in one cluster (``part``), so each cluster of the task has its own lists.
+    """
+
+    def search(rows: pd.DataFrame) -> list[tuple[int, int]]:
         names = rows["c"].to_numpy()
         sets = [np.frombuffer(x, dtype=np.uint64) for x in rows["tokens"]]
         index = Index(sets)
@@ -359,6 +389,13 @@ def _search_block(sim: Similarity):
             if not len(left):
                 break
             look(int(left[0]))
+        return out
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.drop_duplicates("c").sort_values(["part", "c"])
+        part = rows["part"].to_numpy()
+        ends = np.flatnonzero(np.r_[part[1:] != part[:-1], True]) + 1
+        out = [link for a, b in zip(np.r_[0, ends[:-1]], ends, strict=True) for link in search(rows.iloc[a:b])]
         return pd.DataFrame(out, columns=["u", "v"], dtype="int64")
 
     return run
@@ -393,8 +430,8 @@ def _similar_sketches(sim: Similarity):
     return run.asNondeterministic()
 
 
-def place_clusters(clusters: DataFrame) -> DataFrame:
-    """(c, cluster, i, j): where each class goes. ``clusters`` has c, n and cluster.
+def place_clusters(clusters: DataFrame, *more: str) -> DataFrame:
+    """(c, cluster, i, j): where each class goes. ``clusters`` has c, n, cluster and the columns ``more``, which stay.
 
     Small clusters share a task. A large one is cut into blocks, and block i meets block j in a task of its own.
     """
@@ -403,9 +440,9 @@ def place_clusters(clusters: DataFrame) -> DataFrame:
     small = sizes.filter("blocks = 1").agg(F.sum("tokens")).first()[0] or 0
     placed = clusters.join(sizes, "cluster").withColumn("block", F.pmod(F.xxhash64("c"), F.col("blocks")).cast("int"))
     bin_ = F.pmod(F.xxhash64("cluster"), F.lit(1 + small // BLOCK_TOKENS))
-    alone = placed.filter("blocks = 1").select("c", bin_.alias("cluster"), F.lit(-1).alias("i"), F.lit(-1).alias("j"))
+    alone = placed.filter("blocks = 1").select("c", bin_.alias("cluster"), F.lit(-1).alias("i"), F.lit(-1).alias("j"), *more)
     each = placed.filter("blocks > 1").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).filter("other != block")
-    return stage_table(alone.unionByName(each.select("c", "cluster", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))), "tasks")
+    return stage_table(alone.unionByName(each.select("c", "cluster", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), *more)), "tasks")
 
 
 def _classes(docs: DataFrame, sim: Similarity, text: str, doc_id: str) -> tuple[DataFrame, DataFrame]:
@@ -428,7 +465,7 @@ def _classes(docs: DataFrame, sim: Similarity, text: str, doc_id: str) -> tuple[
     joined = pairs.select("a", "b").unionByName(met.filter(F.col("kind") == STAR).select("a", "b")).toDF("u", "v").unionByName(stars)
     clusters = components(joined).toDF("c", "cluster").join(sketches.select("c", "n"), "c")
 
-    sets = _sets(narrow.select("text"), sim, place_clusters(stage_table(clusters, "clusters")))
+    sets = _sets(narrow.select("text"), sim, place_clusters(stage_table(clusters.withColumn("part", F.col("cluster")), "clusters"), "part"))
     links = sets.groupBy("cluster", "i", "j").applyInPandas(_search_block(sim), "u bigint, v bigint")
     return rows, stage_table(components(links).toDF("c", "component"), "components")
 
