@@ -362,21 +362,6 @@ def test_url_rules_by_index_and_join(spark):
         assert _rows(urls.filter_urls(pages, rules, by_join=by_join).select("page_id", "rule", "verdict")) == want
 
 
-def test_heap_merge_counts_lists():
-    r = random.Random(4)
-    sets = [np.unique(np.array([r.randrange(80) for _ in range(r.randrange(1, 60))], dtype=np.uint64)) for _ in range(200)]
-    index = jaccard.Index(sets)
-    for need in (1, 2, 5, 20):
-        query = np.unique(np.array([r.randrange(80) for _ in range(30)], dtype=np.uint64))
-        at = np.searchsorted(index.tokens, query)
-        found, hits = index.merge(index.bounds[at], index.bounds[at + 1] - index.bounds[at], need)
-        both = [len(np.intersect1d(query, s)) for s in sets]
-        assert list(zip(found.tolist(), hits.tolist(), strict=True)) == [(i, n) for i, n in enumerate(both) if n >= need]
-    for query in sets[:20]:
-        want = [i for i, s in enumerate(sets) if 100 * len(np.intersect1d(query, s)) >= 50 * len(np.union1d(query, s))]
-        assert index.search(query, jaccard.Similarity(5, 50)).tolist() == want
-
-
 def test_busy_shingles_take_the_same_links(spark, monkeypatch):
     r = random.Random(2)
     base = [[r.choice("abcdefghij") * 3 + str(r.randrange(50)) for _ in range(60)] for _ in range(4)]
