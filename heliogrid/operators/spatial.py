@@ -16,6 +16,9 @@ LEAF_SITES = 1024  # sites of a tile from which it is divided again
 CELL_EDGES = 64  # edges of a polygon in a cell from which the cell is divided
 DIVISIONS = 5  # of a cell at most
 SALTS = 16  # pieces a hot cell is split into when neither side is small
+HELD = 8  # times its JSON text that a broadcast table takes in the driver: rows, hash table and blocks at once
+HOT_SHARE = 64  # a cell with more than one in so many of the points is hot
+HOT_POINTS = 65_536  # of a cell at least, for it to be hot
 
 
 def _judged(cells: DataFrame) -> DataFrame:
@@ -61,6 +64,19 @@ def polygon_cells(polygons: DataFrame, shape: str = "geometry") -> tuple[DataFra
         cells = stage_table(_judged(divided), "cells")
 
 
+def _constant(value, kind: str) -> str:
+    """SQL of a bounded driver-side value, folded to one constant by the optimizer."""
+    return f"from_json('{json.dumps(value)}', '{kind}')"
+
+
+def _hot_cells(probes: DataFrame, keys: list[str]) -> list:
+    """Cells with more than a HOT_SHARE-th of the points of their grid, so no more than HOT_SHARE for each grid."""
+    counts = probes.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    counts = counts.dropna()
+    most = probes.groupBy("_level").agg(F.greatest(F.lit(HOT_POINTS), F.count(F.lit(1)) / HOT_SHARE).alias("_most"))
+    return counts.filter(f"_n > {HOT_POINTS}").join(most, "_level").filter("_n > _most").select(*keys).collect()
+
+
 def join_within(
     points: DataFrame,
     polygons: DataFrame,
@@ -73,32 +89,29 @@ def join_within(
 
     Polygons become the cells of a quadtree; a point is looked up once per grid in use. The candidates
     of the equi-join then pass the exact test, unless their cell lies inside the polygon as a whole.
-    Cells are broadcast only if measured small; else the points of a cell are spread over
-    ``salts`` pieces, so that a crowded cell is no hot key.
+    Cells are broadcast only if measured small; else the points of a crowded cell are spread over
+    ``salts`` pieces, so that it is no hot key.
     """
     cells, size_bytes, levels = polygon_cells(polygons, shape)
     size = "pow(2D, _level)"
-    small = may_broadcast(size_bytes)
-    if small:
-        cells = F.broadcast(cells)
+    small = may_broadcast(HELD * size_bytes)
     probes = points.withColumn("_level", F.explode(F.lit(levels).cast("array<int>")))
     probes = probes.withColumns({"_cx": F.expr(f"floor({x} / {size})"), "_cy": F.expr(f"floor({y} / {size})")})
     keys = ["_level", "_cx", "_cy"]
-    if not small:
+    # The hint keeps Spark from broadcasting what is small only as a compressed file.
+    cells = F.broadcast(cells) if small else cells.hint("merge")
+    hot = [] if small else _hot_cells(probes.select(*keys), keys)
+    if hot:
         # All columns take part, so that many points at one place still spread.
         flat = [c for c, kind in points.dtypes if "map<" not in kind]
-        probes = probes.withColumn("_salt", F.pmod(F.xxhash64(*flat), F.lit(salts)))
-        cells = cells.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
+        crowded = F.expr(f"array_contains({_constant([c.asDict() for c in hot], 'array<struct<_level:int,_cx:bigint,_cy:bigint>>')}, struct({', '.join(keys)}))")
+        probes = probes.withColumn("_salt", F.when(crowded, F.pmod(F.xxhash64(*flat), F.lit(salts))).otherwise(F.lit(0).cast("long")))
+        cells = cells.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.when(crowded, F.lit(salts - 1)).otherwise(F.lit(0)).cast("long"))))
         keys.append("_salt")
     hit = ~F.col("_edge") | geo.strictly_inside("_segs", x, y)
     return probes.join(cells, keys).filter(hit).drop(*keys, "_segs", "_edge")
 
 
-def _constant(value, kind: str) -> str:
-    """SQL of a bounded driver-side value, folded to one constant by the optimizer."""
-    return f"from_json('{json.dumps(value)}', '{kind}')"
-
-
 def _tiling(places: DataFrame, side: int) -> Column:
     """Tile number of a place (``_sx``, ``_sy``): quantile strips in x, quantile rows in each strip.
 

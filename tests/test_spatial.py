@@ -143,6 +143,20 @@ def test_nested_tiles_keep_lists_short(spark):
     assert longest[200_000] <= 12 * longest[2_000] and longest[200_000] <= 4 * math.sqrt(200_000 / 5)
 
 
+def test_cells_of_middle_size_are_not_broadcast(spark, monkeypatch):
+    """A broadcast takes several times the text of its rows in the driver; crowded cells are salted instead."""
+    poly = spark.createDataFrame([(i, [[box(float(i), 0.0, i + 1.0, 1.0)]]) for i in range(40)], LAYER)
+    xy = [(i, 0.5 + (i % 40 if i < 400 else 7), 0.25 + i % 3 / 4) for i in range(1000)] + [(-1, None, 0.5)]
+    points = spark.createDataFrame(xy, "id int, longitude double, latitude double")
+    _, size_bytes, _ = spatial.polygon_cells(poly)
+    monkeypatch.setattr(session, "BROADCAST_BYTES", 2 * size_bytes)
+    monkeypatch.setattr(spatial, "HOT_POINTS", 100)
+    found = spatial.join_within(points, poly)
+    text = found._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" not in text and "_salt" in text
+    assert sorted((r.id, r.cd_mun) for r in found.collect()) == sorted((i, int(x)) for i, x, _ in xy if x)
+
+
 def test_plant_mart(spark):
     layer = spark.createDataFrame([(1, [[box(0.0, 0.0, 2.0, 3.0)]]), (2, [[box(5.0, 0.0, 7.0, 3.0)]])], LAYER)
     rows = [("UFV", 1000.0), ("UFV", 500.0), ("PCH", 2000.0), ("EOL", 250.0)]
