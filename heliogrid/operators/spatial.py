@@ -11,8 +11,10 @@ from pyspark.sql import functions as F
 from heliogrid.functions import geo
 from heliogrid.session import may_broadcast, serialised_bytes, stage_table
 
-MAX_TILES = 4096  # bound of the tile table of a nearest join
-LEAF_SITES = 1024  # sites of a tile from which it is divided again
+TOP_TILES = 16  # tiles of all sites of a nearest join, and of each tile that is divided
+LEAF_SITES = 32  # sites of a tile from which it is divided again
+UNEVEN = 4  # times that number which some tiles may hold
+MAX_LEVELS = 14  # the number of a tile fits 64 bits
 CELL_EDGES = 64  # edges of a polygon in a cell from which the cell is divided
 DIVISIONS = 5  # of a cell at most
 SALTS = 16  # pieces a hot cell is split into when neither side is small
@@ -142,12 +144,35 @@ def inner_tiles(tiled: DataFrame, per_tile: int) -> DataFrame:
     return strips.join(ys, ["_tile", "_strip"]).withColumn("_inner", inner).drop("_strip", "_ys")
 
 
-NEAR = "pow(greatest(b.x0 - _px, _px - b.x1, 0D), 2) + pow(greatest(b.y0 - _py, _py - b.y1, 0D), 2)"
+def site_tree(places: DataFrame, n: int, leaf_sites: int) -> list[DataFrame]:
+    """The ``n`` sites (``_sx``, ``_sy``), all at different places, with their ``_tile`` in each level of a tree, the last one with the smallest tiles.
+
+    Tiles are divided into TOP_TILES of nearly equal counts, whatever the number of sites, until they hold about
+    ``leaf_sites``; more levels follow where equal coordinates made some tiles much larger.
+    """
+    levels = [places.withColumn("_tile", _tiling(places, math.isqrt(TOP_TILES)).cast("long"))]
+    while True:
+        levels[-1] = stage_table(levels[-1], "tiles")
+        if n > leaf_sites * TOP_TILES ** len(levels):
+            most = n / TOP_TILES ** len(levels)
+        else:
+            most = levels[-1].groupBy("_tile").count().agg(F.max("count")).first()[0] / UNEVEN
+        if most <= leaf_sites or len(levels) == MAX_LEVELS:
+            return levels
+        # The number of a tile starts with that of the tile above.
+        inner = inner_tiles(levels[-1], TOP_TILES**2).withColumn("_tile", F.col("_tile") * TOP_TILES + F.col("_inner"))
+        levels.append(inner.drop("_inner"))
+
+
+def _near(b: str) -> str:
+    """Square of the distance of a point from a box."""
+    dx, dy = (f"greatest({b}_{c}0 - _p{c}, _p{c} - {b}_{c}1, 0D)" for c in "xy")
+    return f"{dx} * {dx} + {dy} * {dy}"
 
 
 def _far() -> str:
     """Every side of an exact box has a site on it, so one lies within the smaller of two distances."""
-    (nx, fx), (ny, fy) = [[f"pow({f}(abs(_p{c} - b.{c}0), abs(_p{c} - b.{c}1)), 2)" for f in ("least", "greatest")] for c in "xy"]
+    (nx, fx), (ny, fy) = [[f"pow({f}(abs(_p{c} - b._{c}0), abs(_p{c} - b._{c}1)), 2)" for f in ("least", "greatest")] for c in "xy"]
     return f"least({nx} + {fy}, {fx} + {ny})"
 
 
@@ -161,67 +186,65 @@ def nearest_join(
     site_id: str,
     point_xy: tuple[str, str],
     site_xy: tuple[str, str],
-    max_tiles: int = MAX_TILES,
     salts: int = SALTS,
     leaf_sites: int = LEAF_SITES,
 ) -> DataFrame:
     """Each point with its nearest site (Euclid) and ``distance``; ties go to the smallest id.
 
-    Sites are packed into about sqrt(n) tiles of nearly equal counts, so crowded places get small
-    tiles. A point keeps the tiles that can hold its nearest site, judged by the exact bounding
-    boxes of the tiles, and meets only the sites of those: an equi-join on the tile. Where tiles hold
-    more than ``leaf_sites``, they are divided again, and a point first meets the boxes inside its
-    tiles; so no list is longer than about the square root of a tile.
+    Sites are packed into a tree of tiles of nearly equal counts, so crowded places get small tiles. A point first goes
+    down the tree to one promising tile; the nearest site in it sets a bound. Then it goes down to all tiles whose exact
+    bounding boxes lie within that bound and meets only their sites. Each step is an equi-join on the tile, so a point
+    meets a number of boxes that grows with the logarithm of the sites. Sides that are not small are shuffled.
     Points without coordinates (null or NaN) have a null site. Sites at the same place count once, by their smallest id. ``point_id`` must be unique.
     """
     sx, sy = (F.col(c).cast("double") for c in site_xy)
-    places = sites.select(sx.alias("_sx"), sy.alias("_sy"), F.col(site_id)).dropna()
-    places = stage_table(places.groupBy("_sx", "_sy").agg(F.min(site_id).alias(site_id)), "sites")
+    places = sites.select(sx.alias("_sx"), sy.alias("_sy"), F.col(site_id).alias("_site")).dropna()
+    places = stage_table(places.groupBy("_sx", "_sy").agg(F.min("_site").alias("_site")), "sites")
     size_bytes, n = places.agg(serialised_bytes(), F.count(F.lit(1))).first()
-    small = may_broadcast(size_bytes)
-    tiles = min(max(math.isqrt(n), 16), max_tiles)
-    tiled = places.withColumn("_tile", _tiling(places, math.isqrt(tiles)))
-    nested = n > tiles * leaf_sites
-    tiled = stage_table(inner_tiles(tiled, n // tiles), "tiles") if nested else tiled.withColumn("_inner", F.lit(0))
-
-    # At most max_tiles rows, one per tile; they enter the plan as one folded constant.
-    boxes = tiled.groupBy("_tile").agg(F.min("_sx"), F.max("_sx"), F.min("_sy"), F.max("_sy")).collect()
-    names = ("t", "x0", "x1", "y0", "y1")
-    known = _constant([dict(zip(names, b)) for b in boxes], "array<struct<t:int,x0:double,x1:double,y0:double,y1:double>>")
+    levels = site_tree(places, n, leaf_sites)
+    box = {"_x0": F.min("_sx"), "_x1": F.max("_sx"), "_y0": F.min("_sy"), "_y1": F.max("_sy")}
+    boxes = [sited.groupBy("_tile").agg(*[f.alias(c) for c, f in box.items()]) for sited in levels]
+
+    # At most some TOP_TILES rows, one per tile; they enter the plan as one folded constant.
+    names = ("t", *box)
+    top = _constant([dict(zip(names, b)) for b in boxes[0].collect()], "array<struct<t:bigint,_x0:double,_x1:double,_y0:double,_y1:double>>")
     x, y = F.col("_px"), F.col("_py")
     located = points.select(point_id, *[F.col(c).cast("double").alias(n) for c, n in zip(point_xy, ("_px", "_py"))])
     placed = x.isNotNull() & y.isNotNull() & ~F.isnan(x) & ~F.isnan(y)
     unplaced = located.filter(~placed).select(point_id)
-    located = located.filter(placed)
-    bounded = located.withColumn("_bound", F.expr(f"array_min(transform({known}, b -> {_far()}))"))
-    chosen = f"filter({known}, b -> {NEAR} <= _bound * {SLACK})"
-    probes = bounded.select(point_id, "_px", "_py", "_bound", F.expr(f"explode(transform({chosen}, b -> b.t))").alias("_tile"))
 
-    def meet(probes: DataFrame, side: DataFrame, keys: list[str]) -> DataFrame:
+    def meet(probes: DataFrame, side: DataFrame, rows: float) -> DataFrame:
         """An equi-join on tiles; the points of a crowded tile are spread if ``side`` is not known to be small."""
-        if small:
-            return probes.join(F.broadcast(side), keys)
+        if may_broadcast(HELD * int(size_bytes * min(rows, n) / max(n, 1))):
+            return probes.join(F.broadcast(side), "_tile")
         probes = probes.withColumn("_salt", F.pmod(F.xxhash64(point_id), F.lit(salts)))
         side = side.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
-        return probes.join(side, [*keys, "_salt"]).drop("_salt")
-
-    if nested:
-        box = F.struct(F.col("_inner").alias("t"), *[F.col(c) for c in names[1:]])
-        inner = tiled.groupBy("_tile", "_inner").agg(F.min("_sx").alias("x0"), F.max("_sx").alias("x1"), F.min("_sy").alias("y0"), F.max("_sy").alias("y1"))
-        inner = inner.groupBy("_tile").agg(F.collect_list(box).alias("_boxes"))
-        probes = meet(probes, inner, ["_tile"]).withColumn("_bound", F.expr(f"least(_bound, array_min(transform(_boxes, b -> {_far()})))"))
-        chosen = f"filter(_boxes, b -> {NEAR} <= _bound * {SLACK})"
-        probes = probes.select(point_id, "_px", "_py", "_tile", F.expr(f"explode(transform({chosen}, b -> b.t))").alias("_inner"))
-    else:
-        probes = probes.drop("_bound").withColumn("_inner", F.lit(0))
-
-    # One row per tile with its sites in the order of their ids.
-    site = F.struct(F.col(site_id).alias("id"), F.col("_sx").alias("x"), F.col("_sy").alias("y"))
-    lists = tiled.groupBy("_tile", "_inner").agg(F.sort_array(F.collect_list(site)).alias("_sites"))
-    square = "transform(_sites, s -> (_px - s.x) * (_px - s.x) + (_py - s.y) * (_py - s.y))"
-    met = meet(probes, lists, ["_tile", "_inner"]).withColumn("_d2", F.expr(square)).withColumn("_m", F.array_min("_d2"))
-    best = F.struct(F.col("_m").alias("d2"), F.expr("get(_sites, int(array_position(_d2, _m)) - 1).id").alias("id"))
-    found = met.select(point_id, best.alias("_b")).groupBy(point_id).agg(F.min("_b").alias("_b"))
+        return probes.join(side.hint("merge"), ["_tile", "_salt"]).drop("_salt")
+
+    def below(level: int) -> DataFrame:
+        """The boxes of a level by the tile above."""
+        return boxes[level].withColumnRenamed("_tile", "_below").withColumn("_tile", F.expr(f"_below div {TOP_TILES}"))
+
+    # Down to one tile of each level, that with the least distance within which a site is known to lie.
+    least = "array_min(transform({}, b -> named_struct('d2', {}, 't', b.t))).t"
+    # Spread first: points come in few file splits, and the last grouping needs no other shuffle.
+    down = located.filter(placed).repartition(point_id).select(point_id, "_px", "_py", F.expr(least.format(top, _far())).alias("_tile"))
+    for level in range(1, len(levels)):
+        listed = below(level).groupBy("_tile").agg(F.collect_list(F.struct(F.col("_below").alias("t"), *box)).alias("_boxes"))
+        down = meet(down, listed, 2 * TOP_TILES**(level + 1)).select(point_id, "_px", "_py", F.expr(least.format("_boxes", _far())).alias("_tile"))
+    lists = levels[-1].groupBy("_tile").agg(F.collect_list(F.struct(F.col("_sx").alias("x"), F.col("_sy").alias("y"))).alias("_sites"))
+    nearest = "array_min(transform(_sites, s -> (_px - s.x) * (_px - s.x) + (_py - s.y) * (_py - s.y)))"
+    bounded = meet(down, lists, n).select(point_id, "_px", "_py", F.expr(f"{nearest} * {SLACK}").alias("_bound"))
+
+    # Down to all tiles that can hold a nearer site or one as near.
+    chosen = f"filter({top}, b -> {_near('b.')} <= _bound)"
+    probes = bounded.withColumn("_tile", F.expr(f"explode(transform({chosen}, b -> b.t))"))
+    for level in range(1, len(levels)):
+        probes = meet(probes, below(level), 2 * TOP_TILES**(level + 1)).filter(f"{_near('')} <= _bound")
+        probes = probes.select(point_id, "_px", "_py", "_bound", F.col("_below").alias("_tile"))
+    met = meet(probes, levels[-1], n).withColumn("_d2", F.expr("(_px - _sx) * (_px - _sx) + (_py - _sy) * (_py - _sy)"))
+    best = F.struct(F.col("_d2").alias("d2"), F.col("_site").alias("id"))
+    found = met.filter("_d2 <= _bound").groupBy(point_id).agg(F.min(best).alias("_b"))
     found = found.select(point_id, F.col("_b.id").alias(site_id), F.sqrt("_b.d2").alias("distance"))
     none = [F.lit(None).cast(found.schema[c].dataType).alias(c) for c in (site_id, "distance")]
     return found.unionByName(unplaced.select(point_id, *none))

@@ -157,6 +157,18 @@ def test_cells_of_middle_size_are_not_broadcast(spark, monkeypatch):
     assert sorted((r.id, r.cd_mun) for r in found.collect()) == sorted((i, int(x)) for i, x, _ in xy if x)
 
 
+def test_points_meet_few_sites(spark):
+    """A hundred times the sites: the lists of the tree stay short, also where all sites lie on one line."""
+    for y in ("id % 317", "3"):
+        for n in (1_000, 100_000):
+            places = spark.range(n).selectExpr("double(id) AS _sx", f"double({y}) AS _sy", "id AS _site")
+            levels = spatial.site_tree(places, n, 32)
+            sizes = levels[-1].groupBy("_tile").count().agg(F.max("count"), F.sum("count")).first()
+            assert sizes[0] <= 32 * spatial.UNEVEN and sizes[1] == n
+            up = levels[-1].select("_site", F.expr(f"_tile div {spatial.TOP_TILES}").alias("_tile"))
+            assert len(levels) == 1 or up.exceptAll(levels[-2].select("_site", "_tile")).isEmpty()
+
+
 def test_plant_mart(spark):
     layer = spark.createDataFrame([(1, [[box(0.0, 0.0, 2.0, 3.0)]]), (2, [[box(5.0, 0.0, 7.0, 3.0)]])], LAYER)
     rows = [("UFV", 1000.0), ("UFV", 500.0), ("PCH", 2000.0), ("EOL", 250.0)]
