@@ -70,10 +70,13 @@ def write_metric_objects(metrics: DataFrame, path: str, name: str = "path") -> N
     """One JSON object per record, in a folder named after it (``object=<name>``), with the time of the upload.
 
     The name is the last part of ``name`` without its suffix, made safe for keys; records of the same name share a folder.
-    Rows are dealt out by name first, so each folder is written by one task, one after the other.
+    Rows are dealt out by name first, so each folder is written by one task, one after the other. The number of tasks is
+    set: by their bytes, all rows would go to a few tasks, but each row costs the opening of a file.
     """
+    spark = metrics.sparkSession
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
     base = F.regexp_replace(text.basename(text.safe_key(F.col(name))), r"\.[^.]*$", "")
-    named = metrics.withColumns({"object": base, "uploaded_at": F.current_timestamp()}).repartition("object")
+    named = metrics.withColumns({"object": base, "uploaded_at": F.current_timestamp()}).repartition(tasks, "object")
     named.write.mode("append").option("maxRecordsPerFile", 1).partitionBy("object").json(path)
 
 

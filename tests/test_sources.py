@@ -262,6 +262,13 @@ def test_one_metrics_object_for_each_file(spark, tmp_path):
     sink.write_metric_objects(metrics.limit(0), str(tmp_path / "n"))
 
 
+def test_many_metrics_objects_are_written_by_many_tasks(spark, tmp_path):
+    metrics = spark.range(400).selectExpr("concat('in/', id, '.csv') AS path", "id AS size_bytes")
+    sink.write_metric_objects(metrics, str(tmp_path / "m"))
+    files = list((tmp_path / "m").glob("object=*/*.json"))
+    assert len(files) == 400 and len({f.name.split("-")[1] for f in files}) > 2
+
+
 def test_batch_ledger(spark):
     rows = spark.range(30_000).selectExpr("concat('file', id) AS file", "id")
     done = rows.filter("id = 7").select("file")
