@@ -147,21 +147,19 @@ def path_template(spark, sf_dir):
 def archives(spark, sf_dir):
     """One archive per document: a folder entry, the text, and a CSV of its length."""
 
-    def pack(batches):
-        for pdf in batches:
-            blobs = []
-            for doc_id, body in zip(pdf["doc_id"], pdf["text"]):
-                buffer = io.BytesIO()
-                with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as archive:
-                    archive.writestr("2024/", b"")
-                    archive.writestr(f"2024/doc_{doc_id}.txt", body.encode("utf-8"))
-                    archive.writestr(f"2024/doc_{doc_id}.CSV", f"n;{len(body)}".encode("latin-1"))
-                blobs.append(buffer.getvalue())
-            yield pdf[["doc_id"]].assign(content=blobs)
+    # Row by row: Spark hands over a hundred rows at a time then, whatever the size of the texts; Arrow, ten thousand.
+    @F.udf(returnType="binary", useArrow=False)
+    def pack(doc_id, body):
+        buffer = io.BytesIO()
+        with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as archive:
+            archive.writestr("2024/", b"")
+            archive.writestr(f"2024/doc_{doc_id}.txt", body.encode("utf-8"))
+            archive.writestr(f"2024/doc_{doc_id}.CSV", f"n;{len(body)}".encode("latin-1"))
+        return buffer.getvalue()
 
     # Spread first: packing is slow, and archives in a folder would be read by many tasks as well.
     docs = table(spark, sf_dir, "documents").select("doc_id", "text").repartition("doc_id")
-    return docs.mapInPandas(pack, "doc_id long, content binary")
+    return docs.select("doc_id", pack("doc_id", "text").alias("content"))
 
 
 @query(

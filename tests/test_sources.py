@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from heliogrid.columns import RAW_SCHEMA
 from heliogrid.functions import text
 from heliogrid.operators import quality
+from heliogrid.queries import files
 from heliogrid.sinks import tables as sink
 from heliogrid.sources import catalog, registry, station, tables
 from heliogrid.streaming import exactly_once, incremental
@@ -269,6 +270,16 @@ def test_many_metrics_objects_are_written_by_many_tasks(spark, tmp_path):
     assert len(files) == 400 and len({f.name.split("-")[1] for f in files}) > 2
 
 
+def test_archives_are_packed_a_few_at_a_time(spark, tmp_path):
+    """No Arrow batch of ten thousand texts in a Python worker."""
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    spark.createDataFrame([(i, f"á{i}", "pt", "s", 2) for i in range(300)], schema).write.parquet(str(tmp_path / "documents.parquet"))
+    rows = files.zip_entries_csv(spark, str(tmp_path))
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "BatchEvalPython" in plan and "InPandas" not in plan and "ArrowEvalPython" not in plan and "InArrow" not in plan
+    assert {tuple(r) for r in rows.collect()} == {(i, f"2024/doc_{i}.CSV", f"n;{len(str(i)) + 1}") for i in range(300)}
+
+
 def test_batch_ledger(spark):
     rows = spark.range(30_000).selectExpr("concat('file', id) AS file", "id")
     done = rows.filter("id = 7").select("file")
