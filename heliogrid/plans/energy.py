@@ -38,7 +38,8 @@ def energy_mart(layer: DataFrame, plants: DataFrame, stations: DataFrame, statio
     stations = stage_table(stations, "stations")
     centroids = full.select("cd_mun", "centroid_lon", "centroid_lat")
     near = spatial.nearest_join(centroids, stations, "cd_mun", station_id, ("centroid_lon", "centroid_lat"), station_xy)
-    climate = near.join(stations.select(station_id, "radiacao_media_anual"), station_id).select("cd_mun", "radiacao_media_anual")
+    # The hint keeps Spark from broadcasting stations, which may be small only as a compressed file.
+    climate = near.join(stations.select(station_id, "radiacao_media_anual").hint("merge"), station_id).select("cd_mun", "radiacao_media_anual")
     return stage_table(full.join(climate, "cd_mun", "left"), "energy")
 
 

@@ -142,7 +142,8 @@ def energy(spark, sf_dir):
         "longitude", "latitude", F.expr(SEGMENT_KIND_SQL).alias("SigTipoGeracao"), F.abs("c_acctbal").alias("potencia_kw")
     )
     means = mart.station_mean(table(spark, sf_dir, "lineitem"), "l_suppkey", "l_extendedprice")
-    stations = cells(spark, sf_dir).join(means, F.col("s_suppkey") == F.col("l_suppkey")).drop("l_suppkey")
+    # The hint keeps Spark from broadcasting cells, which may be small only as a compressed file.
+    stations = cells(spark, sf_dir).hint("merge").join(means, F.col("s_suppkey") == F.col("l_suppkey")).drop("l_suppkey")
     return energy_mart(layer(spark, sf_dir), points, stations, "s_suppkey", ("x0", "y0"))
 
 

@@ -5,7 +5,8 @@ import re
 import pytest
 
 from heliogrid import session
-from heliogrid.queries import QUERIES
+from heliogrid.plans import energy
+from heliogrid.queries import QUERIES, places
 from tests.conftest import SF
 
 
@@ -34,6 +35,19 @@ def test_large_sides_are_not_broadcast(spark, monkeypatch):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_stations_are_not_broadcast_by_the_size_of_their_file(spark, monkeypatch):
+    stored, plans = energy.stage_table, {}
+
+    def store(df, label="stage"):
+        plans[label] = df._jdf.queryExecution().executedPlan().toString()
+        return stored(df, label)
+
+    monkeypatch.setattr(energy, "stage_table", store)
+    places.energy(spark, SF)
+    assert "SortMergeJoin [s_suppkey" in plans["stations"] and "BroadcastHashJoin" not in plans["stations"]
+    assert re.search(r"SortMergeJoin \[s_suppkey", plans["energy"]) and not re.search(r"BroadcastHashJoin \[s_suppkey", plans["energy"])
+
+
 def test_columns_and_filters_reach_the_scan(spark):
     text = plan(spark, "monthly_season")
     assert "ReadSchema: struct<l_quantity:double,l_extendedprice:double,l_shipdate:timestamp_ntz>" in text
